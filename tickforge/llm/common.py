@@ -62,7 +62,9 @@ class Scratch:
     def table(self, df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
         path = f"{self.root}/{name}"
         df.write.option("compression", codec).parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.spark.sparkContext._jvm.System.gc()  # frees the shuffle files of what is finished
+        return out
 
     def drop(self, name: str) -> None:
         self._delete(f"{self.root}/{name}")

@@ -80,3 +80,25 @@ SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_R
   NOT (n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEAT_PERCENT} * n_words) AND 100 * n_lost_words <= {quality.MAX_LOST_PERCENT} * n_words AS kept
 FROM base
 """
+
+from tickforge.llm import lines  # noqa: E402
+
+OP8 = f"""
+WITH l AS (SELECT doc_id, generate_subscripts(ls, 1) AS pos, unnest(ls) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL)),
+w AS (SELECT * FROM l WHERE trim(translate(line, {_SPACES}, '     ')) <> ''),
+firsts AS (SELECT line, min((doc_id, pos)) AS fst, length(line) AS n FROM w GROUP BY line),
+f AS (SELECT *, line[1:n // 2] AS a, line[n - n // 2 + 1:] AS b, line[1:(n - 1) // 2] AS a1, line[n - (n - 1) // 2 + 1:] AS b1 FROM firsts WHERE n >= {lines.MIN_CHARS}),
+cand AS (
+  SELECT x.line AS x, y.line AS y, x.fst AS ax, y.fst AS ay FROM f x JOIN f y ON x.n = y.n AND x.a = y.a AND x.line <> y.line
+  UNION SELECT x.line, y.line, x.fst, y.fst FROM f x JOIN f y ON x.n = y.n AND x.b = y.b AND x.line <> y.line
+  UNION SELECT x.line, y.line, x.fst, y.fst FROM f x JOIN f y ON x.n + 1 = y.n AND x.a = y.a1
+  UNION SELECT x.line, y.line, x.fst, y.fst FROM f x JOIN f y ON x.n + 1 = y.n AND x.b = y.b1),
+diff AS (SELECT *, coalesce(list_position([x[i::INT] = y[i::INT] FOR i IN generate_series(1, length(x))], false), length(x) + 1) AS p FROM cand),
+near AS (SELECT * FROM diff WHERE (length(x) = length(y) AND x[p + 1:] = y[p + 1:]) OR (length(x) < length(y) AND x[p:] = y[p + 1:])),
+gone AS (SELECT x AS line FROM near WHERE ay < ax UNION SELECT y FROM near WHERE ax < ay),
+bad AS (SELECT w.doc_id, w.pos FROM w JOIN firsts USING (line) LEFT JOIN gone ON gone.line = w.line WHERE (w.doc_id, w.pos) > fst OR gone.line IS NOT NULL),
+kept AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY pos) AS t FROM l WHERE NOT EXISTS (SELECT 1 FROM bad WHERE bad.doc_id = l.doc_id AND bad.pos = l.pos) GROUP BY doc_id)
+SELECT doc_id, (SELECT count(*) FROM w WHERE w.doc_id = d.doc_id) AS n_lines, (SELECT count(*) FROM bad WHERE bad.doc_id = d.doc_id) AS n_removed,
+  CASE WHEN text IS NOT NULL THEN sha256(coalesce(t, '')) END AS kept_sha256
+FROM documents d LEFT JOIN kept USING (doc_id)
+"""

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickforge.llm import chat, oracles, quality, urls
-from tickforge.llm.common import read
+from tickforge.llm import chat, lines, oracles, packing, quality, toxicity, urls
+from tickforge.llm.common import bucket_col, read
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +15,16 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "host", "path", "rule", "verdict")
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     rows = read(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
@@ -22,17 +32,32 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_conversations(rows.unionByName(extra)))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    out = toxicity.score(docs, toxicity.fit(docs, read(spark, sf_dir, "labels")))
+    return out.select("doc_id", (bucket_col(F.col("doc_id")) == 0).alias("held_out"), "score", "predicted", "evidence")
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lines.dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.clean_lines(read(spark, sf_dir, "documents")).drop("cleaned")
 
 
 QUERIES = {
     "op1_url_filter": op1_url_filter,
+    "op2_best_fit_packing": op2_best_fit_packing,
     "op4_chat_format": op4_chat_format,
+    "op5_toxicity": op5_toxicity,
+    "op8_line_dedup": op8_line_dedup,
     "op9_quality_rules": op9_quality_rules,
 }
 
 ORACLE_SQL = {
     "op1_url_filter": oracles.OP1,
+    "op8_line_dedup": oracles.OP8,
     "op9_quality_rules": oracles.OP9,
 }
