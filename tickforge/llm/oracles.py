@@ -102,3 +102,19 @@ SELECT doc_id, (SELECT count(*) FROM w WHERE w.doc_id = d.doc_id) AS n_lines, (S
   CASE WHEN text IS NOT NULL THEN sha256(coalesce(t, '')) END AS kept_sha256
 FROM documents d LEFT JOIN kept USING (doc_id)
 """
+
+from tickforge.llm import near  # noqa: E402
+
+_RULE7 = "100 * x.c >= 85 * (x.na + x.nb - x.c)"
+OP7 = f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, CASE WHEN len(w) >= 5 THEN array_to_string(w[i:i + 4], ' ') ELSE array_to_string(w, ' ') END AS s
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - {near.WORDS - 1}, 1))) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+x AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c, any_value(na.n) AS na, any_value(nb.n) AS nb FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id
+  JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id GROUP BY a.doc_id, b.doc_id),
+e AS (SELECT a, b FROM x WHERE {_RULE7}),
+r(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM documents LEFT JOIN n USING (doc_id) JOIN c USING (doc_id)
+"""

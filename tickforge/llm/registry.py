@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickforge.llm import chat, lines, oracles, packing, quality, toxicity, urls
+from tickforge.llm import chat, lines, near, oracles, packing, quality, toxicity, urls
 from tickforge.llm.common import bucket_col, read
 
 
@@ -38,6 +38,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (bucket_col(F.col("doc_id")) == 0).alias("held_out"), "score", "predicted", "evidence")
 
 
+def op7_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"), num=85)
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lines.dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
@@ -52,12 +56,14 @@ QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op4_chat_format": op4_chat_format,
     "op5_toxicity": op5_toxicity,
+    "op7_setsketch_near_dedup": op7_setsketch_near_dedup,
     "op8_line_dedup": op8_line_dedup,
     "op9_quality_rules": op9_quality_rules,
 }
 
 ORACLE_SQL = {
     "op1_url_filter": oracles.OP1,
+    "op7_setsketch_near_dedup": oracles.OP7,
     "op8_line_dedup": oracles.OP8,
     "op9_quality_rules": oracles.OP9,
 }
