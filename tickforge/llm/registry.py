@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickforge.llm import chat, lines, near, oracles, packing, quality, toxicity, urls
+from tickforge.llm import chat, decontamination, lines, near, oracles, packing, quality, toxicity, urls
 from tickforge.llm.common import bucket_col, read
 
 
@@ -25,6 +25,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     rows = read(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
@@ -51,9 +55,17 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.clean_lines(read(spark, sf_dir, "documents")).drop("cleaned")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
+    "pipeline": pipeline,
     "op1_url_filter": op1_url_filter,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_decontamination": op3_decontamination,
     "op4_chat_format": op4_chat_format,
     "op5_toxicity": op5_toxicity,
     "op7_setsketch_near_dedup": op7_setsketch_near_dedup,
