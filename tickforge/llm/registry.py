@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickforge.llm import chat, decontamination, lines, near, oracles, packing, quality, toxicity, urls
+from tickforge.llm import chat, decontamination, lines, near, oracles, packing, quality, repeats, toxicity, urls
 from tickforge.llm.common import bucket_col, read
 
 
@@ -42,6 +42,11 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (bucket_col(F.col("doc_id")) == 0).alias("held_out"), "score", "predicted", "evidence")
 
 
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = repeats.remove_repeats(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"), num=85)
 
@@ -68,6 +73,7 @@ QUERIES = {
     "op3_decontamination": op3_decontamination,
     "op4_chat_format": op4_chat_format,
     "op5_toxicity": op5_toxicity,
+    "op6_suffix_array_dedup": op6_suffix_array_dedup,
     "op7_setsketch_near_dedup": op7_setsketch_near_dedup,
     "op8_line_dedup": op8_line_dedup,
     "op9_quality_rules": op9_quality_rules,
