@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickforge.llm import chat, decontamination, lines, near, oracles, packing, quality, repeats, toxicity, urls
+from tickforge.llm import chat, decontamination, lines, lm, near, oracles, packing, quality, repeats, toxicity, urls
 from tickforge.llm.common import bucket_col, read
 
 
@@ -60,6 +60,10 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.clean_lines(read(spark, sf_dir, "documents")).drop("cleaned")
 
 
+def op10_hmm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(read(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -77,6 +81,7 @@ QUERIES = {
     "op7_setsketch_near_dedup": op7_setsketch_near_dedup,
     "op8_line_dedup": op8_line_dedup,
     "op9_quality_rules": op9_quality_rules,
+    "op10_hmm_scoring": op10_hmm_scoring,
 }
 
 ORACLE_SQL = {
