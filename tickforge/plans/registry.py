@@ -1,4 +1,6 @@
 """Every registered market-bar query and the SQL it is checked against."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from tickforge.plans.oracles import ORACLE_SQL
+from tickforge.plans.queries import QUERIES
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
