@@ -23,7 +23,7 @@ BLOCKS, BLOCK_CHARS = 8, 256
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The lines with a word: _id, _k (hash of id and text, which tells rows of the same id apart), _pos, _line, _h1, _h2."""
     rows = docs.select(F.col(id_col).alias("_id"), F.xxhash64(id_col, text_col).alias("_k"), F.posexplode(F.split(F.col(text_col), "\n")).alias("_pos", "_line"))
-    rows = rows.filter(F.trim(F.translate("_line", SPACES, "     ")) != "")
+    rows = rows.filter(F.ltrim("_line", F.lit(f" {SPACES}")) != "")
     return rows.select("*", F.xxhash64("_line").alias("_h1"), F.xxhash64(F.lit(1), F.col("_line")).alias("_h2"))
 
 
@@ -91,5 +91,5 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     out = docs.select(*keep, F.xxhash64(id_col, text_col).alias("_k")).join(removed, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_k") == F.col("_k2")), "left")
     out = out.withColumn("_all", F.split(F.col(text_col), "\n")).withColumn("_left", F.expr("array_except(sequence(0, size(_all) - 1), _gone)"))
     text = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.expr("array_join(transform(_left, i -> get(_all, i)), '\n')"))
-    words = F.expr(f"coalesce(size(filter(_all, l -> trim(translate(l, '{SPACES}', '     ')) <> '')), 0)")
+    words = F.coalesce(F.size(F.filter("_all", lambda x: F.ltrim(x, F.lit(f" {SPACES}")) != "")), F.lit(0))
     return out.select(*[text.alias(c) if c == text_col else c for c in keep], F.greatest(words, F.lit(0)).cast("long").alias("n_lines"), F.greatest(F.coalesce(F.size("_gone"), F.lit(0)), F.lit(0)).cast("long").alias("n_removed"))
