@@ -61,7 +61,7 @@ def fold_events(events: DataFrame) -> DataFrame:
     """
     e = F.struct("seq", F.coalesce("kind", F.lit("message")).alias("kind"), F.coalesce("text", F.lit("")).alias("text"), "role")
     out = events.groupBy("conv_id", "message_id").agg(F.sort_array(F.collect_list(e)).alias("_e"))
-    start = "coalesce(element_at(filter(transform(_e, (x, i) -> CASE WHEN x.kind <> 'delta' THEN i END), i -> i IS NOT NULL), -1), 0)"
+    start = "coalesce(try_element_at(filter(transform(_e, (x, i) -> CASE WHEN x.kind <> 'delta' THEN i END), i -> i IS NOT NULL), -1), 0)"
     out = out.select("conv_id", "message_id", F.expr("_e[0].seq").alias("place"), F.expr("coalesce(get(filter(transform(_e, x -> x.role), r -> r IS NOT NULL), 0), '')").alias("role"), "_e", F.expr(start).alias("_s"))
     out = out.filter(F.expr("NOT (_e[size(_e) - 1].kind = 'delete')"))
     text = "array_join(transform(filter(_e, (x, i) -> i >= _s AND x.kind <> 'delete'), x -> x.text), '')"

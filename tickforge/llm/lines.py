@@ -88,8 +88,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     removed = places.join(judged, ["_h1", "_h2"]).filter("_near OR _at > _first").select("_at._id", "_at._k", "_at._pos")
     removed = removed.groupBy("_id", "_k").agg(F.collect_set("_pos").alias("_gone")).withColumnRenamed("_k", "_k2")
     keep = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    out = docs.select(*keep, F.xxhash64(id_col, text_col).alias("_k")).join(removed, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_k") == F.col("_k2")), "left")
-    out = out.withColumn("_all", F.split(F.col(text_col), "\n")).withColumn("_left", F.expr("array_except(sequence(0, size(_all) - 1), _gone)"))
-    text = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.expr("array_join(transform(_left, i -> get(_all, i)), '\n')"))
+    row = F.struct(*(F.col(f"`{c}`") for c in keep)).alias("_row")  # what other columns are called doesn't matter
+    out = docs.select(row, F.col(id_col).alias("_id1"), F.col(text_col).alias("_text"), F.xxhash64(id_col, text_col).alias("_k1"))
+    out = out.join(removed, F.col("_id1").eqNullSafe(F.col("_id")) & (F.col("_k1") == F.col("_k2")), "left")
+    out = out.withColumn("_all", F.split(F.col("_text"), "\n")).withColumn("_left", F.expr("array_except(sequence(0, size(_all) - 1), _gone)"))
+    text = F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(F.expr("array_join(transform(_left, i -> get(_all, i)), '\n')"))
     words = F.coalesce(F.size(F.filter("_all", lambda x: F.ltrim(x, F.lit(f" {SPACES}")) != "")), F.lit(0))
-    return out.select(*[text.alias(c) if c == text_col else c for c in keep], F.greatest(words, F.lit(0)).cast("long").alias("n_lines"), F.greatest(F.coalesce(F.size("_gone"), F.lit(0)), F.lit(0)).cast("long").alias("n_removed"))
+    return out.select(*[text.alias(c) if c == text_col else F.col("_row").getField(c).alias(c) for c in keep], F.greatest(words, F.lit(0)).cast("long").alias("n_lines"), F.greatest(F.coalesce(F.size("_gone"), F.lit(0)), F.lit(0)).cast("long").alias("n_removed"))

@@ -51,21 +51,21 @@ def estimate(regs: np.ndarray, n: np.ndarray, hub: np.ndarray, n_hub: int, grid:
 
 
 def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
-    """_id, _n (size of the set), _s1, _s2 (digest of the set, null where it is empty) and _regs, a row per row."""
+    """_id, _k (hash of id and text), _n (size of the set), _s1, _s2 (digest of the set, null where it is empty) and _regs, a row per row."""
 
     def rows(batches):
         for b in batches:
-            ids, texts = b.column(0), b.column(1)
+            ids, texts, ks = b.column(0), b.column(1), b.column(2)
             for at in range(0, len(ids), 256):
                 sets = shingle_sets(texts.slice(at, 256).to_pylist(), words)
                 d = [np.frombuffer(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), "<i8") if len(s) else (None, None) for s in sets]
                 n = pa.array([len(s) for s in sets], pa.int64())
                 s1, s2 = (pa.array([None if x[k] is None else int(x[k]) for x in d], pa.int64()) for k in (0, 1))
                 regs = pa.array([registers(s).tobytes() if len(s) else None for s in sets], pa.binary())
-                yield pa.RecordBatch.from_arrays([ids.slice(at, 256), n, s1, s2, regs], names=["_id", "_n", "_s1", "_s2", "_regs"])
+                yield pa.RecordBatch.from_arrays([ids.slice(at, 256), ks.slice(at, 256), n, s1, s2, regs], names=["_id", "_k", "_n", "_s1", "_s2", "_regs"])
 
     kind = dict(docs.dtypes)[id_col]
-    return docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t")).mapInArrow(rows, f"_id {kind}, _n long, _s1 long, _s2 long, _regs binary")
+    return docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t"), F.xxhash64(id_col, text_col).alias("_k")).mapInArrow(rows, f"_id {kind}, _k long, _n long, _s1 long, _s2 long, _regs binary")
 
 
 class _Block:
@@ -160,16 +160,8 @@ def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, words:
     return rows.mapInArrow(read, "_node long, _cluster long, _regs binary, _set binary").dropDuplicates(["_node"])
 
 
-def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: a row per row of ``docs``.
-
-    Documents are linked where den * |intersection| >= num * |union| of their shingle sets; component_id is the smallest
-    id that links reach, kept tells whether it is the row's own. Candidates share a band of registers: a pair at 0.85
-    is missed with a chance of 2e-8, one at 0.8 with 1e-6, before other paths between them.
-
-    No words or no text: an empty set, linked with nothing, kept. A null id stands before all others. Repeated ids: each
-    row is its own, and rows that share component and id are all kept. Empty table: no rows.
-    """
+def _components(docs: DataFrame, num: int, den: int, words: int, id_col: str, text_col: str) -> DataFrame:
+    """_id, _k, _n and component_id, a row per row of ``docs``."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "near")
     rows = scratch.table(sketch(docs, id_col, text_col, words), "sketches")
@@ -218,6 +210,19 @@ def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100, words: int =
     order = F.struct(F.col("_id").isNotNull(), F.col("_id"))
     first = out.filter("_c IS NOT NULL").groupBy("_c").agg(F.min(order).getField("_id").alias("_first"), F.lit(True).alias("_found"))
     out = out.join(first, "_c", "left").withColumn("component_id", F.when(F.col("_found"), F.col("_first")).otherwise(F.col("_id")))
+    return out.select("_id", "_k", "_n", "component_id")
+
+def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id, kept: a row per row of ``docs``.
+
+    Documents are linked where den * |intersection| >= num * |union| of their shingle sets; component_id is the smallest
+    id that links reach, kept tells whether it is the row's own. Candidates share a band of registers: a pair at 0.85
+    is missed with a chance of 2e-8, one at 0.8 with 1e-6, before other paths between them.
+
+    No words or no text: an empty set, linked with nothing, kept. A null id stands before all others. Repeated ids: each
+    row is its own, and rows that share component and id are all kept. Empty table: no rows.
+    """
+    out = _components(docs, num, den, words, id_col, text_col)
     return out.select(F.col("_id").alias(id_col), F.col("_n").alias("n_shingles"), "component_id", F.col("_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
@@ -228,6 +233,6 @@ def _hubs(large: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame, num: int = 80, den: int = 100, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay: of each component those of its smallest id. Of rows equal in id, one for each text stays."""
-    found = near_duplicates(docs, num, den, words, id_col, text_col).filter("NOT kept").select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(found, F.col(id_col) == F.col("_gone"), "left_anti")
+    """The rows of ``docs`` that stay: of each component those of its smallest id. Rows of one id are told apart by their texts."""
+    gone = _components(docs, num, den, words, id_col, text_col).filter(~F.col("_id").eqNullSafe(F.col("component_id"))).select("_id", "_k").distinct()
+    return docs.join(gone, docs[id_col].eqNullSafe(gone["_id"]) & (F.xxhash64(docs[id_col], docs[text_col]) == gone["_k"]), "left_anti")
