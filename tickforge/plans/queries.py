@@ -190,8 +190,8 @@ def _sorted(descending: bool, n: int):
 
 def top_movers_5(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = _sparse_summary(spark, sf_dir)
-    more = items.agg(F.greatest(F.count("*") - 5, F.lit(0)).alias("n_more"))
-    return present.sort_items(items).limit(5).select("symbol", "vsPreClosePct").join(F.broadcast(more), F.lit(True))  # one row
+    more = max(items.count() - 5, 0)
+    return present.sort_items(items).limit(5).select("symbol", "vsPreClosePct", F.lit(more).cast("long").alias("n_more"))
 
 
 def format_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
