@@ -171,3 +171,15 @@ def error_text(status, reason, body) -> Column:
     best = F.coalesce(F.concat(title, F.lit(" — "), detail), detail, message, title)
     said = F.when(F.startswith(text, F.lit("{")), best).otherwise(F.nullif(clipped(text), F.lit("")))
     return F.when(said.isNull(), prefix).otherwise(F.concat(prefix, F.lit(": "), said))
+
+
+def query_parameter(name: str, value) -> Column:
+    """``name=value`` of a URL, a null value as the word null."""
+    return F.concat(F.lit(f"{name}="), F.url_encode(F.coalesce(c(value).cast("string"), F.lit("null"))))
+
+
+def body_kind(body) -> Column:
+    """What a response body is taken for: empty, json, or text."""
+    text = trimmed(F.regexp_replace(c(body), "^\\ufeff", ""))
+    looks = F.startswith(text, F.lit("{")) | F.startswith(text, F.lit("["))
+    return F.when(text.isNull() | (text == ""), "empty").when(looks & F.try_parse_json(text).isNotNull(), "json").otherwise("text")

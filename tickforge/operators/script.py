@@ -74,7 +74,7 @@ def fallback_v2(quotes: DataFrame) -> DataFrame:
     """Six price columns of the quote."""
     has = lambda c: x.safe_double(c) if c in quotes.columns else F.lit(None).cast("double")
     names = {"currentPrice": "current_price", "regularMarketPrice": "regular_market_price", "preMarketPrice": "pre_market_price", "postMarketPrice": "post_market_price", "postMarketChangePercent": "post_market_change_pct", "regularMarketChangePercent": "regular_market_change_pct"}
-    return quotes.select(F.col("symbol").alias("ticker"), *(has(k).alias(f"quote_{v}") for k, v in names.items()))
+    return quotes.select(F.col("symbol").alias("ticker"), *(has(k).alias(f"yahoo_{v}") for k, v in names.items()))
 
 
 def summary_v2(tickers: DataFrame, profiles: DataFrame, daily: DataFrame, intraday: DataFrame, fallback: DataFrame) -> DataFrame:
@@ -84,7 +84,7 @@ def summary_v2(tickers: DataFrame, profiles: DataFrame, daily: DataFrame, intrad
         out = out.join(part, "ticker", "left")
     zero = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
     out = out.select(*(zero(c) if c in ("intraday_bar_count", "regular_bar_count") else F.col(c) for c in out.columns))
-    late = F.when(F.col("is_after_hours_latest") & F.col("latest_price").isNotNull(), F.col("latest_price")).otherwise(F.col("quote_post_market_price"))
+    late = F.when(F.col("is_after_hours_latest") & F.col("latest_price").isNotNull(), F.col("latest_price")).otherwise(F.col("yahoo_post_market_price"))
     out = out.withColumn("after_hours_price", late).withColumn("latest_vs_day_close_pct", x.return_pct("latest_price", "day_close")).withColumn("after_hours_vs_day_close_pct", x.return_pct("after_hours_price", "day_close"))
     return out.orderBy(F.col("day_return_pct").desc_nulls_last(), "ticker")
 
@@ -92,3 +92,17 @@ def summary_v2(tickers: DataFrame, profiles: DataFrame, daily: DataFrame, intrad
 def preview(df: DataFrame) -> DataFrame:
     """The preview's columns, as far as they exist."""
     return df.select(*(c for c in PREVIEW if c in df.columns))
+
+
+def flatten_columns(df: DataFrame) -> DataFrame:
+    """Columns of a two-level header, written ``level0.level1``, by their first level."""
+    return df.toDF(*(c.split(".")[0] for c in df.columns))
+
+
+def write_outputs(df: DataFrame, path: str) -> None:
+    """The script's files: ``csv`` (with a byte-order mark before the header) and ``json`` (nulls kept), both in order."""
+    head = df.sparkSession.createDataFrame([(-1, "﻿" + ",".join(df.columns))], "_at long, line string")
+    cell = lambda c: F.coalesce(F.when(F.col(c).cast("string").rlike('[,"\n]'), F.concat(F.lit('"'), F.replace(F.col(c).cast("string"), F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(F.col(c).cast("string")), F.lit(""))
+    rows = df.withColumn("_at", F.monotonically_increasing_id()).select("_at", F.concat_ws(",", *map(cell, df.columns)).alias("line"))
+    head.unionByName(rows).orderBy("_at").select("line").coalesce(1).write.text(f"{path}/csv")
+    df.write.option("ignoreNullFields", "false").json(f"{path}/json")

@@ -68,3 +68,12 @@ def listing_of_type(snapshots: DataFrame, kind: str, limit: int = LIST_LIMIT) ->
 def items(snapshots: DataFrame) -> DataFrame:
     """A row for each item, with the snapshot's id and place."""
     return snapshots.select("id", F.posexplode("results").alias("pos", "i")).select("id", "pos", "i.*")
+
+
+def store_jdbc(spark: SparkSession, url: str, table: str = "market_snapshots", **options: str) -> DataFrame:
+    """The same store in a relational database, its results as JSON text; filters, columns and limits are pushed to it."""
+    rows = spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()
+    return rows.withColumn("results", F.from_json(F.col("results").cast("string"), ITEMS))
+
+
+ITEMS = SNAPSHOT[SNAPSHOT.index("array<") :]

@@ -222,8 +222,8 @@ SELECT pos, concat_ws(',', {', '.join(("CASE WHEN contains({0}, ',') THEN '{1}'
     "after_hours_v2": f"WITH {TICKS}, {V2} SELECT * FROM intra",
     "summary_v2": f"""WITH {TICKS}, {V2}, {DAILY}, d2 AS ({DAILY_COLS}), {QUOTES},
 prof AS (SELECT symbol AS ticker, longName AS company_name, NULL::VARCHAR AS quote_type, NULL::VARCHAR AS sector, NULL::VARCHAR AS industry, exchange, currency, dayVolume * 1000 AS market_cap, NULL::VARCHAR AS website, NULL::VARCHAR AS business_summary,
-  NULL::DOUBLE AS quote_current_price, dayClose AS quote_regular_market_price, NULL::DOUBLE AS quote_pre_market_price, dayLow AS quote_post_market_price, NULL::DOUBLE AS quote_post_market_change_pct, NULL::DOUBLE AS quote_regular_market_change_pct FROM quotes),
-j AS (SELECT * REPLACE (coalesce(intraday_bar_count, 0) AS intraday_bar_count, coalesce(regular_bar_count, 0) AS regular_bar_count), {_AH.replace('post', 'quote_post_market_price')} AS after_hours_price
+  NULL::DOUBLE AS yahoo_current_price, dayClose AS yahoo_regular_market_price, NULL::DOUBLE AS yahoo_pre_market_price, dayLow AS yahoo_post_market_price, NULL::DOUBLE AS yahoo_post_market_change_pct, NULL::DOUBLE AS yahoo_regular_market_change_pct FROM quotes),
+j AS (SELECT * REPLACE (coalesce(intraday_bar_count, 0) AS intraday_bar_count, coalesce(regular_bar_count, 0) AS regular_bar_count), {_AH.replace('post', 'yahoo_post_market_price')} AS after_hours_price
   FROM (VALUES ('VIEW'), ('CLICK'), ('NOPE'), ('ERROR')) AS t(ticker) LEFT JOIN prof USING (ticker) LEFT JOIN d2 USING (ticker) LEFT JOIN intra USING (ticker))
 SELECT *, {ret('latest_price', 'day_close')} AS latest_vs_day_close_pct, {ret('after_hours_price', 'day_close')} AS after_hours_vs_day_close_pct FROM j""",
     "symbol_normalize": "SELECT p_partkey, replace(upper(p_name), ' ', '-') AS vendor_symbol, replace(upper(p_name), ' ', '.') AS symbol FROM part",
