@@ -69,6 +69,15 @@ class Scratch:
     def drop(self, name: str) -> None:
         self._delete(f"{self.root}/{name}")
 
+    def keep(self, *names: str) -> None:
+        """Drop the tables that what is still to run doesn't read: all but those of these names and their numbered rounds."""
+        jvm = self.spark.sparkContext._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.root)
+        for f in root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).listStatus(root):
+            name = f.getPath().getName()
+            if name.rsplit("-", 1)[0] not in names and name not in names:
+                self.drop(name)
+
     def close(self) -> None:
         try:
             self._delete(self.root)

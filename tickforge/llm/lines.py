@@ -82,6 +82,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     scratch = Scratch(docs.sparkSession, "lines")
     lines = _lines(docs, id_col, text_col)
     near = _near(lines, scratch, min_chars).withColumn("_near", F.lit(True))
+    scratch.keep("near")
     places = lines.select("_h1", "_h2", F.struct("_id", "_k", "_pos").alias("_at"))
     seen = places.groupBy("_h1", "_h2").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
     judged = seen.join(near, ["_h1", "_h2"], "left").filter("_n > 1 OR _near").select("_h1", "_h2", "_first", F.coalesce("_near", F.lit(False)).alias("_near"))

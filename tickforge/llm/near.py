@@ -206,6 +206,7 @@ def _components(docs: DataFrame, num: int, den: int, words: int, id_col: str, te
         spread = members.select("_node", "_group", "_set", "_regs", F.explode(every).alias("_x")).select("_x._task", "_node", "_group", "_x._ask", "_set", "_regs")
         links = links.unionByName(scratch.table(_compare(spread, num, den), "late"))
     joined = components(links, scratch, "joined").select(F.col("node").alias("_s1"), F.col("component").alias("_c"))
+    scratch.keep("sketches", "joined")
     out = rows.join(joined, "_s1", "left").withColumn("_c", F.coalesce("_c", "_s1"))
     order = F.struct(F.col("_id").isNotNull(), F.col("_id"))
     first = out.filter("_c IS NOT NULL").groupBy("_c").agg(F.min(order).getField("_id").alias("_first"), F.lit(True).alias("_found"))
