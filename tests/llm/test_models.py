@@ -258,7 +258,7 @@ def test_training_raises_likelihood():
         was, m = now, lm.Model(counts[0] / counts[0].sum(), counts[1] / counts[1].sum(1, keepdims=True), counts[2] / counts[2].sum(0))
 
 
-@pytest.mark.parametrize("sizes", [(1 << 18, 1 << 15), (40, 12)])
+@pytest.mark.parametrize("sizes", [(1 << 17, 1 << 15), (40, 12)])
 def test_scores(spark, monkeypatch, sizes):
     monkeypatch.setattr(lm, "FREQUENT", sizes[0])
     monkeypatch.setattr(lm, "SYMBOLS", sizes[1])

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tickforge.llm.common import FOLD_BYTES, WORD_BYTES, Scratch, bucket_col
 
 #: Words whose counts are sent along, words that are symbols, classes of the others, states, rounds, and tokens of a stretch.
-FREQUENT, SYMBOLS, CLASSES, STATES, ROUNDS, STRETCH = 1 << 18, 1 << 15, 64, 6, 4, 256
+FREQUENT, SYMBOLS, CLASSES, STATES, ROUNDS, STRETCH = 1 << 17, 1 << 15, 64, 6, 4, 256
 END = b"\n"  # ends every text; no word holds it
 _SEGMENTS, _HELD = 1024, 400_000
 
@@ -73,11 +73,18 @@ class Vocabulary:
 
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
-    """From a table of counts; FREQUENT words and CLASSES sums come to the driver."""
+    """From a table of counts; at most FREQUENT words and CLASSES sums come to the driver."""
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    top = counts.orderBy(F.desc("c"), "word").limit(FREQUENT).collect()
-    top.sort(key=lambda r: (bytes(r["word"]) != END, -r["c"], bytes(r["word"])))  # the end is a symbol in any case
-    names, c = [bytes(r["word"]) for r in top], np.array([r["c"] for r in top], np.float64)
+    # the lowest count, on a grid of 16 steps to a doubling, from which on there are no more than FREQUENT words
+    step, room, least = F.floor(16 * F.log2("c")).alias("k"), FREQUENT - 1, 1 << 12
+    for k, n in sorted(((r["k"], r["count"]) for r in counts.groupBy(step).count().collect()), reverse=True):
+        room -= n
+        if room < 0:
+            break
+        least = k
+    got = counts.filter((F.floor(16 * F.log2("c")) >= least) | (F.col("word") == F.lit(END))).toArrow()
+    top = sorted(zip(got["word"].to_pylist(), got["c"].to_pylist(), strict=True), key=lambda r: (r[0] != END, -r[1], r[0]))  # the end is a symbol in any case
+    names, c = [w for w, _ in top], np.array([n for _, n in top], np.float64)
     ending = F.expr("substring(word, greatest(length(word) - 2, 1), 3)")
     mass = np.full(CLASSES, 0.5)  # for words never seen
     for r in counts.groupBy((F.crc32(ending) % CLASSES).alias("k")).agg((F.sum("c") + 0.5 * F.count("*")).alias("w")).collect():
@@ -211,14 +218,11 @@ def train(encoded: DataFrame, unigram: np.ndarray, rounds: int = ROUNDS, states:
     rows = encoded.filter("NOT held_out")
     for _ in range(rounds):
         starts, moves, emits = np.full(states, 0.1), np.full((states, states), 0.1), 0.5 * unigram[:, None] * np.ones(states) + 1e-12
-        for r in _rounds(rows, m).collect():
-            x = np.array(r[1:])
-            if r[0] == -2:
-                starts += x
-            elif r[0] < 0:
-                moves[-r[0] - states - 2] += x
-            else:
-                emits[r[0]] += x
+        got = _rounds(rows, m).toArrow()
+        what, x = got["_what"].to_numpy(), np.stack([got[f"_x{i}"].to_numpy() for i in range(states)], 1)
+        starts += x[what == -2].sum(0)
+        np.add.at(moves, -what[what < -2] - states - 2, x[what < -2])
+        np.add.at(emits, what[what >= 0], x[what >= 0])
         m = Model(starts / starts.sum(), moves / moves.sum(1, keepdims=True), emits / emits.sum(0))
     return m
 
