@@ -20,8 +20,8 @@ from tickforge.llm.common import Scratch
 from tickforge.llm.hashing import mix, prefix, spans
 
 LENGTH, GRAM = 200, 40
-#: Bytes that are hashed or sorted at once, and contexts of one anchor that are sorted in one task; larger groups are counted by window instead.
-CHUNK, SORTED, GROUP = 1 << 20, 3 << 20, 6000
+#: Bytes that are hashed or sorted at once, and contexts of one anchor that are sorted in one task; those of larger groups are cut to what they share first.
+CHUNK, SORTED, GROUP = 1 << 20, 3 << 20, 4000
 
 
 def _sliding(x: np.ndarray, w: int, f) -> np.ndarray:
@@ -171,7 +171,12 @@ def _occurrences(docs: DataFrame, length: int, gram: int) -> DataFrame:
 
 
 def _contexts(docs: DataFrame, wanted: DataFrame, length: int, gram: int) -> DataFrame:
-    """``wanted`` (_h, _c, _n, _at) with _lo, the place of the context's first byte, and _bytes."""
+    """``wanted`` (_h, _c, _n, _at) with _lo, the place of the context's first byte, _bytes and _halves.
+
+    A string of ``length`` bytes about an anchor holds half of what may precede it or half of what may follow; _halves are
+    digests of the anchor with either.
+    """
+    half = (length - gram) // 2
     lists = wanted.groupBy("_at._id", "_at._k").agg(F.collect_list(F.struct("_h", "_c", "_n", "_at._a")).alias("_x")).withColumnsRenamed({"_id": "_id2", "_k": "_k2"})
     rows = docs.join(lists, F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_k") == F.col("_k2"))).dropDuplicates(["_id", "_k"]).select("_id", "_k", "_t", "_x")
 
@@ -181,13 +186,16 @@ def _contexts(docs: DataFrame, wanted: DataFrame, length: int, gram: int) -> Dat
             for d, k, t, x in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
                 t = t.encode()
                 for y in x:
-                    lo = max(0, y["_a"] - (length - gram))
-                    out.append((d, k, y["_h"], y["_c"], y["_n"], y["_a"], lo, t[lo : y["_a"] + length]))
-            cols = list(zip(*out, strict=True)) or [()] * 8
-            kinds = (b.column(0).type, *[pa.int64()] * 6, pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, kinds, strict=True)], names=["_id", "_k", "_h", "_c", "_n", "_a", "_lo", "_bytes"])
+                    a = y["_a"]
+                    lo = max(0, a - (length - gram))
+                    ends = [(a - half, a + gram)] * (a >= half) + [(a, a + length - half)] * (a + length - half <= len(t))
+                    halves = [int.from_bytes(hashlib.blake2b(t[i:j], digest_size=8, person=b"%d" % (i == a)).digest(), "little", signed=True) for i, j in ends]
+                    out.append((d, k, y["_h"], y["_c"], y["_n"], a, lo, t[lo : a + length], halves))
+            cols = list(zip(*out, strict=True)) or [()] * 9
+            kinds = (b.column(0).type, *[pa.int64()] * 6, pa.binary(), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, kinds, strict=True)], names=["_id", "_k", "_h", "_c", "_n", "_a", "_lo", "_bytes", "_halves"])
 
-    return rows.mapInArrow(read, f"_id {dict(docs.dtypes)['_id']}, _k long, _h long, _c long, _n long, _a long, _lo long, _bytes binary")
+    return rows.mapInArrow(read, f"_id {dict(docs.dtypes)['_id']}, _k long, _h long, _c long, _n long, _a long, _lo long, _bytes binary, _halves array<long>")
 
 
 def _sorted_matches(contexts: DataFrame, length: int) -> DataFrame:
@@ -218,7 +226,7 @@ def _sorted_matches(contexts: DataFrame, length: int) -> DataFrame:
 
 
 def _counted_matches(contexts: DataFrame, length: int) -> DataFrame:
-    """The same for anchors with so many contexts that no task may hold them: windows are counted by their digest."""
+    """The same for anchors with so many distinct contexts that no task may hold them: windows are counted by their digest."""
 
     def explode(batches):
         for b in batches:
@@ -245,6 +253,82 @@ def _counted_matches(contexts: DataFrame, length: int) -> DataFrame:
     return w.groupBy("_h", "_c").agg(spread("_x").alias("_other"), spread("_y").alias("_earlier"))
 
 
+def _common(a: bytes, b: bytes) -> int:
+    """How many first bytes are equal."""
+    lo, hi = 0, min(len(a), len(b))
+    while lo < hi:
+        mid = (lo + hi + 1) // 2
+        if a[lo:mid] == b[lo:mid]:
+            lo = mid
+        else:
+            hi = mid - 1
+    return lo
+
+
+def _extents(contexts: DataFrame, gram: int, left: bool, name: str) -> DataFrame:
+    """_h, _c and how far, on one side of the anchor, a context shares its bytes with any other of the anchor.
+
+    What precedes (read backwards) or follows the anchor is sorted; the longest common prefix is with a neighbour. Sorting
+    spills; a task holds two rows of it.
+    """
+
+    def sides(batches):
+        for b in batches:
+            at = zip(b.column(2).to_pylist(), b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True)
+            keys = [x[: a - lo][::-1] if left else x[a - lo + gram :] for a, lo, x in at]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(keys, pa.binary())], names=["_h", "_c", "_key"])
+
+    def neighbours(batches):
+        held, out = None, []  # the row before: anchor, context, key, longest so far
+
+        def done():
+            cols = list(zip(*out, strict=True)) or [()] * 3
+            out.clear()
+            return pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in cols], names=["_h", "_c", name])
+
+        for b in batches:
+            for h, c, key in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
+                e = _common(held[2], key) if held and held[0] == h else 0
+                if held:
+                    out.append((held[0], held[1], max(held[3], e)))
+                held = (h, c, key, e)
+            yield done()
+        if held:
+            out.append((held[0], held[1], held[3]))
+            yield done()
+
+    keys = contexts.select("_h", "_c", "_a", "_lo", "_bytes").mapInArrow(sides, "_h long, _c long, _key binary")
+    return keys.repartition("_h").sortWithinPartitions("_h", "_key").mapInArrow(neighbours, f"_h long, _c long, {name} long")
+
+
+def _trimmed_matches(contexts: DataFrame, scratch: Scratch, length: int, gram: int, group: int) -> DataFrame:
+    """The same for anchors with very many contexts: each is first cut to what it shares on either side.
+
+    A passage in very many documents leaves one trimmed context, and all of it is repeated. What stays distinct is sorted,
+    or counted where even that is more than a task may hold.
+    """
+    rows = contexts.join(_extents(contexts, gram, True, "_l"), ["_h", "_c"]).join(_extents(contexts, gram, False, "_r"), ["_h", "_c"])
+    before = F.col("_a") - F.col("_lo")
+    rows = rows.withColumn("_r", F.when(F.col("_n") > 1, F.length("_bytes") - before - gram).otherwise(F.col("_r")).cast("long"))
+    rows = rows.withColumn("_l", F.when(F.col("_n") > 1, before).otherwise(F.col("_l")))
+    rows = rows.filter(F.col("_l") + F.col("_r") + gram >= length)
+    rows = rows.withColumn("_bytes", F.expr(f"substring(_bytes, cast(_a - _lo - _l + 1 as int), cast(_l + _r + {gram} as int))"))
+    rows = rows.withColumn("_t", F.xxhash64("_l", "_bytes")).withColumn("_place", F.struct("_id", "_k", "_a"))
+    rows = scratch.table(rows, "cut")
+    cut = rows.groupBy("_h", "_t").agg(F.sum("_n").alias("_times"), F.min("_place").alias("_at"), F.min_by(F.struct("_l", "_r", "_bytes"), "_place").alias("_x"))
+    one = cut.select("_h", F.col("_t").alias("_c"), F.col("_times").alias("_n"), F.col("_at._a").alias("_a"), (F.col("_at._a") - F.col("_x._l")).alias("_lo"), F.col("_at._id").alias("_id"), F.col("_at._k").alias("_k"), F.col("_x._bytes").alias("_bytes"), "_at")
+    one = scratch.table(one, "distinct")
+    many = one.groupBy("_h").count().filter(F.col("count") > group).select("_h")
+    found = _sorted_matches(one.join(many, "_h", "left_anti"), length)
+    if not many.isEmpty():
+        found = found.unionByName(_counted_matches(one.join(many, "_h", "left_semi"), length))
+    found = scratch.table(found, "found")
+    judged = one.select("_h", F.col("_c").alias("_t"), F.col("_n").alias("_times"), "_at").join(found.withColumnRenamed("_c", "_t"), ["_h", "_t"], "left")
+    whole = F.array(-F.col("_l"), F.col("_r") + gram)
+    out = rows.join(judged, ["_h", "_t"])
+    return out.select("_h", "_c", F.when(F.col("_times") > 1, whole).otherwise(F.col("_other")).alias("_other"), F.when(F.col("_place") != F.col("_at"), whole).otherwise(F.col("_earlier")).alias("_earlier"))
+
+
 def find_repeats(docs: DataFrame, scratch: Scratch, length: int = LENGTH, gram: int = GRAM, keep_first: bool = False, group: int = GROUP) -> DataFrame:
     """_id, _k, _full (anchors whose whole context is repeated) and _part (begins and ends) of each row of docs (_id, _k, _t)."""
     found = scratch.table(_occurrences(docs, length, gram), "anchors")
@@ -255,14 +339,20 @@ def find_repeats(docs: DataFrame, scratch: Scratch, length: int = LENGTH, gram:
     classes = found.groupBy("_h", "_c").agg(F.count("*").alias("_n"), F.min(F.struct("_id", "_k", "_a")).alias("_at"), F.max("_mixed").alias("_mixed"))
     classes = scratch.table(classes, "classes")
     mixed = classes.filter("_mixed")
-    open_ = mixed.groupBy("_h").agg(F.min("_n").alias("_least"), F.count("*").alias("_classes")).filter(F.lit(keep_first) | (F.col("_least") == 1)).select("_h", "_classes")
-    open_ = scratch.table(open_, "open")
-    contexts = scratch.table(_contexts(docs, mixed.join(open_.select("_h"), "_h"), length, gram), "contexts")
-    huge = open_.filter(F.col("_classes") > group).select("_h")
+    open_ = mixed.groupBy("_h").agg(F.min("_n").alias("_least")).filter(F.lit(keep_first) | (F.col("_least") == 1)).select("_h")
+    contexts = scratch.table(_contexts(docs, mixed.join(open_, "_h"), length, gram), "contexts")
+    halves = contexts.select("_h", "_c", F.explode("_halves").alias("_half"))
+    shared = halves.groupBy("_h", "_half").agg(F.min("_c").alias("_lo"), F.max("_c").alias("_hi")).filter("_lo <> _hi").select("_h", "_half")
+    live = scratch.table(halves.join(shared, ["_h", "_half"], "left_semi").select("_h", "_c").distinct(), "live")
+    contexts = scratch.table(contexts.drop("_halves").join(live, ["_h", "_c"], "left_semi"), "near")
+    scratch.drop("contexts")
+    huge = live.groupBy("_h").count().filter(F.col("count") > group).select("_h")
     parts = _sorted_matches(contexts.join(huge, "_h", "left_anti"), length)
     if not huge.isEmpty():
-        parts = parts.unionByName(_counted_matches(contexts.join(huge, "_h", "left_semi"), length))
+        large = scratch.table(contexts.join(huge, "_h", "left_semi"), "large")
+        parts = parts.unionByName(_trimmed_matches(large, scratch, length, gram, group))
     parts = scratch.table(parts, "parts")
+    scratch.keep("repeated", "classes", "parts")
     judged = classes.join(parts, ["_h", "_c"], "left").select("_h", "_c", "_n", "_at", F.col("_earlier" if keep_first else "_other").alias("_part"))
     judged = judged.filter("_n > 1 OR size(_part) > 0")
     whole = (F.struct("_id", "_k", "_a") != F.col("_at")) if keep_first else (F.col("_n") > 1)
