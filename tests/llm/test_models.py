@@ -171,6 +171,25 @@ def test_repeats_awkward(spark, monkeypatch):
     assert repeats.remove_repeats(table(spark, [])).count() == 0
 
 
+def test_anchors_of_long_texts_are_given_once():
+    rng = np.random.default_rng(13)
+    text = bytes(rng.integers(97, 123, 5 * repeats.CHUNK // 2, dtype=np.uint8))
+    parts = list(repeats.text_anchors([b"short", text]))
+    i, a, h, c = (np.concatenate(x) for x in zip(*parts, strict=True))
+    assert len(parts) == 3 and set(i.tolist()) == {1} and len(np.unique(a)) == len(a)
+    whole = repeats.anchors(np.frombuffer(text, np.uint8), np.array([[0, len(text)]]), np.array([[0, len(text) - repeats.LENGTH + 1]]), repeats.LENGTH, repeats.GRAM)
+    assert (a == whole[1]).all() and (h == whole[2]).all() and (c == whole[3]).all()
+
+
+def test_long_text_without_repeats_stays_whole(spark):
+    rng = np.random.default_rng(14)
+    text = bytes(rng.integers(97, 123, 9 * repeats.CHUNK // 4, dtype=np.uint8)).decode()
+    again = text[repeats.CHUNK - 300 : repeats.CHUNK + 300]  # a true repeat across a border is still found
+    assert [(r["n_removed"], r["n_spans"]) for r in repeats.remove_repeats(table(spark, [(1, text)])).collect()] == [(0, 0)]
+    got = {r["doc_id"]: (r["n_removed"], r["spans"]) for r in repeats.remove_repeats(table(spark, [(1, text), (2, again)])).collect()}
+    assert got == {1: (600, [repeats.CHUNK - 300, repeats.CHUNK + 300]), 2: (600, [0, 600])}
+
+
 def brute_near(rows, num):
     sets = [frozenset(s.tolist()) for s in shingle_sets([t for _, t in rows], 5)]
     parent = list(range(len(rows)))

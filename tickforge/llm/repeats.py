@@ -77,12 +77,15 @@ def text_anchors(texts: list[bytes], length: int = LENGTH, gram: int = GRAM):
         if len(t) < length:
             continue
         if len(t) > CHUNK:
+            late = np.empty(0, np.int64)  # places past its border that the part before gave
             for s in range(0, len(t) - length + 1, CHUNK):
                 lo, hi = max(0, s - length), min(len(t), s + CHUNK + 2 * length)
                 b = np.frombuffer(t[lo:hi], np.uint8)
                 windows = np.array([[s - lo, min(s + CHUNK, len(t) - length + 1) - lo]])
                 d, a, h, c = anchors(b, np.array([[-lo, len(t) - lo]]), windows, length, gram)
-                yield np.full(len(a), i), a + lo, h, c
+                a, new = a + lo, ~np.isin(a + lo, late)
+                late = a[a >= s + CHUNK]
+                yield np.full(new.sum(), i), a[new], h[new], c[new]
             continue
         if size + len(t) > CHUNK:
             yield flush()
