@@ -92,6 +92,23 @@ def test_decontamination(spark):
     assert dc.find_leaks(table(spark, []), bench).count() == 0 and dc.find_leaks(table(spark, docs), bench.limit(0)).count() == 0
 
 
+def test_names_that_begin_sentences(spark):
+    rng = random.Random(15)
+    item = "Tom has 12 apples. Tom buys 5 more. How many apples does Tom have?"
+    swapped = item.replace("Tom", "Bob").replace("12", "31").replace("5", "8")
+    uneven = "Bob has 12 apples. Jim buys 5 more. How many apples does Ann have?"  # three names for one
+    numbers = "Anna 1 2 3 4 5 6 7 8 9 Berta. Carl. Dora. Emil. Fritz. Gustav. Hans. Ida. Jan. Karl. 10 11 12 13 14 15 16"
+    text = prose(rng, 40)
+    docs = [(1, f"{text} {swapped} {text}"), (2, f"{text} {uneven} {text}"), (3, text), (4, f"{text} {item.lower()}"), (5, f"{text} {numbers}"), (6, f"{text} {numbers.replace('Dora', 'Nora')}"), (7, "Yes. " * 5000)]
+    bench = spark.createDataFrame([(1, item), (2, numbers), (3, "One 1 2 3 4 Two. 5 6 7 8 Three. 9")], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): (r["n_windows"], r["n_found"], r["n_changed"]) for r in dc.find_leaks(table(spark, docs), bench).collect()}
+    assert got[1, 1] == (7, 7, 3) and got[2, 1] == (7, 4, 1) and not [k for k in got if k[0] in (3, 7)]
+    assert {k for k in got if k[1] == 2} == {(5, 2), (6, 2)} and got[5, 2][2] == 0 and got[6, 2][2] == 1
+    h, both = dc._Tokens().hashes("Yes. No. I am Tom. Ok then")
+    p, g = (np.concatenate(x) for x in zip(*dc.readings(h, both, 4), strict=True))
+    assert Counter(p.tolist()) == {0: 4, 1: 2, 2: 2, 3: 2} and len(set(g.tolist())) == len(g)
+
+
 def test_decontamination_finds_all_whole_items(spark):
     bench = {r["item_id"]: r["text"] for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()}
     found = {(r["doc_id"], r["item_id"]) for r in registry.QUERIES["op3_decontamination"](spark, FOLDER).collect()}

@@ -2,7 +2,8 @@
 
 Numbers, names and units become typed placeholders, so that a question with other values has the same template. Windows
 of template tokens are hash-joined with those of the benchmark; hits of one item that lie on one alignment are then read
-again, and a placeholder's values must map consistently from the item to the document.
+again, and a placeholder's values must map consistently from the item to the document. A capitalised word that begins a
+sentence may be a name or not: windows are joined under both readings.
 """
 
 from __future__ import annotations
@@ -17,12 +18,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickforge.llm.common import WORD
-from tickforge.llm.hashing import grams, mix
+from tickforge.llm.hashing import mix, powers
 
 #: Tokens of a window, literal tokens that a window needs, tokens that an item needs, and the share of an item's windows that makes a leak.
 WINDOW, LITERALS, LEAST, COVER = 8, 4, 4, 0.4
 #: Benchmark items that are sent to all tasks at once; larger benchmarks are taken in blocks of about so many.
 ITEMS = 20_000
+#: Windows of a document that are read in all ways at once.
+BLOCK = 4096
 #: Units of measure.
 UNITS = frozenset((
     "%", "am", "c", "cents", "cm", "days", "dollars", "eur", "euros", "f", "feet", "ft", "g", "gb", "grams", "hours", "hz", "in", "inches", "k", "kb",
@@ -49,23 +52,64 @@ def _kind(word: str) -> tuple[str, int]:
     return low or word, flags
 
 
-def template(text: str) -> list[tuple[str, str]]:
-    """Template token and value of each word; a literal token is its own value."""
+def template(text: str) -> list[tuple[str, str, bool]]:
+    """Template token and value of each word, and whether it is written as a name; a literal token is its own value."""
     out, was = [], 8
     for w in WORD.findall(text):
         low, flags = _kind(w)
         if flags & 1:
-            out.append((NUMBER, low))
+            out.append((NUMBER, low, flags & 4 > 0))
         elif flags & 2 and was & 1:
-            out.append((UNIT, low))
+            out.append((UNIT, low, flags & 4 > 0))
         elif flags & 4 and not was & 8:
-            out.append((NAME, low))
+            out.append((NAME, low, flags & 4 > 0))
         else:
-            out.append((low, low))
+            out.append((low, low, flags & 4 > 0))
         was = flags
     return out
 
 
+def _slot(theirs: tuple[str, str, bool], mine: tuple[str, str, bool]) -> str | None:
+    """As what an item's token and a document's are the same: a placeholder, "" for equal words; None if they are not."""
+    (a, x, name), (b, y, also) = theirs, mine
+    if a in (NUMBER, UNIT) or b in (NUMBER, UNIT):
+        return a if a == b else None
+    if name and also:
+        return NAME
+    return "" if x == y and NAME not in (a, b) else None
+
+
+def _fit(theirs: list, mine: list, slots: dict[tuple[str, str], str]) -> dict[tuple[str, str], str] | None:
+    """The slots of a window, if they map consistently among themselves and with ``slots``."""
+    new: dict[tuple[str, str], str] = {}
+    for x, y in zip(theirs, mine, strict=True):
+        kind = _slot(x, y)
+        if kind is None or kind and new.setdefault((kind, x[1]), slots.get((kind, x[1]), y[1])) != y[1]:
+            return None
+    return new
+
+
+def readings(h: np.ndarray, both: np.ndarray, n: int):
+    """Blocks (places, hashes) of the windows of n tokens, each with every choice of those of ``both`` it has as names."""
+    m = len(h) - n + 1
+    sums, up = np.zeros(max(m, 0), np.uint64), powers(n)[0]
+    for k in range(n if m > 0 else 0):
+        sums += h[k : m + k] * up[n - 1 - k]
+    at = np.flatnonzero(both)
+    change = _P[NAME] - h[at]
+    for lo in range(0, m, BLOCK):
+        p = np.arange(lo, min(m, lo + BLOCK))
+        s, j, end = sums[p], np.searchsorted(at, p), np.searchsorted(at, p + n)
+        while len(p):
+            yield p, mix(s)
+            more = end - j  # tokens that may still become names, each after those that have
+            k = np.repeat(np.arange(len(p)), more)
+            j = j[k] + np.arange(len(k)) - (np.cumsum(more) - more)[k]
+            p, end = p[k], end[k]
+            s = s[k] + change[j] * up[n - 1 - (at[j] - p)]
+            j += 1
+
+
 class _Tokens:
     """Hashes of template tokens of whole texts; words are looked up in a bounded cache."""
 
@@ -87,7 +131,8 @@ class _Tokens:
         self.size += 1
         return k
 
-    def hashes(self, text: str) -> np.ndarray:
+    def hashes(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the template tokens, and which of them may be names as well."""
         if self.size > 300_000:
             self.clear()
         words, at, add = WORD.findall(text), self.at, self._add
@@ -98,10 +143,11 @@ class _Tokens:
             was[0], was[1:] = 8, f[:-1]
         number = (f & 1) > 0
         unit = ~number & ((f & 2) > 0) & ((was & 1) > 0)
-        name = ~number & ~unit & ((f & 4) > 0) & ((was & 8) == 0)
+        name = ~number & ~unit & ((f & 4) > 0)
+        both = name & ((was & 8) > 0)
         h = self.literal[k]
-        h[number], h[unit], h[name] = _P[NUMBER], _P[UNIT], _P[NAME]
-        return h
+        h[number], h[unit], h[name & ~both] = _P[NUMBER], _P[UNIT], _P[NAME]
+        return h, both
 
 
 class Benchmark:
@@ -110,47 +156,51 @@ class Benchmark:
     def __init__(self, items: list[tuple[int, str]]):
         tokens = _Tokens()
         self.templates, self.windows, self.lengths = {}, {}, set()
-        at: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        at: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
         for item, text in items:
-            t, h = template(text or ""), tokens.hashes(text or "")
+            t, (h, both) = template(text or ""), tokens.hashes(text or "")
             if len(t) < LEAST:
                 continue
-            n = min(WINDOW, len(t))
-            g = grams(h, n)
-            literal = np.array([a == b for a, b in t], np.int64)
-            enough = np.convolve(literal, np.ones(n, np.int64), "valid") >= LITERALS
-            if not enough.any():
-                n = len(t)
-                g, enough = grams(h, n), np.ones(1, bool)
+            n = width = min(WINDOW, len(t))
+            ones = np.ones(n, np.int64)
+            literal = np.convolve([x[0] == x[1] for x in t], ones, "valid")
+            enough, start = literal >= LITERALS, 0
+            if not enough.any():  # all of the item is one window, looked up by a part of it
+                n, enough = len(t), np.zeros(len(literal), bool)
+                start = int(np.argmin((WINDOW + 1) * np.convolve(both, ones, "valid") - literal))
+                enough[start] = True
             key = len(self.templates)
-            self.lengths.add(n)
+            self.lengths.add(width)
             self.templates[key], self.windows[key] = (item, t, n), int(enough.sum())
-            for q in np.flatnonzero(enough).tolist():
-                at[int(g[q])].append((key, q))
+            for p, g in readings(h, both, width):
+                for q, x in zip(p[enough[p]].tolist(), g[enough[p]].tolist(), strict=True):
+                    at[x].append((key, q - start, start))
         self.keys = np.array(sorted(at), np.uint64)
         self.places = [at[int(k)] for k in self.keys]
         self.maybe = np.zeros(1 << 20, bool)
         self.maybe[(self.keys & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
 
-    def hits(self, h: np.ndarray) -> dict[int, list[tuple[int, int]]]:
-        """Of each item (place in the document, place in the item) of equal windows."""
-        out: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for n in sorted(self.lengths):
-            g = grams(h, n)
-            p = np.flatnonzero(self.maybe[(g & np.uint64((1 << 20) - 1)).astype(np.int64)])
-            if not len(p):
-                continue
-            k = np.searchsorted(self.keys, g[p])
-            k[k == len(self.keys)] = 0
-            for i, j in zip(p[self.keys[k] == g[p]].tolist(), k[self.keys[k] == g[p]].tolist(), strict=True):
-                for key, q in self.places[j]:
-                    if self.templates[key][2] == n:
-                        out[key].append((i, q))
+    def hits(self, h: np.ndarray, both: np.ndarray) -> dict[int, set[tuple[int, int]]]:
+        """Of each item (place in the document, place in the item) of windows that are equal under a reading."""
+        out: dict[int, set[tuple[int, int]]] = defaultdict(set)
+        for width in sorted(self.lengths):
+            for p, g in readings(h, both, width):
+                on = np.flatnonzero(self.maybe[(g & np.uint64((1 << 20) - 1)).astype(np.int64)])
+                if not len(on):
+                    continue
+                k = np.searchsorted(self.keys, g[on])
+                k[k == len(self.keys)] = 0
+                same = self.keys[k] == g[on]
+                for i, j in zip(p[on][same].tolist(), k[same].tolist(), strict=True):
+                    for key, q, start in self.places[j]:
+                        n = self.templates[key][2]
+                        if min(n, WINDOW) == width and 0 <= i - start <= len(h) - n:
+                            out[key].add((i - start, q))
         return out
 
-    def leaks(self, text: str, h: np.ndarray, cover: float = COVER) -> list[tuple[int, int, int, int]]:
+    def leaks(self, text: str, tokens: _Tokens, cover: float = COVER) -> list[tuple[int, int, int, int]]:
         """(item, its windows, windows found with consistent slots, how many slots have other values) of each leaked item."""
-        found = self.hits(h) if len(self.keys) else {}
+        found = self.hits(*tokens.hashes(text)) if len(self.keys) else {}
         if not found:
             return []
         mine, best = template(text), {}
@@ -166,11 +216,13 @@ class Benchmark:
             for near in stretches.values():
                 slots: dict[tuple[str, str], str] = {}
                 ok, other = set(), set()
-                for i, q in sorted(near):
-                    pairs_here = [(theirs[q + k][0], theirs[q + k][1], mine[i + k][1]) for k in range(n)]
-                    if all(slots.setdefault((kind, a), b) == b for kind, a, b in pairs_here if kind.startswith("<")):
+                windows = [(i, q, theirs[q : q + n], mine[i : i + n]) for i, q in sorted(near)]
+                for _, q, x, y in sorted(windows, key=lambda w: [v[1] for v in w[2]] != [v[1] for v in w[3]]):  # equal ones first
+                    new = _fit(x, y, slots)
+                    if new is not None:
+                        slots |= new
                         ok.add(q)
-                        other.update((kind, a) for kind, a, b in pairs_here if a != b)
+                        other.update(k for k, v in new.items() if k[1] != v)
                 if len(ok) >= cover * self.windows[key]:
                     got = (item, self.windows[key], len(ok), len(other))
                     best[key] = max(best.get(key, got), got, key=lambda x: (x[2], -x[3]))
@@ -202,7 +254,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, cover: float = COVER, id_c
         def judge(batches, sent=sent):
             tokens = _Tokens()
             for b in batches:
-                got = [(d, *x) for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) if t for x in sent.value.leaks(t, tokens.hashes(t), cover)]
+                got = [(d, *x) for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) if t for x in sent.value.leaks(t, tokens, cover)]
                 cols = list(zip(*got, strict=True)) or [()] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), b.column(0).type if k == 0 else pa.int64()) for k, c in enumerate(cols)], names=["doc_id", "item_id", "n_windows", "n_found", "n_changed"])
 
@@ -220,7 +272,7 @@ def drop_leaking(docs: DataFrame, benchmark: DataFrame, cover: float = COVER, te
         def keep(batches, sent=sent):
             tokens = _Tokens()
             for b in batches:
-                yield b.filter(pa.array([not (t and sent.value.leaks(t, tokens.hashes(t), cover)) for t in b.column(text_col).to_pylist()], pa.bool_()))
+                yield b.filter(pa.array([not (t and sent.value.leaks(t, tokens, cover)) for t in b.column(text_col).to_pylist()], pa.bool_()))
 
         docs = docs.mapInArrow(keep, schema)
     return docs
