@@ -104,11 +104,21 @@ def test_names_that_begin_sentences(spark):
     got = {(r["doc_id"], r["item_id"]): (r["n_windows"], r["n_found"], r["n_changed"]) for r in dc.find_leaks(table(spark, docs), bench).collect()}
     assert got[1, 1] == (7, 7, 3) and got[2, 1] == (7, 4, 1) and not [k for k in got if k[0] in (3, 7)]
     assert {k for k in got if k[1] == 2} == {(5, 2), (6, 2)} and got[5, 2][2] == 0 and got[6, 2][2] == 1
-    h, both = dc._Tokens().hashes("Yes. No. I am Tom. Ok then")
+    h, both, *_ = dc._Tokens().hashes("Yes. No. I am Tom. Ok then")
     p, g = (np.concatenate(x) for x in zip(*dc.readings(h, both, 4), strict=True))
     assert Counter(p.tolist()) == {0: 4, 1: 2, 2: 2, 3: 2} and len(set(g.tolist())) == len(g)
 
 
+def test_short_items_after_any_words(spark):
+    items = ["What is the capital of France", "in which year did it end", "Min and max are what here", "which of these is it"]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    before = ["", "Question 12\n", "so 12 ", "the Question ", "and then ", "It ended. "]
+    docs = [(10 * k + j, f"{b}{x} and so on") for k, x in enumerate(items) for j, b in enumerate(before)]
+    docs += [(90, "What is the capital city of France"), (91, "12 which year did it end"), (92, "Question 12")]
+    got = {(r["doc_id"], r["item_id"]): r["n_changed"] for r in dc.find_leaks(table(spark, docs), bench).collect()}
+    assert got == {(10 * k + j, k): 0 for k in range(len(items)) for j in range(len(before))}
+
+
 def test_decontamination_finds_all_whole_items(spark):
     bench = {r["item_id"]: r["text"] for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()}
     found = {(r["doc_id"], r["item_id"]) for r in registry.QUERIES["op3_decontamination"](spark, FOLDER).collect()}

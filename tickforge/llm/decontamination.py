@@ -82,15 +82,20 @@ def _slot(theirs: tuple[str, str, bool], mine: tuple[str, str, bool]) -> str | N
 def _fit(theirs: list, mine: list, slots: dict[tuple[str, str], str]) -> dict[tuple[str, str], str] | None:
     """The slots of a window, if they map consistently among themselves and with ``slots``."""
     new: dict[tuple[str, str], str] = {}
-    for x, y in zip(theirs, mine, strict=True):
+    for k, (x, y) in enumerate(zip(theirs, mine, strict=True)):
         kind = _slot(x, y)
+        if kind is None and k == 0 and y[0] != NUMBER:  # what precedes the window doesn't count
+            kind = _slot(x, (y[1], *y[1:]))
         if kind is None or kind and new.setdefault((kind, x[1]), slots.get((kind, x[1]), y[1])) != y[1]:
             return None
     return new
 
 
-def readings(h: np.ndarray, both: np.ndarray, n: int):
-    """Blocks (places, hashes) of the windows of n tokens, each with every choice of those of ``both`` it has as names."""
+def readings(h: np.ndarray, both: np.ndarray, n: int, first: tuple[np.ndarray, np.ndarray] | None = None):
+    """Blocks (places, hashes) of the windows of n tokens, each with every choice of those of ``both`` it has as names.
+
+    ``first``: places, ascending, and hashes that the token there has as well where it begins a window.
+    """
     m = len(h) - n + 1
     sums, up = np.zeros(max(m, 0), np.uint64), powers(n)[0]
     for k in range(n if m > 0 else 0):
@@ -99,7 +104,12 @@ def readings(h: np.ndarray, both: np.ndarray, n: int):
     change = _P[NAME] - h[at]
     for lo in range(0, m, BLOCK):
         p = np.arange(lo, min(m, lo + BLOCK))
-        s, j, end = sums[p], np.searchsorted(at, p), np.searchsorted(at, p + n)
+        s = sums[p]
+        if first is not None:
+            k = slice(*np.searchsorted(first[0], (lo, min(m, lo + BLOCK))))
+            q = first[0][k]
+            p, s = np.concatenate([p, q]), np.concatenate([s, sums[q] + (first[1][k] - h[q]) * up[n - 1]])
+        j, end = np.searchsorted(at, p), np.searchsorted(at, p + n)
         while len(p):
             yield p, mix(s)
             more = end - j  # tokens that may still become names, each after those that have
@@ -131,8 +141,8 @@ class _Tokens:
         self.size += 1
         return k
 
-    def hashes(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of the template tokens, and which of them may be names as well."""
+    def hashes(self, text: str) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray]]:
+        """Hashes of the template tokens, which of them may be names as well, and places and hashes of those that are others where a text begins with them."""
         if self.size > 300_000:
             self.clear()
         words, at, add = WORD.findall(text), self.at, self._add
@@ -146,8 +156,13 @@ class _Tokens:
         name = ~number & ~unit & ((f & 4) > 0)
         both = name & ((was & 8) > 0)
         h = self.literal[k]
+        alone, named = np.flatnonzero(unit | name & ~both), np.flatnonzero(unit & ((f & 4) > 0))
+        first = np.concatenate([alone, named]), np.concatenate([h[alone], np.full(len(named), _P[NAME])])
+        if len(named):
+            order = np.argsort(first[0], kind="stable")
+            first = first[0][order], first[1][order]
         h[number], h[unit], h[name & ~both] = _P[NUMBER], _P[UNIT], _P[NAME]
-        return h, both
+        return h, both, first
 
 
 class Benchmark:
@@ -158,7 +173,7 @@ class Benchmark:
         self.templates, self.windows, self.lengths = {}, {}, set()
         at: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
         for item, text in items:
-            t, (h, both) = template(text or ""), tokens.hashes(text or "")
+            t, (h, both, _) = template(text or ""), tokens.hashes(text or "")
             if len(t) < LEAST:
                 continue
             n = width = min(WINDOW, len(t))
@@ -180,11 +195,11 @@ class Benchmark:
         self.maybe = np.zeros(1 << 20, bool)
         self.maybe[(self.keys & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
 
-    def hits(self, h: np.ndarray, both: np.ndarray) -> dict[int, set[tuple[int, int]]]:
+    def hits(self, h: np.ndarray, both: np.ndarray, first: tuple[np.ndarray, np.ndarray]) -> dict[int, set[tuple[int, int]]]:
         """Of each item (place in the document, place in the item) of windows that are equal under a reading."""
         out: dict[int, set[tuple[int, int]]] = defaultdict(set)
         for width in sorted(self.lengths):
-            for p, g in readings(h, both, width):
+            for p, g in readings(h, both, width, first):
                 on = np.flatnonzero(self.maybe[(g & np.uint64((1 << 20) - 1)).astype(np.int64)])
                 if not len(on):
                     continue
