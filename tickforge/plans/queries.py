@@ -181,9 +181,9 @@ def category_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return category_literal(spark, sf_dir).agg(F.countDistinct("symbol").alias("n_symbols"), F.countDistinct("category").alias("n_categories"))
 
 
-def _sorted(descending: bool, n: int):
+def _sorted(descending: bool):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return present.sort_items(_sparse_summary(spark, sf_dir), "vsPreClosePct", descending).limit(n).select("pos", "symbol", "vsPreClosePct")
+        return present.sort_items(_sparse_summary(spark, sf_dir), "vsPreClosePct", descending).select("pos", "symbol", "vsPreClosePct")
 
     return query
 
@@ -320,7 +320,7 @@ QUERIES = {
     "stock_info": stock_info, "quote_prev_close": quote_prev_close, "universe_load": universe_load, "universe_combined": universe_combined,
     "ordered_distinct": ordered_distinct, "ticker_args_parse": ticker_args_parse, "category_parse": category_parse, "category_literal": category_literal,
     "category_join": category_join, "category_stats": category_stats, "category_counts": category_counts,
-    "sort_nulls_last_desc": _sorted(True, 140), "sort_nulls_last_asc": _sorted(False, 140), "top_movers_5": top_movers_5,
+    "sort_nulls_last_desc": _sorted(True), "sort_nulls_last_asc": _sorted(False), "top_movers_5": top_movers_5,
     "format_columns": format_columns, "bucket_columns": bucket_columns, "candle_series": candle_series, "csv_export_rows": csv_export_rows,
     "snapshot_latest": snapshot_latest, "snapshot_list": snapshot_list, "snapshot_list_of_type": snapshot_list_of_type, "snapshot_by_id": snapshot_by_id, "snapshot_explode": snapshot_explode,
     "daily_ohlcv_v2": daily_ohlcv_v2, "vwap_running_v2": vwap_running_v2, "after_hours_v2": after_hours_v2, "summary_v2": summary_v2,
