@@ -52,6 +52,12 @@ def test_plan_places_everything_well(seed):
     assert packing.plan({}) == [] and packing.plan({4096: 3, 1: 2}) and packing.plan({7: 3}, capacity=10)
 
 
+def test_plan_says_which_packing_is_used(caplog):
+    with caplog.at_level("INFO", "tickforge.llm.packing"):
+        p = packing.plan({7: 3, 5: 4}, capacity=10)
+    assert "is used: linear program" in caplog.text and min(caplog.records[-1].args[1:]) == sum(m for m, _ in p)
+
+
 def test_packing(spark, monkeypatch):
     monkeypatch.setattr(packing, "ROWS_PER_SALT", 3)
     docs = table(spark, awkward() + [(1000 + i, t) for i, t in documents(spark)[:80]])

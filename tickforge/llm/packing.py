@@ -8,6 +8,7 @@ are dealt to the plan by their rank among pieces of their length.
 
 from __future__ import annotations
 
+import logging
 import zlib
 from collections import defaultdict
 
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tickforge.llm.common import Scratch
 
+_LOG = logging.getLogger(__name__)
 CAPACITY, END_ID = 4096, 1
 #: Classes of lengths in the linear program, rounds of multiplicative weights, their step, and the share of its solution that is used.
 CLASSES, ROUNDS, STEP, SHARE = 256, 1200, 0.1, 0.96
@@ -168,7 +170,9 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, classes: int = CLA
             groups.append((capacity - sum(n * a for n, a in inside), most, tuple(inside)))
             m -= most
     both = _best_fit(rest, capacity, groups)
-    best = min(both, alone, key=lambda g: sum(m for _, m, _ in g))
+    programmed, plain = (sum(m for _, m, _ in g) for g in (both, alone))
+    _LOG.info("%s is used: linear program %d sequences, best fit alone %d", "linear program" if programmed <= plain else "best fit alone", programmed, plain)
+    best = both if programmed <= plain else alone
     return [(m, inside) for _, m, inside in best if m]
 
 
