@@ -208,10 +208,30 @@ def test_anchors_of_long_texts_are_given_once():
     rng = np.random.default_rng(13)
     text = bytes(rng.integers(97, 123, 5 * repeats.CHUNK // 2, dtype=np.uint8))
     parts = list(repeats.text_anchors([b"short", text]))
-    i, a, h, c = (np.concatenate(x) for x in zip(*parts, strict=True))
+    i, a, h, c, most, least = (np.concatenate(x) for x in zip(*parts, strict=True))
     assert len(parts) == 3 and set(i.tolist()) == {1} and len(np.unique(a)) == len(a)
     whole = repeats.anchors(np.frombuffer(text, np.uint8), np.array([[0, len(text)]]), np.array([[0, len(text) - repeats.LENGTH + 1]]), repeats.LENGTH, repeats.GRAM)
-    assert (a == whole[1]).all() and (h == whole[2]).all() and (c == whole[3]).all()
+    assert all((x == y).all() for x, y in zip((a, h, c, most, least), whole[1:], strict=True))
+    assert (a[1:] - most[1:] == a[:-1] - least[:-1] + 1).all()  # each string has one anchor
+
+
+@pytest.mark.parametrize("kind", [0, 1, 2, 3])
+def test_previous_factors_are_those_of_smaller_places(kind):
+    rng = np.random.default_rng(16 + kind)
+    n = 400
+    lcp = rng.integers(0, 9, n)
+    lcp[rng.random(n) < 0.03] = -1
+    lcp[0] = -1
+    place = (rng.permutation(n), np.arange(n), np.arange(n)[::-1].copy(), np.abs(np.arange(n) - n // 2) * 2 + (np.arange(n) > n // 2))[kind]
+    want = np.zeros(n, int)
+    for i in range(n):
+        for way in (-1, 1):
+            least, k = 99, i
+            while 0 <= k + way < n and lcp[max(k, k + way)] >= 0:
+                least, k = min(least, lcp[max(k, k + way)]), k + way
+                if place[k] < place[i]:
+                    want[i] = max(want[i], least)
+    assert repeats.previous_factors(place, lcp).tolist() == want.tolist()
 
 
 def test_long_text_without_repeats_stays_whole(spark):
