@@ -11,7 +11,7 @@ import pytest
 from tests.llm.helpers import awkward, prose, table
 from tickforge.llm import decontamination as dc
 from tickforge.llm import lm, near, packing, registry, repeats, tokens, toxicity
-from tickforge.llm.common import FOLD_BYTES, WORD_BYTES, Scratch
+from tickforge.llm.common import FOLD_BYTES, WORD, WORD_BYTES, Scratch
 from tickforge.llm.graph import components
 from tickforge.llm.hashing import shingle_sets
 
@@ -138,11 +138,9 @@ def test_block_max_is_exact():
     rng = np.random.default_rng(3)
     x = np.where(rng.random((300, 40)) < 0.2, rng.random((300, 40)), 0)
     x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
-    blocks = -(-300 // 64)
-    p = np.zeros((40, blocks, 64))
-    for i in range(300):
-        p[:, i // 64, i % 64] = x[i]
-    ix = toxicity.Index({}, np.ones(40), p, p.max(2), np.arange(300), np.zeros(300), np.ones(300), np.array([0.0, 1]), np.array([0.0, 1]))
+    ix = toxicity.Index({}, np.ones(40), list(range(300)), np.zeros(300), np.ones(300))
+    e, f = np.nonzero(x)
+    ix.build(f, e, x[e, f])
     for _ in range(40):
         f = np.sort(rng.choice(40, 6, replace=False))
         w = rng.random(6)
@@ -152,6 +150,68 @@ def test_block_max_is_exact():
         assert np.allclose(cosine, s[want]) and np.allclose(s[got], s[want])
 
 
+def test_toxicity_against_brute_force(spark):
+    """Every score and all evidence of the query, from dense vectors of all words of the examples."""
+    docs, bits = documents(spark), {}
+    for r in spark.read.parquet(f"{FOLDER}/labels.parquet").collect():
+        bits[r["doc_id"]] = max(r["toxic"], bits.get(r["doc_id"], 0))
+    assert len({i for i, _ in docs}) == len(docs)
+    bags = {i: Counter(x for x in map(toxicity.fold, WORD.findall(t or "")) if x) for i, t in docs}
+    known = [i for i in bits if zlib.crc32(str(i).encode()) % 5]
+    ids = [i for i in known if i in bags]
+    names = sorted({w for i in ids for w in bags[i]})
+    at = {w: k for k, w in enumerate(names)}
+    df = np.array([sum(w in b for b in bags.values()) for w in names])
+    y = np.array([bits[i] for i in ids], float)
+    has = np.array([[w in bags[i] for w in names] for i in ids])
+    n, a, b = len(ids), has[y == 1].sum(0), has[y == 0].sum(0)
+    n1, n0 = y.sum(), (1 - y).sum()
+    g = np.zeros(len(names))
+    for seen, size in ((a, n1), (b, n0)):
+        for x, of in ((seen, a + b), (size - seen, n - a - b)):
+            g += 2 * np.array([p * math.log(p * n / (o * size)) if p else 0.0 for p, o in zip(x.tolist(), of.tolist(), strict=True)])
+    weight = (np.log((1 + len(docs)) / (1 + df)) + 1) * (np.maximum(g, 0) + toxicity.FLOOR)
+
+    def vector(bag):
+        v = np.zeros(len(names))
+        for w, c in bag.items():
+            if w in at:
+                v[at[w]] = (1 + math.log(c)) * weight[at[w]]
+        return v / (np.linalg.norm(v) or 1)
+
+    x, share = np.stack([vector(bags[i]) for i in ids]), np.where(y == 1, sum(bits[i] for i in known) / n1, sum(1 - bits[i] for i in known) / n0) * n / len(known)
+    base = sum(bits[i] for i in known) / len(known)
+
+    def judged(v, skip=None):
+        s = x @ v
+        if skip is not None:
+            s[skip] = 0
+        near = [k for k in np.argsort(-s, kind="stable") if s[k] > 1e-15][: toxicity.NEIGHBOURS]
+        c = s[near] ** 2 * share[near]
+        return ((c * y[near]).sum() + 0.05 * base) / (c.sum() + 0.05), s[near[:3]]
+
+    votes = np.array([judged(x[k], k)[0] for k in range(n)])
+    # least squares under order, by the largest mean over starts of the smallest over ends
+    level = np.unique(votes.round(9))
+    w, z = (np.array([(share * q)[votes.round(9) == v].sum() for v in level]) for q in (1, y))
+    fitted = np.array([max(min(z[i : j + 1].sum() / w[i : j + 1].sum() for j in range(k, len(level))) for i in range(k + 1)) for k in range(len(level))])
+    for r in registry.QUERIES["op5_toxicity"](spark, FOLDER).collect():
+        vote, cosines = judged(vector(bags[r["doc_id"]]))
+        assert np.allclose([e["cosine"] for e in r["evidence"]], cosines) and (r["evidence"] or not set(bags[r["doc_id"]]) & set(names))
+        assert math.isclose(r["score"], np.interp(vote, level, fitted), abs_tol=1e-6) and r["predicted"] == (r["score"] >= 0.5)
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0)
+
+
+def test_toxicity_of_held_out_labels(spark):
+    folder = "/root/testdata/sf0.1"
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    got = [(r["score"], r["predicted"], labels[r["doc_id"]]) for r in registry.QUERIES["op5_toxicity"](spark, folder).filter("held_out").collect() if labels.get(r["doc_id"]) is not None]
+    hit, said, true = sum(p and y for _, p, y in got), sum(p for _, p, _ in got), sum(y for *_, y in got)
+    assert hit / said >= 0.95 and hit / true >= 0.85
+    pos, neg = [s for s, _, y in got if y], [s for s, _, y in got if not y]
+    assert sum((a > b) + 0.5 * (a == b) for a in pos for b in neg) / len(pos) / len(neg) >= 0.97
+
+
 def test_toxicity(spark):
     rng = random.Random(4)
     rows = [(k, prose(rng, 60) + (" You grumbok zaffer!" if k % 4 == 0 else "")) for k in range(400)]

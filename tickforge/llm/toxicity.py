@@ -1,114 +1,123 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index, with weighted votes.
 
-A bounded sample of labelled rows gives the features (words and word beginnings that tell the labels apart) and the
-examples. Document frequencies come from all documents. The index is bounded by the sample and is sent to all tasks.
+A bounded sample of labelled rows gives the examples, with all their words. A word weighs by its inverse document
+frequency over all documents and by how much it tells about the label in the sample; none is left out. The index is
+bounded by the sample and is sent to all tasks.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickforge.llm.common import FOLD, WORD, bucket_col
 
 #: Bounds of the sample: labelled rows of each class that are used as examples, chosen by a hash of their ids.
 PER_CLASS = 2000
-#: Features: how many at most, word beginnings of which lengths, and in how many toxic examples each must occur.
-FEATURES, BEGINNINGS, LEAST, LIFT, SCORE = 1024, (4, 5, 6, 7, 8), 5, 3.0, 15.0
-NEIGHBOURS, BLOCK = 25, 64
+#: Neighbours that vote, examples of a block of the index, blocks that are read at once, and raw words that a task remembers.
+NEIGHBOURS, BLOCK, AT_ONCE, CACHE = 25, 64, 8, 300_000
+#: What a word that tells nothing about the label weighs besides its inverse document frequency.
+FLOOR = 0.01
 MARKS = ".,!?;:|#$%&*\"'()[]{}<>«»…-"
 
 
-def word_features(word: str) -> list[str]:
-    """A word without marks around it, and its beginnings (ending in ``~``)."""
-    w = word.translate(FOLD).strip(MARKS)
-    return ([w] if w else []) + [w[:k] + "~" for k in BEGINNINGS if len(w) > k]
+def fold(word: str) -> str:
+    """A word in lower case without marks around it; empty if it is nothing but marks."""
+    return word.translate(FOLD).strip(MARKS)
 
 
-def _features(text: str) -> set[str]:
-    out: set[str] = set()
-    for w in set(WORD.findall(text)):
-        out.update(word_features(w))
-    return out
+class _Words(dict):
+    """Numbers of raw words in a vocabulary, -1 for others; what was looked up is remembered, up to a bound."""
 
+    def __init__(self, vocabulary: dict[str, int]):
+        self.vocabulary = vocabulary
 
-class _Words:
-    """Feature numbers of words, with a bounded cache."""
+    def __missing__(self, word: str) -> int:
+        if len(self) >= CACHE:
+            self.clear()
+        k = self[word] = self.vocabulary.get(fold(word), -1)
+        return k
 
-    def __init__(self, features: dict[str, int]):
-        self.features, self.cache = features, {}
+    def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of a text's words, ascending, and how often each occurs."""
+        found = WORD.findall(text or "")
+        k = np.fromiter(map(self.__getitem__, found), np.int64, len(found))
+        k.sort()
+        first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])) if len(k) else np.empty(0, np.int64)
+        n, k = np.diff(first, append=len(k)), k[first]
+        return (k[1:], n[1:]) if len(k) and k[0] < 0 else (k, n)
 
-    def counts(self, text: str) -> Counter:
-        out: Counter = Counter()
-        cache, features = self.cache, self.features
-        for w, n in Counter(WORD.findall(text)).items():
-            f = cache.get(w)
-            if f is None:
-                if len(cache) > 300_000:
-                    cache.clear()
-                f = cache[w] = tuple({features[x] for x in word_features(w) if x in features})
-            for k in f:
-                out[k] += n
-        return out
+
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start[0], start[0] + 1, ... of each range in turn."""
+    return np.arange(size.sum()) + np.repeat(start - (np.cumsum(size) - size), size)
 
 
 @dataclass
 class Index:
-    """Postings in blocks: ``postings[f, b]`` are the weights of feature f in the examples of block b, ``most`` their maxima."""
+    """Examples with their labels, and the postings of each word: by example, in segments of one block each, with their largest weight."""
 
-    features: dict[str, int]
-    idf: np.ndarray
-    postings: np.ndarray
-    most: np.ndarray
-    ids: np.ndarray
+    vocabulary: dict[str, int]
+    weight: np.ndarray  # of words
+    ids: list
     toxic: np.ndarray
-    weight: np.ndarray
-    steps: np.ndarray  # calibration: votes ...
-    scores: np.ndarray  # ... and what they stand for
-
-    def vector(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
-        f = np.fromiter(counts, np.int64, len(counts))
-        w = (1 + np.log(np.fromiter(counts.values(), np.float64, len(counts)))) * self.idf[f]
-        n = np.sqrt((w * w).sum())
-        return f, w / n if n > 0 else w
+    share: np.ndarray  # of an example's class among labelled rows, by example
+    base: float = 0.0  # share of toxic among labelled rows
+    steps: np.ndarray | None = None  # calibration: votes ...
+    scores: np.ndarray | None = None  # ... and what they stand for
+
+    def build(self, words: np.ndarray, examples: np.ndarray, w: np.ndarray) -> None:
+        """Postings from words, examples and weights (normalised by example) of all entries."""
+        order = np.lexsort((examples, words))
+        words, self.example, self.w = words[order], examples[order], w[order]
+        block = self.example // BLOCK
+        start = np.flatnonzero(np.concatenate([[True], (words[1:] != words[:-1]) | (block[1:] != block[:-1])])) if len(words) else np.empty(0, np.int64)
+        self.start, self.size, self.block = start, np.diff(start, append=len(words)), block[start]
+        self.most = np.maximum.reduceat(self.w, start) if len(start) else self.w
+        self.first = np.searchsorted(words[start], np.arange(len(self.weight) + 1))  # a word's first segment
+
+    def vector(self, k: np.ndarray, n: np.ndarray) -> np.ndarray:
+        w = (1 + np.log(n)) * self.weight[k]
+        return w / np.sqrt((w * w).sum()) if len(w) else w
 
     def nearest(self, f: np.ndarray, w: np.ndarray, k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Exactly the k examples of highest positive cosine, of equal ones the first. Blocks whose bound is too low are not read."""
-        bound = w @ self.most[f]
+        count = self.first[f + 1] - self.first[f]
+        segment, q = _ranges(self.first[f], count), np.repeat(w, count)
+        block = self.block[segment]
+        bound = np.bincount(block, self.most[segment] * q, -(-len(self.ids) // BLOCK))
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
-        size, found, scores, at = self.postings.shape[2], np.empty(0, np.int64), np.empty(0), 0
-        while at < len(order):
+        found, scores = np.empty(0, np.int64), np.empty(0)
+        for at in range(0, len(order), AT_ONCE):
             if len(found) >= k and bound[order[at]] < scores[-1] - 1e-12:
                 break
-            b = order[at : at + 8]
-            s = np.tensordot(w, self.postings[f[:, None], b[None, :]], 1).ravel()
-            i = (b[:, None] * size + np.arange(size)).ravel()
-            keep = (s > 0) & (i != skip) & (i < len(self.ids))
-            found, scores = np.concatenate([found, i[keep]]), np.concatenate([scores, s[keep]])
+            some = np.zeros(len(bound), bool)
+            some[order[at : at + AT_ONCE]] = True
+            read = np.flatnonzero(some[block])
+            size = self.size[segment[read]]
+            post = _ranges(self.start[segment[read]], size)
+            s = np.bincount(self.example[post], self.w[post] * np.repeat(q[read], size), len(self.ids))
+            i = np.flatnonzero(s > 0)
+            i = i[i != skip]
+            found, scores = np.concatenate([found, i]), np.concatenate([scores, s[i]])
             top = np.lexsort((found, -scores))[:k]
-            found, scores, at = found[top], scores[top], at + 8
+            found, scores = found[top], scores[top]
         return found, scores
 
     def vote(self, near: np.ndarray, cosine: np.ndarray, prior: float = 0.05) -> float:
-        """Share of the votes for toxic, each weighted by its cosine and its class's share of the labelled rows."""
-        v = cosine**2 * self.weight[near]
+        """Share of the votes for toxic, each weighted by its squared cosine and its class's share of the labelled rows."""
+        v = cosine**2 * self.share[near]
         return float(((v * self.toxic[near]).sum() + prior * self.base) / (v.sum() + prior))
 
-    base: float = 0.0
-
-    def calibrated(self, vote: float) -> float:
-        return float(np.interp(vote, self.steps, self.scores))
-
-    def score(self, counts: Counter) -> tuple[float, list[tuple[int, float]]]:
-        f, w = self.vector(counts)
-        near, cosine = self.nearest(f, w, NEIGHBOURS) if len(f) else (np.empty(0, np.int64), np.empty(0))
-        return self.calibrated(self.vote(near, cosine)), [(int(self.ids[i]), float(c)) for i, c in zip(near[:3], cosine[:3], strict=True)]
+    def score(self, k: np.ndarray, n: np.ndarray) -> tuple[float, list[tuple]]:
+        near, cosine = self.nearest(k, self.vector(k, n), NEIGHBOURS)
+        return float(np.interp(self.vote(near, cosine), self.steps, self.scores)), [(self.ids[i], float(c)) for i, c in zip(near[:3].tolist(), cosine[:3], strict=True)]
 
 
 def _monotone(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -128,118 +137,119 @@ def _monotone(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray,
     return at, np.repeat([p[2] / p[3] for p in pools], 2)
 
 
+def telling(a: np.ndarray, b: np.ndarray, n1: int, n0: int) -> np.ndarray:
+    """G statistic of words that occur in a of n1 toxic and b of n0 other examples."""
+    part = lambda x, of, n: np.where(x > 0, x * np.log(np.maximum(x, 1e-9) * (n1 + n0) / (np.maximum(of, 1e-9) * max(n, 1e-9))), 0)
+    of, absent = a + b, n1 + n0 - a - b
+    return np.maximum(2 * (part(a, of, n1) + part(b, of, n0) + part(n1 - a, absent, n1) + part(n0 - b, absent, n0)), 0)
+
+
+def _frequencies(docs: DataFrame, text_col: str, vocabulary: dict[str, int]) -> tuple[np.ndarray, int]:
+    """In how many of all documents each word occurs, and how many documents there are; tasks add up what they read."""
+
+    def count(batches):
+        words, df, n = _Words(sent.value), np.zeros(len(sent.value) + 1, np.int64), 0
+        for b in batches:
+            n += b.num_rows
+            for t in b.column(0).to_pylist():
+                df[words.counts(t)[0]] += 1
+        df[-1] = n
+        some = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(df[some])], names=["k", "n"])
+
+    sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    got = docs.select(text_col).mapInArrow(count, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).toArrow()  # a row for each word of the sample
+    df = np.zeros(len(vocabulary) + 1)
+    df[got["k"].to_numpy()] = got["n"].to_numpy()
+    return df[:-1], int(df[-1])
+
+
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, id_col: str = "doc_id", text_col: str = "text") -> Index:
     """Learn from labelled rows (doc_id, toxic) whose crc32(doc_id) mod 5 isn't 0, at most ``per_class`` of each class.
 
-    The driver gets the sample's class sizes, at most FEATURES features and the sample's counts of them. Null labels and
-    null ids are left out; of repeated labels the highest counts. Without labels of both classes all scores are equal.
+    The driver gets the words of these rows and in how many of all documents each occurs. Null labels and null ids are left
+    out; of repeated labels the highest counts; of rows of one id that of the smallest text hash is the example. Other columns
+    are ignored. Without labels of both classes, or without documents, all scores are equal.
     """
     spark = docs.sparkSession
-    known = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & (bucket_col(F.col("doc_id")) != 0)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    known = labels.select("doc_id", "toxic").filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & (bucket_col(F.col("doc_id")) != 0)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     sizes = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     picked = [known.filter(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for y in (0, 1)]
     sample = {r["doc_id"]: r["toxic"] for p in picked for r in p.collect()}  # at most 2 * per_class rows
-    small = spark.createDataFrame(list(sample.items()) or [(None, None)], "_id long, _toxic int")
-    rows = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text")).join(F.broadcast(small), F.col("_doc") == F.col("_id")).select("_id", "_toxic", "_text")
-
-    def features(batches):
-        for b in batches:
-            out = [(i, y, x) for i, y, t in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True) for x in _features(t or "")]
-            cols = list(zip(*out, strict=True)) or [(), (), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, (pa.int64(), pa.int32(), pa.string()), strict=True)], names=["id", "toxic", "feature"])
-
-    n1, n0 = (max(1, sum(y == k for y in sample.values())) for k in (1, 0))
-    seen = rows.mapInArrow(features, "id long, toxic int, feature string").groupBy("feature").agg(F.count_if(F.col("toxic") == 1).alias("a"), F.count_if(F.col("toxic") == 0).alias("b"))
-    a, b = F.col("a").cast("double"), F.col("b").cast("double")
-    part = lambda x, of, n: F.when(x > 0, x * F.log(x * (n1 + n0) / (of * n))).otherwise(0.0)
-    absent = (n1 + n0) - (a + b)
-    gain = 2 * (part(a, a + b, n1) + part(b, a + b, n0) + part(n1 - a, absent, n1) + part(n0 - b, absent, n0))
-    best = seen.filter((a >= LEAST) & (a * n0 >= LIFT * (b + 0.5) * n1)).withColumn("gain", gain).filter(F.col("gain") >= SCORE)
-    names = [r["feature"] for r in best.orderBy(F.desc("gain"), "feature").limit(FEATURES).select("feature").collect()]
-    words = {x: k for k, x in enumerate(names)}
-
-    def frequencies(batches):
-        w, df, n = _Words(words), np.zeros(len(words) + 1, np.int64), 0
-        for b in batches:
-            for t in b.column(0).to_pylist():
-                n += 1
-                for k in w.counts(t or ""):
-                    df[k] += 1
-        df[-1] = n
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(df))), pa.array(df)], names=["k", "n"])
-
-    df = np.zeros(len(words) + 1)
-    for r in docs.select(text_col).mapInArrow(frequencies, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).collect():
-        df[r["k"]] = r["n"]
-    idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1
+    kind = labels.schema["doc_id"].dataType
+    small = spark.createDataFrame(list(sample.items()), T.StructType([T.StructField("_id", kind), T.StructField("_toxic", T.IntegerType())]))
+    rows = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text")).join(F.broadcast(small), F.col("_doc") == F.col("_id"))
+    rows = rows.groupBy("_id").agg(F.min_by(F.struct("_toxic", "_text"), F.xxhash64("_text")).alias("_x")).select("_id", "_x.*")
 
-    def vectors(batches):
-        w = _Words(words)
+    def words(batches):
         for b in batches:
-            ids, toxic, ks, ns = [], [], [], []
+            out = []
             for i, y, t in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
-                c = w.counts(t or "")
-                ids.append(i), toxic.append(y), ks.append(list(c)), ns.append(list(c.values()))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(toxic, pa.int32()), pa.array(ks, pa.list_(pa.int32())), pa.array(ns, pa.list_(pa.int32()))], names=["id", "toxic", "ks", "ns"])
-
-    got = {r["id"]: r for r in rows.mapInArrow(vectors, "id long, toxic int, ks array<int>, ns array<int>").collect()}  # at most 2 * per_class rows of counts
-    # examples alike lie together, so that blocks have tight bounds
-    examples = sorted(got.values(), key=lambda r: (-r["toxic"], max(r["ks"], key=lambda k: idf[k], default=-1), r["id"]))
-    blocks = max(1, -(-len(examples) // BLOCK))
-    index = Index(words, idf, np.zeros((len(words), blocks, BLOCK)), np.zeros((len(words), blocks)), np.array([r["id"] for r in examples], np.int64), np.array([r["toxic"] for r in examples], float), np.ones(len(examples)), np.array([0.0, 1.0]), np.array([0.0, 1.0]))
-    total = sum(sizes.values()) or 1
-    index.weight = np.array([sizes.get(r["toxic"], 1) / total / (n1 if r["toxic"] else n0) for r in examples]) * len(examples)
-    index.base = sizes.get(1, 0) / total
-    held = [(dict(zip(r["ks"], r["ns"], strict=True))) for r in examples]
-    for i, c in enumerate(held):
-        if c:
-            f, w = index.vector(Counter(c))
-            index.postings[f, i // BLOCK, i % BLOCK] = w
-    index.most = index.postings.max(2) if len(words) else index.most
-    votes = []
-    for i, c in enumerate(held):  # each example judged by the others
-        f, w = index.vector(Counter(c))
-        near, cosine = index.nearest(f, w, NEIGHBOURS, skip=i) if len(f) else (np.empty(0, np.int64), np.empty(0))
-        votes.append(index.vote(near, cosine))
-    if len(examples):
-        index.steps, index.scores = _monotone(np.array(votes), index.toxic, index.weight)
-    else:
-        index.scores = np.array([index.base, index.base])
+                n: dict[str, int] = {}
+                for w in map(fold, WORD.findall(t or "")):
+                    if w:
+                        n[w] = n.get(w, 0) + 1
+                out.append((i, y, list(n), list(n.values())))
+            cols = list(zip(*out, strict=True)) or [()] * 4
+            kinds = (b.column(0).type, pa.int32(), pa.list_(pa.string()), pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, kinds, strict=True)], names=["id", "toxic", "words", "n"])
+
+    got = rows.mapInArrow(words, f"id {kind.simpleString()}, toxic int, words array<string>, n array<int>").toArrow().combine_chunks()  # at most 2 * per_class rows
+    ids, toxic = got["id"].to_pylist(), got["toxic"].to_numpy().astype(float)
+    sizes_of = np.array([len(x) for x in got["words"]], np.int64)
+    coded = pa.chunked_array([c.flatten() for c in got["words"].chunks], pa.string()).combine_chunks().dictionary_encode() if len(ids) else pa.array([], pa.string()).dictionary_encode()
+    names, word = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+    n = np.concatenate([c.flatten().to_numpy() for c in got["n"].chunks]) if len(ids) else np.empty(0)
+    vocabulary = {w: k for k, w in enumerate(names)}
+    df, total = _frequencies(docs, text_col, vocabulary)
+    n1, n0 = int(toxic.sum()), int((1 - toxic).sum())
+    a, b = (np.bincount(word, np.repeat(x, sizes_of), len(names)) for x in (toxic, 1 - toxic))
+    weight = (np.log((1 + total) / (1 + df)) + 1) * (telling(a, b, n1, n0) + FLOOR)
+    # examples that share their heaviest word lie together, so that blocks have tight bounds
+    ends = np.cumsum(sizes_of)
+    parts = [slice(e - s, e) for s, e in zip(sizes_of.tolist(), ends.tolist(), strict=True)]
+    heaviest = [int(word[p][np.argmax(weight[word[p]])]) if p.stop > p.start else -1 for p in parts]
+    order = sorted(range(len(ids)), key=lambda i: (-toxic[i], heaviest[i], ids[i]))
+    share = np.array([sizes.get(1 if toxic[i] else 0, 1) / (n1 if toxic[i] else n0) for i in order]) * len(ids) / (sum(sizes.values()) or 1)
+    index = Index(vocabulary, weight, [ids[i] for i in order], toxic[order] if ids else toxic, share, sizes.get(1, 0) / (sum(sizes.values()) or 1))
+    vectors = [(word[parts[i]], index.vector(word[parts[i]], n[parts[i]])) for i in order]
+    join = lambda x, t: np.concatenate([np.empty(0, t), *x])
+    index.build(join((f for f, _ in vectors), np.int64).astype(np.int64), np.repeat(np.arange(len(ids)), [len(f) for f, _ in vectors] if ids else 0), join((w for _, w in vectors), float))
+    votes = [index.vote(*index.nearest(f, w, NEIGHBOURS, skip=i)) for i, (f, w) in enumerate(vectors)]  # each example judged by the others
+    index.steps, index.scores = _monotone(np.array(votes), index.toxic, index.share) if ids else (np.array([0.0, 1.0]), np.full(2, index.base))
     return index
 
 
 def score(docs: DataFrame, index: Index, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, score (0 to 1), predicted (1 from 0.5 on) and evidence (nearest examples: doc_id, cosine), a row per row.
 
-    Null and empty texts have no features: they get what such examples got. Null ids and repeated rows pass through.
+    Null and empty texts, and those without a word of any example, have no neighbours: they get what the share of toxic rows
+    stands for. Null ids and repeated rows pass through. Whole texts are read. Other columns are ignored; no rows, no scores.
     """
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(index)  # bounded by the sample and FEATURES
+    sent = docs.sparkSession.sparkContext.broadcast(index)  # bounded by the sample
+    near = pa.int64() if all(isinstance(i, int) for i in index.ids) else pa.string()
 
     def judge(batches):
         i = sent.value
-        w = _Words(i.features)
+        words = _Words(i.vocabulary)
         for b in batches:
-            got = [i.score(w.counts(t or "")) for t in b.column(1).to_pylist()]
+            got = [i.score(*words.counts(t)) for t in b.column(1).to_pylist()]
             s = [x for x, _ in got]
-            evidence = pa.array([[{"doc_id": d, "cosine": c} for d, c in e] for _, e in got], pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64())])))
+            evidence = pa.array([[{"doc_id": d, "cosine": c} for d, c in e] for _, e in got], pa.list_(pa.struct([("doc_id", near), ("cosine", pa.float64())])))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s, pa.float64()), pa.array([int(x >= 0.5) for x in s], pa.int32()), evidence], names=["doc_id", "score", "predicted", "evidence"])
 
     kind = dict(docs.dtypes)[id_col]
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(judge, f"doc_id {kind}, score double, predicted int, evidence array<struct<doc_id: long, cosine: double>>")
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(judge, f"doc_id {kind}, score double, predicted int, evidence array<struct<doc_id: {'long' if near == pa.int64() else 'string'}, cosine: double>>")
 
 
 def reject_toxic(docs: DataFrame, index: Index, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` whose score is under ``threshold``, with all their columns; texts don't leave their task."""
-    from pyspark.sql import types as T
-
     sent = docs.sparkSession.sparkContext.broadcast(index)
 
     def keep(batches):
         i = sent.value
-        w = _Words(i.features)
+        words = _Words(i.vocabulary)
         for b in batches:
-            mask = pa.array([i.score(w.counts(t or ""))[0] < threshold for t in b.column(text_col).to_pylist()], pa.bool_())
-            yield b.filter(mask)
+            yield b.filter(pa.array([i.score(*words.counts(t))[0] < threshold for t in b.column(text_col).to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(keep, T.StructType([T.StructField(f.name, f.dataType, True) for f in docs.schema]))
