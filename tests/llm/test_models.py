@@ -52,10 +52,43 @@ def test_plan_places_everything_well(seed):
     assert packing.plan({}) == [] and packing.plan({4096: 3, 1: 2}) and packing.plan({7: 3}, capacity=10)
 
 
-def test_plan_says_which_packing_is_used(caplog):
-    with caplog.at_level("INFO", "tickforge.llm.packing"):
-        p = packing.plan({7: 3, 5: 4}, capacity=10)
-    assert "is used: linear program" in caplog.text and min(caplog.records[-1].args[1:]) == sum(m for m, _ in p)
+def test_linear_program_is_solved_to_its_gap():
+    rng = np.random.default_rng(20)
+    for capacity, n in ((10, rng.integers(1, 11, 500)), (100, rng.integers(20, 70, 3000)), (4096, np.clip(rng.lognormal(6, 1.2, 4000).astype(int), 1, 4096))):
+        sizes, demand = packing.length_groups(np.bincount(n, minlength=capacity + 1), 40)
+        assert demand.sum() == len(n) and (np.diff(sizes) > 0).all() and sizes[-1] == n.max()
+        got = packing.solve(sizes, demand, capacity)
+        use = np.array(list(got.uses.values()))
+        configs = np.array(list(got.uses))
+        assert (configs @ sizes <= capacity).all() and (use @ configs >= demand * (1 - 1e-9)).all()  # feasible
+        assert math.isclose(use.sum(), got.value) and got.bound <= got.value <= got.bound * (1 + packing.GAP) + 1e-9
+        assert got.bound >= demand @ sizes / capacity * (1 - 1e-9)  # at least the bound of the volume
+    assert packing.solve(*packing.length_groups(np.zeros(5, int)), 4).uses == {}
+
+
+def test_prices_are_exact():
+    rng = np.random.default_rng(21)
+    for _ in range(30):
+        sizes = np.unique(rng.integers(2, 30, 5))
+        value = rng.random(len(sizes))
+        a = packing.price(value, sizes, 40)
+        best = [0.0] * 41
+        for c in range(1, 41):
+            best[c] = max([best[c - 1], *(best[c - s] + v for s, v in zip(sizes.tolist(), value, strict=True) if s <= c)])
+        assert a @ sizes <= 40 and math.isclose(a @ value, best[40])
+
+
+@pytest.mark.parametrize("folder", ["sf0.001", "sf0.01"])
+def test_plan_needs_no_more_than_best_fit(spark, folder):
+    docs = spark.read.parquet(f"/root/testdata/{folder}/documents.parquet")
+    lengths = {r["length"]: r["count"] for r in packing.cut(docs, PATH).groupBy("length").count().collect()}
+    rooms: list[int] = []
+    for n in sorted((n for n, k in lengths.items() for _ in range(k)), reverse=True):  # best fit, item by item
+        fits = [r for r in rooms if r >= n]
+        if fits:
+            rooms.remove(min(fits))
+        rooms.append((min(fits) if fits else 4096) - n)
+    assert sum(m for m, _ in packing.plan(lengths)) <= len(rooms)
 
 
 def test_packing(spark, monkeypatch):

@@ -1,9 +1,11 @@
 """Best-fit packing of tokenized documents into sequences of bounded length.
 
-The lengths are counted; a configuration linear program over the histogram is solved by multiplicative weights, with a
-knapsack dynamic program that prices configurations; the solution is rounded down and best fit places the rest. The
-plan holds configurations with how often each is used, so its size depends on the capacity and not on the input. Pieces
-are dealt to the plan by their rank among pieces of their length.
+The lengths are counted; the configuration linear program over the histogram, in groups of lengths of equal volume, is
+solved by multiplicative weights, with a knapsack dynamic program that prices configurations by the dual prices of the
+groups and gives a lower bound in each round. A share of the solution is rounded down to whole sequences, filled with
+lengths that add up to the capacity; best fit places the rest. The plan holds configurations with how often each is
+used, so its size depends on the capacity and not on the input. Pieces are dealt to the plan by their rank among pieces
+of their length.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ from __future__ import annotations
 import logging
 import zlib
 from collections import defaultdict
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -21,9 +24,11 @@ from tickforge.llm.common import Scratch
 
 _LOG = logging.getLogger(__name__)
 CAPACITY, END_ID = 4096, 1
-#: Classes of lengths in the linear program, rounds of multiplicative weights, their step, and the share of its solution that is used.
-CLASSES, ROUNDS, STEP, SHARE = 256, 1200, 0.1, 0.96
-ROWS_PER_SALT = 500_000
+#: Groups of lengths in the linear program, rounds at most, gap to the bound at which they end, rate of the weights, the part
+#: of what its scarcest group still has that a round takes, and the share of the solution that is rounded to sequences.
+GROUPS, ROUNDS, GAP, RATE, STEP, SHARE = 128, 1500, 0.05, 5.0, 0.3, 0.8
+#: Pieces of one length that are ranked together.
+ROWS_PER_SALT = 1000
 
 
 def cut(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -56,47 +61,97 @@ def cut(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id:
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(pieces, schema)
 
 
-def price(value: np.ndarray, capacity: int) -> tuple[float, dict[int, int]]:
-    """The most valuable configuration: how many items of each size fit ``capacity``; ``value[k]`` is that of size k."""
-    best, take = np.zeros(capacity + 1), np.zeros(capacity + 1, np.int64)
-    for c in range(1, capacity + 1):
-        got = best[c - 1 :: -1][:c] + value[1 : c + 1]
-        k = int(got.argmax())
-        best[c], take[c] = (got[k], k + 1) if got[k] > best[c - 1] else (best[c - 1], 0)
-    out: dict[int, int] = defaultdict(int)
-    c = capacity
-    while c > 0:
-        k = int(take[c])
-        if k:
-            out[k] += 1
-        c -= k or 1
-    return float(best[capacity]), dict(out)
-
-
-def solve(demand: np.ndarray, capacity: int, rounds: int = ROUNDS, step: float = STEP) -> dict[tuple, float]:
-    """Configurations and how often to use each, so that about ``demand[k]`` items of size k are covered."""
-    d, sizes = demand.astype(float), np.flatnonzero(demand)
-    x: dict[tuple, float] = defaultdict(float)
-    if not len(sizes):
-        return x
-    covered, eta = np.zeros(len(d)), np.log(len(sizes) + 1) / step / 10
-    for _ in range(rounds):
-        rest = 1 - covered[sizes] / d[sizes]
-        if rest.max() <= 0:
-            break
-        value = np.zeros(capacity + 1)
-        # weights fall with coverage; what is covered has no value. A size's price is near its length, so that tight configurations win
-        value[sizes] = np.where(rest > 0, sizes * (1 + 0.25 * np.exp(-eta * covered[sizes] / d[sizes])), 0)
-        _, config = price(value, capacity)
-        config = {k: a for k, a in config.items() if a}
-        left = min((d[k] - covered[k]) / a for k, a in config.items())
-        use = max(left * 0.5, min(1.0, left)) if left > 0 else 0
-        if use <= 0:
+def price(value: np.ndarray, sizes: np.ndarray, capacity: int) -> np.ndarray:
+    """The most valuable configuration: how many items of each size fit ``capacity`` together; ``value`` is that of an item."""
+    best, take = np.zeros(capacity + 1), np.full(capacity + 1, -1)
+    for k, size in enumerate(sizes.tolist()):
+        for c in range(size, capacity + 1, size):
+            end = min(c + size, capacity + 1)
+            got = best[c - size : end - size] + value[k]
+            up = got > best[c:end] * (1 + 1e-12)
+            best[c:end][up], take[c:end][up] = got[up], k
+    out, c = np.zeros(len(sizes), np.int64), int(best.argmax())
+    while take[c] >= 0:
+        out[take[c]] += 1
+        c -= int(sizes[take[c]])
+    return out
+
+
+def length_groups(count: np.ndarray, groups: int = GROUPS) -> tuple[np.ndarray, np.ndarray]:
+    """The largest length and the number of items of groups of lengths, each of about the same volume."""
+    lengths = np.flatnonzero(count)
+    if not len(lengths):
+        return lengths, lengths
+    volume = np.cumsum(count[lengths] * lengths).astype(float)
+    k = np.minimum(((volume - 1) / volume[-1] * groups).astype(int), groups - 1)
+    last = np.flatnonzero(np.append(k[1:] != k[:-1], True))
+    return lengths[last], np.diff(np.cumsum(count[lengths])[last], prepend=0)
+
+
+@dataclass
+class Solution:
+    """Configurations (items of each size) with how often to use each, how many sequences that is, and the dual bound."""
+
+    uses: dict[tuple[int, ...], float]
+    value: float
+    bound: float
+
+
+def solve(sizes: np.ndarray, demand: np.ndarray, capacity: int, rounds: int = ROUNDS, gap: float = GAP) -> Solution:
+    """The covering program min sum(x) with items of each size at least ``demand``, by multiplicative weights.
+
+    A size's weight starts with its volume and falls exponentially with its relative coverage; weight by demand is its dual
+    price. Prices over the value of the best configuration are feasible in the dual, which bounds the optimum from below.
+    """
+    x: dict[tuple[int, ...], float] = defaultdict(float)
+    d, covered, total, bound, least = demand.astype(float), np.zeros(len(sizes)), 0.0, 0.0, 0.0
+    for _ in range(rounds if len(sizes) else 0):
+        ratio = covered / d
+        y = sizes * np.exp(RATE * (ratio.min() - ratio))
+        a = price(y, sizes, capacity)
+        bound = max(bound, float(d @ y) / float(a @ y))
+        use = STEP * float((d[a > 0] / a[a > 0]).min())
+        x[tuple(a.tolist())] += use
+        covered, total = covered + a * use, total + use
+        least = float((covered / d).min())
+        if least > 0 and total <= (1 + gap) * bound * least:
             break
-        x[tuple(sorted(config.items()))] += use
-        for k, a in config.items():
-            covered[k] += a * use
-    return x
+    if least <= 0:
+        return Solution({}, 0.0 if not len(sizes) else float("inf"), bound)
+    return Solution({c: u / least for c, u in x.items()}, total / least, bound)
+
+
+def _fill(items: list[tuple[int, int]], rest: np.ndarray, capacity: int) -> dict[int, int] | None:
+    """Lengths (and copies) for a configuration: one of each range (over, up to), the last two so that they fill what is left, if any do."""
+    inside: dict[int, int] = defaultdict(int)
+    room, free = capacity, rest
+
+    def longest(lo: int, hi: int) -> bool:
+        nonlocal room, free
+        at = np.flatnonzero(free[lo + 1 : min(hi, room) + 1])
+        if not len(at):
+            return False
+        n = int(at[-1]) + lo + 1
+        free = free.copy() if free is rest else free
+        free[n] -= 1
+        inside[n] += 1
+        room -= n
+        return True
+
+    for lo, hi in items[:-2]:
+        if not longest(lo, hi):
+            return None
+    if len(items) > 1:
+        lo, hi = items[-2]
+        n = np.arange(min(hi, room - 1), lo, -1)
+        n = n[(free[n] > 0) & (free[room - n] > (n == room - n))]
+        if len(n):
+            for k in (int(n[0]), room - int(n[0])):
+                inside[k] += 1
+            return inside
+        if not longest(lo, hi):
+            return None
+    return inside if longest(0, capacity) else None
 
 
 def _best_fit(count: np.ndarray, capacity: int, groups: list[tuple[int, int, tuple]]) -> list[tuple[int, int, tuple]]:
@@ -136,44 +191,25 @@ def _best_fit(count: np.ndarray, capacity: int, groups: list[tuple[int, int, tup
     return [(room, m, inside) for room, g in rooms.items() for m, inside in g]
 
 
-def plan(histogram: dict[int, int], capacity: int = CAPACITY, classes: int = CLASSES, share: float = SHARE) -> list[tuple[int, tuple]]:
+def plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS, share: float = SHARE) -> list[tuple[int, tuple]]:
     """(sequences, ((length, copies), ...)) that place every item of the histogram."""
-    count = np.zeros(capacity + 1, np.int64)
+    rest = np.zeros(capacity + 1, np.int64)
     for length, n in histogram.items():
-        count[length] = n
-    alone = _best_fit(count, capacity, [])
-    unit = -(-capacity // classes)
-    demand = np.bincount(-(-np.arange(capacity + 1) // unit), weights=count, minlength=classes + 1)
-    demand[0] = 0
-    rest, groups = count.copy(), []
-    for config, use in sorted(solve(demand, capacity // unit).items(), key=lambda x: -x[1]):
+        rest[length] = n
+    sizes, demand = length_groups(rest, groups)
+    found = solve(sizes, demand, capacity)
+    over, packed = [0, *sizes[:-1].tolist()], []
+    for config, use in sorted(found.uses.items(), key=lambda x: (-x[1], x[0])):
         m = int(use * share)
-        while m > 0:
-            # the longest lengths left in each class; those with many pieces stay one group
-            inside, most = [], m
-            for k, a in config:
-                got = [n for n in range(k * unit, (k - 1) * unit, -1) if n <= capacity and rest[n]]
-                take = a
-                for n in got:
-                    here = min(take, int(rest[n]))
-                    inside.append((n, here))
-                    most = min(most, int(rest[n]) // here)
-                    take -= here
-                    if not take:
-                        break
-                if take:
-                    most = 0
-            if not most:
-                break
-            for n, a in inside:
-                rest[n] -= a * most
-            groups.append((capacity - sum(n * a for n, a in inside), most, tuple(inside)))
-            m -= most
-    both = _best_fit(rest, capacity, groups)
-    programmed, plain = (sum(m for _, m, _ in g) for g in (both, alone))
-    _LOG.info("%s is used: linear program %d sequences, best fit alone %d", "linear program" if programmed <= plain else "best fit alone", programmed, plain)
-    best = both if programmed <= plain else alone
-    return [(m, inside) for _, m, inside in best if m]
+        items = [(over[k], int(sizes[k])) for k in range(len(sizes) - 1, -1, -1) for _ in range(config[k])]
+        while m > 0 and (inside := _fill(items, rest, capacity)):
+            times = min(m, *(int(rest[n]) // a for n, a in inside.items()))
+            for n, a in inside.items():
+                rest[n] -= a * times
+            packed.append((capacity - sum(n * a for n, a in inside.items()), times, tuple(inside.items())))
+            m -= times
+    _LOG.info("linear program: %.1f sequences, at least %.1f; %d of its sequences are used", found.value, found.bound, sum(m for _, m, _ in packed))
+    return [(m, inside) for _, m, inside in _best_fit(rest, capacity, packed) if m]
 
 
 def ranges(configs: list[tuple[int, tuple]]) -> dict[int, np.ndarray]:
