@@ -15,12 +15,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickforge.llm.common import FOLD, WORD, bucket_col
+from tickforge.llm.common import FOLD, FOLD_BYTES, WORD, bucket_col
 
 #: Bounds of the sample: labelled rows of each class that are used as examples, chosen by a hash of their ids.
 PER_CLASS = 2000
-#: Neighbours that vote, examples of a block of the index, blocks that are read at once, and raw words that a task remembers.
-NEIGHBOURS, BLOCK, AT_ONCE, CACHE = 25, 64, 8, 300_000
+#: Neighbours that vote, examples of a block of the index, blocks that are read at first, and words that a task remembers.
+NEIGHBOURS, BLOCK, AT_ONCE, CACHE = 25, 256, 2, 300_000
 #: What a word that tells nothing about the label weighs besides its inverse document frequency.
 FLOOR = 0.01
 MARKS = ".,!?;:|#$%&*\"'()[]{}<>«»…-"
@@ -32,21 +32,21 @@ def fold(word: str) -> str:
 
 
 class _Words(dict):
-    """Numbers of raw words in a vocabulary, -1 for others; what was looked up is remembered, up to a bound."""
+    """Numbers of words (UTF-8, A-Z folded) in a vocabulary, -1 for others; what was looked up is remembered, up to a bound."""
 
     def __init__(self, vocabulary: dict[str, int]):
         self.vocabulary = vocabulary
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: bytes) -> int:
         if len(self) >= CACHE:
             self.clear()
-        k = self[word] = self.vocabulary.get(fold(word), -1)
+        k = self[word] = self.vocabulary.get(word.decode().strip(MARKS), -1)
         return k
 
-    def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    def counts(self, text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
         """The numbers of a text's words, ascending, and how often each occurs."""
-        found = WORD.findall(text or "")
-        k = np.fromiter(map(self.__getitem__, found), np.int64, len(found))
+        found = (text or b"").translate(FOLD_BYTES).split()  # at the white space that parts words
+        k = np.fromiter(map(self.__getitem__, found), np.int32, len(found))
         k.sort()
         first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])) if len(k) else np.empty(0, np.int64)
         n, k = np.diff(first, append=len(k)), k[first]
@@ -74,7 +74,7 @@ class Index:
     def build(self, words: np.ndarray, examples: np.ndarray, w: np.ndarray) -> None:
         """Postings from words, examples and weights (normalised by example) of all entries."""
         order = np.lexsort((examples, words))
-        words, self.example, self.w = words[order], examples[order], w[order]
+        words, self.example, self.w = words[order], examples[order].astype(np.int32), w[order]
         block = self.example // BLOCK
         start = np.flatnonzero(np.concatenate([[True], (words[1:] != words[:-1]) | (block[1:] != block[:-1])])) if len(words) else np.empty(0, np.int64)
         self.start, self.size, self.block = start, np.diff(start, append=len(words)), block[start]
@@ -94,11 +94,11 @@ class Index:
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
         found, scores = np.empty(0, np.int64), np.empty(0)
-        for at in range(0, len(order), AT_ONCE):
-            if len(found) >= k and bound[order[at]] < scores[-1] - 1e-12:
-                break
+        at, more = 0, AT_ONCE
+        while at < len(order) and not (len(found) >= k and bound[order[at]] < scores[-1] - 1e-12):
             some = np.zeros(len(bound), bool)
-            some[order[at : at + AT_ONCE]] = True
+            some[order[at : at + more]] = True
+            at, more = at + more, 4 * more
             read = np.flatnonzero(some[block])
             size = self.size[segment[read]]
             post = _ranges(self.start[segment[read]], size)
@@ -158,7 +158,7 @@ def _frequencies(docs: DataFrame, text_col: str, vocabulary: dict[str, int]) ->
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(df[some])], names=["k", "n"])
 
     sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
-    got = docs.select(text_col).mapInArrow(count, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).toArrow()  # a row for each word of the sample
+    got = docs.select(F.col(text_col).cast("binary")).mapInArrow(count, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).toArrow()  # a row for each word of the sample
     df = np.zeros(len(vocabulary) + 1)
     df[got["k"].to_numpy()] = got["n"].to_numpy()
     return df[:-1], int(df[-1])
@@ -239,7 +239,7 @@ def score(docs: DataFrame, index: Index, id_col: str = "doc_id", text_col: str =
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s, pa.float64()), pa.array([int(x >= 0.5) for x in s], pa.int32()), evidence], names=["doc_id", "score", "predicted", "evidence"])
 
     kind = dict(docs.dtypes)[id_col]
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(judge, f"doc_id {kind}, score double, predicted int, evidence array<struct<doc_id: {'long' if near == pa.int64() else 'string'}, cosine: double>>")
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(judge, f"doc_id {kind}, score double, predicted int, evidence array<struct<doc_id: {'long' if near == pa.int64() else 'string'}, cosine: double>>")
 
 
 def reject_toxic(docs: DataFrame, index: Index, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
@@ -250,6 +250,6 @@ def reject_toxic(docs: DataFrame, index: Index, text_col: str = "text", threshol
         i = sent.value
         words = _Words(i.vocabulary)
         for b in batches:
-            yield b.filter(pa.array([i.score(*words.counts(t))[0] < threshold for t in b.column(text_col).to_pylist()], pa.bool_()))
+            yield b.filter(pa.array([i.score(*words.counts(t))[0] < threshold for t in b.column(text_col).cast(pa.binary()).to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(keep, T.StructType([T.StructField(f.name, f.dataType, True) for f in docs.schema]))
