@@ -47,7 +47,7 @@ def cut(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id:
         for b in batches:
             ids, piece, start, length, crc, raw = [], [], [], [], [], []
             for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                x = e.encode(t or "") + end
+                x = e.encode(t or b"") + end
                 for k in range(0, len(x), size):
                     part = x[k : k + size]
                     ids.append(d), piece.append(k // size), start.append(k // 4), length.append(len(part) // 4), crc.append(zlib.crc32(part))
@@ -58,7 +58,7 @@ def cut(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id:
 
     kind = dict(docs.dtypes)[id_col]
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(pieces, schema)
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(pieces, schema)
 
 
 def price(value: np.ndarray, sizes: np.ndarray, capacity: int) -> np.ndarray:

@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import re
-import struct
-
-from tickforge.llm.common import WORD
+import sys
+from array import array
 
 _SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:|#$%&*]*)")
-CACHE_WORDS = 200_000
+CACHE_WORDS = 400_000
 
 
 def _byte_chars() -> list[str]:
@@ -18,6 +17,23 @@ def _byte_chars() -> list[str]:
     return [chr(b) if b in prints else chr(next(rest)) for b in range(256)]
 
 
+class _Cache(dict):
+    """What ``make`` gives for words (UTF-8), kept in two generations of ``CACHE_WORDS``."""
+
+    def __init__(self, make):
+        self.make, self.old = make, {}
+
+    def __missing__(self, word: bytes) -> bytes:
+        v = self.old.get(word)
+        if v is None:
+            v = self.make(word)
+        if len(self) >= CACHE_WORDS:
+            self.old = dict(self)
+            self.clear()
+        self[word] = v
+        return v
+
+
 class WordEncoder:
     """ids of ``Tokenizer.from_file(path).encode(text, add_special_tokens=False)`` as little-endian unsigned 32-bit bytes.
 
@@ -29,50 +45,41 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.chars = _byte_chars()
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.cache = _Cache(lambda word: self._word(word.decode()))
+        self.marks: dict[str, bytes] = {}
 
-    def _pack(self, ids) -> bytes:
-        return struct.pack(f"<{len(ids)}I", *ids)
+    def _pack(self, ids: list[int]) -> bytes:
+        out = array("I", ids)
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
 
     def _model(self, piece: str) -> bytes:
-        return self._pack([t.id for t in self.tokenizer.model.tokenize("".join(map(self.chars.__getitem__, piece.encode())))])
+        """Ids of letters or of marks; those of ASCII stand for themselves."""
+        return self._pack([t.id for t in self.model.tokenize(piece if piece.isascii() else "".join(map(self.chars.__getitem__, piece.encode())))])
 
     def _word(self, word: str) -> bytes:
         m = _SIMPLE.fullmatch(word)
         if not m:
             return self._pack(self.tokenizer.encode(word, add_special_tokens=False).ids)
-        out = self._cached(m[1].lower()) if m[2] or not word.islower() else self._model(word)
-        return out + self._cached_marks(m[2]) if m[2] else out
-
-    def _cached_marks(self, marks: str) -> bytes:
-        v = self.new.get(marks)
-        if v is None:
-            v = self.new[marks] = self._model(marks)
-        return v
-
-    def _cached(self, word: str) -> bytes:
-        v = self.new.get(word)
-        if v is None:
-            v = self.old.get(word)
-            if v is None:
-                v = self._word(word)
-            if len(self.new) >= CACHE_WORDS:
-                self.old, self.new = self.new, {}
-            self.new[word] = v
-        return v
-
-    def encode(self, text: str) -> bytes:
-        get, miss = self.new.get, self._cached
-        out = []
-        for w in WORD.findall(text):
-            v = get(w)
-            if v is None:
-                v = miss(w)
-                get = self.new.get
-            out.append(v)
-        return b"".join(out)
+        core, marks = m.groups()
+        low = core.lower()
+        if low == word:
+            return self._model(word)
+        return self.cache[low.encode()] + self._marks(marks) if marks else self.cache[low.encode()]
+
+    def _marks(self, marks: str) -> bytes:
+        if marks not in self.marks:
+            if len(self.marks) >= CACHE_WORDS:
+                self.marks.clear()
+            self.marks[marks] = self._model(marks)
+        return self.marks[marks]
+
+    def encode(self, text: str | bytes) -> bytes:
+        data = text.encode() if isinstance(text, str) else text
+        return b"".join(map(self.cache.__getitem__, data.split()))  # at the white space that parts words
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
