@@ -144,16 +144,18 @@ def _compare(rows: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """``wanted`` (_node, _id, _regs, ...) with _set, the sorted shingles of the class, from the text of one of its rows."""
-    rows = docs.select(F.col(id_col).alias("_d"), F.col(text_col).alias("_t")).join(wanted, F.col("_d").eqNullSafe(F.col("_id"))).select("_t", "_node", "_cluster", "_regs")
+    """``wanted`` (_node, _id, _k, _s1, _s2, _regs, _cluster) with _set, the sorted shingles of the class, from the text of one of its rows."""
+    rows = docs.select(F.col(id_col).alias("_d"), F.xxhash64(id_col, text_col).alias("_dk"), F.col(text_col).alias("_t"))
+    rows = rows.join(wanted, F.col("_d").eqNullSafe(F.col("_id")) & (F.col("_dk") == F.col("_k"))).select("_t", "_node", "_cluster", "_regs", "_s1", "_s2")
 
     def read(batches):
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
                 sets = shingle_sets(part.column(0).to_pylist(), words)
-                # a repeated id may have other texts
-                same = [len(s) > 0 and int(np.frombuffer(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), "<i8")[0]) == n for s, n in zip(sets, part.column(1).to_pylist(), strict=True)]
+                # two texts of one id may share their 64-bit hash
+                digests = zip(part.column(4).to_pylist(), part.column(5).to_pylist(), strict=True)
+                same = [len(s) > 0 and tuple(np.frombuffer(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), "<i8").tolist()) == d for s, d in zip(sets, digests, strict=True)]
                 got = pa.RecordBatch.from_arrays([part.column(1), part.column(2), part.column(3), pa.array([s.tobytes() for s in sets], pa.binary())], names=["_node", "_cluster", "_regs", "_set"])
                 yield got.filter(pa.array(same, pa.bool_()))
 
@@ -165,10 +167,9 @@ def _components(docs: DataFrame, num: int, den: int, words: int, id_col: str, te
     spark = docs.sparkSession
     scratch = Scratch(spark, "near")
     rows = scratch.table(sketch(docs, id_col, text_col, words), "sketches")
-    classes = rows.filter("_s1 IS NOT NULL").groupBy("_s1", "_s2").agg(F.min_by(F.struct("_id", "_regs"), F.struct(F.col("_id").isNotNull(), "_id")).alias("_x"))
-    classes = scratch.table(classes.select(F.col("_s1").alias("_node"), "_x._id", "_x._regs"), "classes")
-    if not classes.groupBy("_node").count().filter("count > 1").isEmpty():
-        raise ValueError("two sets share a 64-bit digest; give other words or another digest")
+    classes = rows.filter("_s1 IS NOT NULL").groupBy("_s1", "_s2").agg(F.min_by(F.struct("_id", "_k", "_regs"), F.struct(F.col("_id").isNotNull(), "_id", "_k")).alias("_x"))
+    # a class is known by its number, which the written table keeps
+    classes = scratch.table(classes.select(F.monotonically_increasing_id().alias("_node"), "_s1", "_s2", "_x._id", "_x._k", "_x._regs"), "classes")
     bands = F.expr(f"explode(transform(sequence(0, {REGISTERS // ROWS - 1}), i -> xxhash64(i, substring(_regs, i * {2 * ROWS} + 1, {2 * ROWS}))))")
     keys = classes.select("_node", bands.alias("_key"))
     shared = keys.groupBy("_key").agg(F.min("_node").alias("_lo"), F.max("_node").alias("_hi")).filter("_lo <> _hi").select("_key", "_lo")
@@ -205,13 +206,15 @@ def _components(docs: DataFrame, num: int, den: int, words: int, id_col: str, te
         every = F.when(F.col("_ask"), F.concat(F.filter(asked, lambda x: x._task != F.xxhash64("_cluster", mine, block, F.lit(3))), asks)).otherwise(asked)
         spread = members.select("_node", "_group", "_set", "_regs", F.explode(every).alias("_x")).select("_x._task", "_node", "_group", "_x._ask", "_set", "_regs")
         links = links.unionByName(scratch.table(_compare(spread, num, den), "late"))
-    joined = components(links, scratch, "joined").select(F.col("node").alias("_s1"), F.col("component").alias("_c"))
-    scratch.keep("sketches", "joined")
-    out = rows.join(joined, "_s1", "left").withColumn("_c", F.coalesce("_c", "_s1"))
-    order = F.struct(F.col("_id").isNotNull(), F.col("_id"))
-    first = out.filter("_c IS NOT NULL").groupBy("_c").agg(F.min(order).getField("_id").alias("_first"), F.lit(True).alias("_found"))
-    out = out.join(first, "_c", "left").withColumn("component_id", F.when(F.col("_found"), F.col("_first")).otherwise(F.col("_id")))
-    return out.select("_id", "_k", "_n", "component_id")
+    joined = components(links, scratch, "joined").select(F.col("node").alias("_node"), F.col("component").alias("_c"))
+    # the smallest id of a class is its row's here; so the first of a component is found among classes, not among rows
+    named = classes.select("_node", "_s1", "_s2", F.struct(F.col("_id").isNotNull().alias("there"), F.col("_id").alias("id")).alias("_x")).join(joined, "_node", "left").withColumn("_c", F.coalesce("_c", "_node"))
+    first = named.groupBy("_c").agg(F.min("_x").alias("_first"))
+    named = scratch.table(named.join(first, "_c").select("_s1", "_s2", F.col("_first.id").alias("_first"), F.lit(True).alias("_found")), "named")
+    scratch.keep("sketches", "named")
+    out = rows.join(named, ["_s1", "_s2"], "left")
+    return out.select("_id", "_k", "_n", F.when(F.col("_found"), F.col("_first")).otherwise(F.col("_id")).alias("component_id"))
+
 
 def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept: a row per row of ``docs``.
@@ -221,7 +224,8 @@ def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100, words: int =
     is missed with a chance of 2e-8, one at 0.8 with 1e-6, before other paths between them.
 
     No words or no text: an empty set, linked with nothing, kept. A null id stands before all others. Repeated ids: each
-    row is its own, and rows that share component and id are all kept. Empty table: no rows.
+    row is its own, and rows that share component and id are all kept. Very long texts are read whole. Other columns,
+    whatever their names, are ignored. Empty table: no rows.
     """
     out = _components(docs, num, den, words, id_col, text_col)
     return out.select(F.col("_id").alias(id_col), F.col("_n").alias("n_shingles"), "component_id", F.col("_id").eqNullSafe(F.col("component_id")).alias("kept"))
