@@ -30,7 +30,7 @@ def _strength(level: str) -> str:
 
 _TWO = ", ".join(map(_q, urls.TWO_LABEL_SUFFIXES))
 _DOMAIN = f"""CASE WHEN array_to_string(list_slice(p, -2, -1), '.') IN ({_TWO}) THEN 2 ELSE 1 END"""
-_BOUND = f"(a / (a + b) - {urls.Z} * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))))"
+_BOUND = f"greatest(0, a / (a + b) - {urls.Z} * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))))"
 
 OP1 = f"""
 WITH base AS (
@@ -61,7 +61,7 @@ _LINE = f"trim(translate(l, {_SPACES}, '     '))"
 
 
 def _line_rules() -> str:
-    rules = quality.line_rules("ln", "nw")
+    rules = quality.line_rules("ln", "lower(ln)", "nw")
     text = " OR ".join(f"({r})" for r in rules.values())
     return text.replace("\\'", "''")
 

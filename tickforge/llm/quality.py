@@ -26,16 +26,16 @@ def _quote(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def line_rules(line: str, words: str) -> dict[str, str]:
-    """SQL predicates, each true where a line fails. ``line``: SQL for the trimmed line; ``words``: for its word count."""
+def line_rules(line: str, low: str, words: str) -> dict[str, str]:
+    """SQL predicates, each true where a line fails. ``line``: SQL for the trimmed line; ``low``: for it in lower case; ``words``: for its word count."""
     symbols = f"(length({line}) - length(translate({line}, {_quote(SYMBOLS)}, '')))"
     separators = f"(length({line}) - length(translate({line}, {_quote(SEPARATORS)}, '')))"
     ends = f"instr({_quote(TERMINAL)}, right({line}, 1)) = 0"
-    phrases = " OR ".join(f"contains(lower({line}), {_quote(p)})" for p in BOILERPLATE)
+    phrases = " OR ".join(f"contains({low}, {_quote(p)})" for p in BOILERPLATE)
     return {
-        "punctuation": f"({ends} AND {words} < 5) OR 3 * {symbols} > {words} OR ({words} >= 5 AND {line} = upper({line}) AND {line} <> lower({line}))",
+        "punctuation": f"({ends} AND {words} < 5) OR 3 * {symbols} > {words} OR ({words} >= 5 AND {line} <> {low} AND {line} = upper({line}))",
         "navigation": f"{separators} >= 2 AND 4 * {separators} >= {words}",
-        "boilerplate": f"length({line}) < 400 AND ({phrases})",
+        "boilerplate": phrases,
     }
 
 
@@ -45,7 +45,8 @@ def clean_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``cleaned`` is the text without the lines that fail a rule (lines without a word stay as they are). ``kept`` is
     false if the base rules fail or more than ``max_lost_percent`` percent of the words were in removed lines.
 
-    Null text: no words, base_failed. Null ids and repeated rows pass through, a row each. Other columns are ignored.
+    Null and empty texts: no words, base_failed. Null ids and repeated rows pass through, a row each. Very long texts and
+    lines are judged whole. Other columns, whatever their names, are ignored. Empty table: no rows.
     """
     spaced = f"translate(_t, {_quote(SPACES)}, '     ')"
     out = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_t"))
@@ -57,9 +58,9 @@ def clean_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.expr(f"length(translate(_t, {_quote(SPACES + ' ')}, ''))").alias("word_chars"),
         F.expr(f"length(_t) - length(translate(_t, {_quote(SYMBOLS)}, ''))").alias("n_symbols"),
         F.expr(f"sort_array({windows})").alias("_s"), "_raw",
-        F.expr(f"transform(_raw, l -> named_struct('t', {line}, 'n', size(filter(split({line}, ' '), w -> w <> ''))))").alias("_l"),
+        F.expr(f"transform(transform(_raw, l -> {line}), t -> named_struct('t', t, 'low', lower(t), 'n', size(filter(split(t, ' '), w -> w <> ''))))").alias("_l"),
     )
-    rules = " OR ".join(f"({r})" for r in line_rules("x.t", "x.n").values())
+    rules = " OR ".join(f"({r})" for r in line_rules("x.t", "x.low", "x.n").values())
     out = out.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "_raw", "_l",
         F.expr("sort_array(transform(filter(_s, (x, i) -> get(_s, i - 1).h <=> x.h OR get(_s, i + 1).h <=> x.h), x -> x.i))").alias("_p"),
@@ -71,7 +72,6 @@ def clean_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.expr("size(_real) - size(array_distinct(_real))").alias("n_dup_lines"),
         F.expr("aggregate(transform(_p, (p, i) -> least(3, coalesce(get(_p, i + 1), p + 3) - p)), 0, (a, x) -> a + x)").alias("n_repeat_words"),
         F.expr("array_join(filter(_raw, (l, i) -> NOT get(_bad, i)), '\n')").alias("cleaned"),
-        F.expr("aggregate(_l, 0, (a, x) -> a + x.n)").alias("_all"),
         F.expr("aggregate(filter(_l, (x, i) -> get(_bad, i)), 0, (a, x) -> a + x.n)").alias("n_lost_words"),
     )
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words").cast("long") > MAX_REPEAT_PERCENT * F.col("n_words").cast("long"))
