@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from tickforge.llm.common import SPACES, Scratch
 
-#: Lines of fewer characters are removed only if they are equal to an earlier one.
-MIN_CHARS = 20
+#: Characters from which on one edit leaves two lines similar by 0.8; shorter lines are the same only if they are equal.
+MIN_CHARS = 5
 BLOCKS, BLOCK_CHARS = 8, 256
 
 
