@@ -44,6 +44,18 @@ def test_urls(spark):
     assert urls.filter_urls(pages.limit(0), urls.page_outcomes(pages, labels)).count() == 0
 
 
+def test_long_rule_lists_are_joined(spark, monkeypatch):
+    rng = random.Random(30)
+    hosts = ["a.com", "b.a.com", "c.b.a.com", "com", "x.org", "y.x.org", "", "a..com", "com."]
+    rules = sorted({(f"{rng.choice(hosts[:-3])}/{rng.choice(['', 'e', 'en', 'en/', 'de/x'])}", "allow") for _ in range(25)})
+    rules = [(r, rng.choice(("allow", "block"))) for r, _ in rules]
+    rows = [(k, f"http://{rng.choice(hosts)}{rng.choice(['', '/', '/e', '/en/x', '/de/x/y', '/DE', '?q'])}") for k in range(200)] + [(200, None)]
+    pages, none = spark.createDataFrame(rows, "page_id long, url string"), spark.createDataFrame([], "host string, good boolean")
+    chain = urls.filter_urls(pages, none, rules).collect()
+    monkeypatch.setattr(urls, "CHAIN", 3)
+    assert sorted(map(str, urls.filter_urls(pages, none, rules).collect())) == sorted(map(str, chain)) and any(r["rule"] for r in chain)
+
+
 def test_reputation_shrinks_towards_the_domain(spark):
     pages = spark.createDataFrame([(k, f"http://{h}.org/") for k, h in enumerate(["good.a"] * 40 + ["bad.b"] * 40 + ["new.b"] + ["new.c"])], "page_id long, url string")
     labels = spark.createDataFrame([(k, int(k < 40), 0) for k in range(80)] + [(0, None, None), (3, 1, None)], "doc_id long, quality int, toxic int")
@@ -130,7 +142,7 @@ def expected_lines(rows, least):
 
 def test_lines_against_brute_force(spark):
     rng = random.Random(5)
-    pool = [prose(rng, rng.randint(1, 14)).replace("\n", " ") for _ in range(60)] + ["é" * 24, "é" * 25, "ab" * 200]
+    pool = [prose(rng, rng.randint(1, 14)).replace("\n", " ") for _ in range(60)] + ["é" * 24, "é" * 25, "ab" * 200] + ["".join(rng.choice("xy") for _ in range(rng.randint(1, 9))) for _ in range(25)]
     rows = []
     for i in range(120):
         picked = [rng.choice(pool) for _ in range(6)] + ["", "  "]
@@ -142,6 +154,12 @@ def test_lines_against_brute_force(spark):
     assert got == expected_lines(rows, lines.MIN_CHARS)
 
 
+def test_short_lines(spark):
+    rows = [(1, "Read more about us\nRead more about us!\nabcd\nabce\nabcde\nabcdef\n1.\n2."), (2, "Reed more about us\nabcd")]
+    got = {r["doc_id"]: r["text"] for r in lines.dedup_lines(table(spark, rows)).collect()}
+    assert got == expected_lines(rows, lines.MIN_CHARS) == {1: "Read more about us\nabcd\nabce\nabcde\n1.\n2.", 2: ""}
+
+
 def test_lines_awkward(spark):
     got = lines.dedup_lines(table(spark, awkward()))
     rows = got.collect()

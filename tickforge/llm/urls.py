@@ -9,15 +9,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickforge.llm.common import fold_case
+from tickforge.llm.common import Scratch, fold_case
 
 #: The rules of the production list, and suffixes of two labels under which domains are registered.
 RULES = (
     ("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block"),
 )
 TWO_LABEL_SUFFIXES = ("ac.uk", "co.jp", "co.kr", "co.nz", "co.uk", "com.au", "com.br", "com.cn", "com.mx", "gov.uk", "org.au", "org.uk")
-#: Rules are code, a chain of conditions; longer lists belong in a table joined on host suffixes.
-MAX_RULES = 500
+#: Up to so many rules are a chain of conditions, read with each row; longer lists are joined by the hosts that they name.
+CHAIN = 100
 Z, THRESHOLD, STRENGTHS = 1.645, 0.5, (1.0, 1000.0)
 
 
@@ -31,8 +31,6 @@ def url_parts(url: Column) -> tuple[Column, Column]:
 
 def match_rule(host: Column, path: Column, rules) -> tuple[Column, Column]:
     """The longest rule that fits and its verdict, null where none does. Of equally long ones the first in text order."""
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"at most {MAX_RULES} rules")
     name = verdict = F.lit(None).cast("string")
     for rule, kind in sorted(rules, key=lambda r: (len(r[0]), [-ord(c) for c in r[0]])):
         at, _, rest = rule.partition("/")
@@ -41,6 +39,24 @@ def match_rule(host: Column, path: Column, rules) -> tuple[Column, Column]:
     return name, verdict
 
 
+def join_rules(base: DataFrame, rules) -> DataFrame:
+    """``base`` (host, path, ...) with _rule and _said, as ``match_rule`` gives them, from a list of any length.
+
+    Rules are joined with the parents of distinct hosts; a page then looks through those of its host, the longest first.
+    """
+    spark = base.sparkSession
+    rows = [(*r.partition("/")[::2], r, kind) for r, kind in rules]
+    table = spark.createDataFrame(rows, "_at string, _path string, _name string, _kind string")
+    labels = F.split("host", r"\.")
+    parents = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))
+    hosts = base.select("host").distinct().select("host", F.explode(parents).alias("_at")).join(table, "_at")
+    order = F.struct((-F.length("_name")).alias("n"), F.col("_name").alias("name"), F.col("_path").alias("path"), F.col("_kind").alias("kind"))
+    fits = hosts.groupBy(F.col("host").alias("_host")).agg(F.sort_array(F.collect_list(order)).alias("_rules"))  # at most the rules given
+    out = base.join(fits, F.col("host") == F.col("_host"), "left")
+    first = F.get(F.filter("_rules", lambda r: F.startswith(F.col("path"), F.concat(F.lit("/"), r.path))), F.lit(0))
+    return out.withColumns({"_rule": first.getField("name"), "_said": first.getField("kind")}).drop("_rules", "_host")
+
+
 def domain_parts(host: Column) -> tuple[Column, Column]:
     """Registered domain and public suffix of a host."""
     n = F.when(F.substring_index(host, ".", -2).isin(*TWO_LABEL_SUFFIXES), 2).otherwise(1)
@@ -73,7 +89,7 @@ def host_reputation(outcomes: DataFrame) -> DataFrame:
     seen = outcomes.filter(F.col("host").isNotNull() & F.col("good").isNotNull())
     hosts = seen.groupBy("host").agg(F.count("*").alias("n"), F.count_if("good").alias("good"))
     domain, suffix = domain_parts(F.col("host"))
-    hosts = hosts.select("host", domain.alias("domain"), suffix.alias("suffix"), "n", "good")
+    hosts = Scratch(outcomes.sparkSession, "urls").table(hosts.select("host", domain.alias("domain"), suffix.alias("suffix"), "n", "good"), "hosts")
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
     whole = suffixes.agg(F.sum("n").alias("n"), F.sum("good").alias("good")).first()
@@ -92,7 +108,7 @@ def host_reputation(outcomes: DataFrame) -> DataFrame:
 def lower_bound(a: Column, b: Column, z: float = Z) -> Column:
     """Lower bound of a beta posterior by its first two moments."""
     n = a + b
-    return a / n - z * F.sqrt(a * b / (n * n * (n + 1)))
+    return F.greatest(F.lit(0.0), a / n - z * F.sqrt(a * b / (n * n * (n + 1))))
 
 
 def filter_urls(pages: DataFrame, outcomes: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url", z: float = Z, threshold: float = THRESHOLD) -> DataFrame:
@@ -102,13 +118,18 @@ def filter_urls(pages: DataFrame, outcomes: DataFrame, rules=RULES, id_col: str
     bound of its host, or else of its domain, suffix or all hosts, is at least ``threshold``.
 
     Null or malformed urls: empty host and path, judged by the overall prior. Null ids and repeated rows pass through,
-    a row each. No outcomes: every host has the uniform prior's mean. Other columns are ignored.
+    a row each; very long urls are read whole. No outcomes: every host has the uniform prior's mean. Other columns, whatever
+    their names, are ignored. Empty table: no rows.
     """
     base = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("_url"))
     host, path = url_parts(F.col("_url"))
     base = base.select("page_id", host.alias("host"), path.alias("path"))
     domain, suffix = domain_parts(F.col("host"))
-    rule, said = match_rule(F.col("host"), F.col("path"), rules)
+    if len(rules) <= CHAIN:
+        rule, said = match_rule(F.col("host"), F.col("path"), rules)
+    else:
+        base = join_rules(base, rules)
+        rule, said = F.col("_rule"), F.col("_said")
     rep = host_reputation(outcomes)
     bound = lower_bound(F.col("a"), F.col("b"), z)
     # what each distinct host gets: its own posterior, else the nearest prior above it
