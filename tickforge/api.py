@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import json
+import logging
 import threading
 from collections.abc import Callable
-from datetime import datetime, timedelta
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +18,9 @@ from tickforge.operators import summary as s
 from tickforge.sources import lists
 
 
+_LOG = logging.getLogger(__name__)
+
+
 class NotFound(LookupError):
     """There is no such row."""
 
@@ -76,7 +80,7 @@ class Engine:
             raise ValueError("symbols must be a non-empty array of non-blank strings")
         now = self._as_of(as_of)
         asked = self.spark.createDataFrame(list(enumerate(symbols)), "pos int, symbol string")
-        out = s.batch_summary(asked, self.quotes, bars.from_ticks(self.ticks), now, self.scale)
+        out = s.batch_summary(asked, self.quotes, bars.recent_bars(self.ticks, now), now, self.scale)
         return out.withColumns({"tradeDate": x.et_date(x.eastern(now)), "fetchedAt": x.iso_utc(now)})
 
     def universe(self, kind: str) -> DataFrame:
@@ -92,11 +96,41 @@ class Engine:
 
         def run():
             known = snapshots.store(self.spark, self.store).agg(F.max("id")).first()[0] if self._has_store() else None
-            items = s.batch_summary(self.universe(kind), self.quotes, bars.from_ticks(self.ticks), now, self.scale)
+            items = s.batch_summary(self.universe(kind), self.quotes, bars.recent_bars(self.ticks, now), now, self.scale)
             snapshots.capture(items, kind, (known or 0) + 1, now, self.store)
 
         return self._guard.run(run)
 
+    def trigger(self, kind: str, as_of=None) -> threading.Thread:
+        """Start a capture and return at once; a capture that is running goes on and this one is skipped."""
+        snapshots.check_type(kind)
+        thread = threading.Thread(target=self.capture, args=(kind, as_of), daemon=True)
+        thread.start()
+        return thread
+
+    def start_timer(self, first: float = 5.0, every: float = 1800.0) -> Callable[[], None]:
+        """Capture all ``first`` seconds from now and then ``every`` so many, in a thread; gives a function that ends it. Needs a store."""
+        if not self.store:
+            raise ValueError("a store is needed")
+        ended = threading.Event()
+
+        def run():
+            wait = first
+            while not ended.wait(wait):
+                wait = every
+                try:
+                    self.capture_all()
+                except Exception:
+                    _LOG.exception("a timed capture failed")
+
+        threading.Thread(target=run, daemon=True).start()
+        return ended.set
+
+    def batch_json(self, symbols: list[str], as_of=None) -> str:
+        """The response document of a batch."""
+        now = self._as_of(as_of)
+        return s.batch_envelope(self.batch_summary(symbols, now), x.et_date(x.eastern(now)), x.iso_utc(now)).first()["body"]
+
     def capture_all(self, as_of=None) -> list[bool]:
         """What the timer does: stocks, then funds, one after the other."""
         return [self.capture(kind, as_of) for kind in ("all-stocks", "all-etfs")]
@@ -116,9 +150,7 @@ class Engine:
 
     def ticker_summary_v2(self, date: str, tickers: str | None = None, file_text: str | None = None) -> DataFrame:
         """The script's 39 columns of the tickers on an Eastern date. The date's bars are found by a range of raw instants."""
-        day = datetime.fromisoformat(date)
-        near = F.col("ts").between(F.lit(day - timedelta(days=1)).cast("timestamp"), F.lit(day + timedelta(days=3)).cast("timestamp"))
-        ticks = self.ticks.filter(near)
+        ticks = bars.between(self.ticks, *bars.day_range(date))
         et = x.eastern("ts")
         minute = bars.with_session(bars.from_ticks(ticks)).filter(F.col("et_date") == date).withColumn("session", x.session_v2("et"))
         at = F.struct("ts", "seq")

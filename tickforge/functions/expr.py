@@ -178,8 +178,20 @@ def query_parameter(name: str, value) -> Column:
     return F.concat(F.lit(f"{name}="), F.url_encode(F.coalesce(c(value).cast("string"), F.lit("null"))))
 
 
-def body_kind(body) -> Column:
-    """What a response body is taken for: empty, json, or text."""
+def _body(body) -> tuple[Column, Column]:
+    """A body's text without byte-order mark and blanks, and whether it is JSON that says so."""
     text = trimmed(F.regexp_replace(c(body), "^\\ufeff", ""))
     looks = F.startswith(text, F.lit("{")) | F.startswith(text, F.lit("["))
-    return F.when(text.isNull() | (text == ""), "empty").when(looks & F.try_parse_json(text).isNotNull(), "json").otherwise("text")
+    return text, looks & F.try_parse_json(text).isNotNull()
+
+
+def body_kind(body) -> Column:
+    """What a response body is taken for: empty, json, or text."""
+    text, json = _body(body)
+    return F.when(text.isNull() | (text == ""), "empty").when(json, "json").otherwise("text")
+
+
+def parsed_body(body) -> Column:
+    """The body that a caller gets: null if empty, JSON in its plain form, other text as it came."""
+    text, json = _body(body)
+    return F.when(text.isNull() | (text == ""), F.lit(None).cast("string")).when(json, F.to_json(F.try_parse_json(text))).otherwise(c(body))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickforge.functions import expr as x
@@ -26,10 +26,11 @@ def since(period: str, interval: str, as_of: Column) -> Column:
 def history(ticks: DataFrame, symbols: list[str], period: str, interval: str, as_of: Column) -> DataFrame:
     """Bars of the symbols in the range, first of each instant, with period and interval. Unknown symbols have no rows.
 
-    The range is a filter on raw instants. Bars are built from ticks in the range.
+    Bars are those that begin in the range, of all their ticks before ``as_of``; the range reaches the scan of the ticks.
     """
-    rows = ticks.filter(F.col("symbol").isin(*symbols) & (F.col("ts") >= since(period, interval, as_of)) & (F.col("ts") < as_of))
-    out = b.dedupe(b.from_ticks(rows, interval))
+    begin = since(period, interval, as_of)
+    rows = b.between(ticks.filter(F.col("symbol").isin(*symbols)), b.bucket_start(begin, interval), as_of)
+    out = b.dedupe(b.from_ticks(rows, interval).filter(F.col("ts") >= begin))
     return out.select(F.upper("symbol").alias("symbol"), F.lit(period).alias("period"), "interval", "ts", "open", "high", "low", "close", "volume")
 
 
@@ -53,6 +54,14 @@ def csv_blocks(h: DataFrame, fetched_at: Column) -> DataFrame:
     return out.select("symbol", "period", "interval", F.concat_ws("\n", head, F.lit("date,open,high,low,close,volume"), F.array_join("lines", "\n")).alias("block"))
 
 
-def preview(h: DataFrame, n: int = 5) -> tuple[DataFrame, Column]:
-    """The first rows, and how many more there are."""
-    return h.orderBy("ts").limit(n), F.greatest(F.count("*") - n, F.lit(0))
+def csv_text(blocks: DataFrame) -> DataFrame:
+    """One text of all blocks (symbol, period, interval, block) in their order, a blank line between them. A client's download: its parts meet in one row."""
+    parts = F.transform(F.sort_array(F.collect_list(F.struct("symbol", "period", "interval", "block"))), lambda e: e.block)
+    return blocks.agg(F.count("*").alias("n_blocks"), F.array_join(parts, "\n\n").alias("text"))
+
+
+def preview(h: DataFrame, n: int = 5) -> DataFrame:
+    """The first ``n`` rows of each symbol, period and interval, by time, and how many more there are. Partial aggregates hold ``n`` rows."""
+    key = ("symbol", "period", "interval")
+    first = Window.partitionBy(*key).orderBy("ts")
+    return h.withColumn("_k", F.row_number().over(first)).withColumn("n_more", F.greatest(F.count("*").over(Window.partitionBy(*key)) - n, F.lit(0))).filter(F.col("_k") <= n).drop("_k")

@@ -99,10 +99,15 @@ def flatten_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*(c.split(".")[0] for c in df.columns))
 
 
+def csv_lines(df: DataFrame) -> DataFrame:
+    """line: the rows of the script's CSV, cells quoted where they must be, nulls empty; other columns are kept."""
+    cell = lambda c: F.coalesce(F.when(F.col(c).cast("string").rlike('[,"\n]'), F.concat(F.lit('"'), F.replace(F.col(c).cast("string"), F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(F.col(c).cast("string")), F.lit(""))
+    return df.withColumn("line", F.concat_ws(",", *map(cell, df.columns)))
+
+
 def write_outputs(df: DataFrame, path: str) -> None:
     """The script's files: ``csv`` (with a byte-order mark before the header) and ``json`` (nulls kept), both in order."""
     head = df.sparkSession.createDataFrame([(-1, "﻿" + ",".join(df.columns))], "_at long, line string")
-    cell = lambda c: F.coalesce(F.when(F.col(c).cast("string").rlike('[,"\n]'), F.concat(F.lit('"'), F.replace(F.col(c).cast("string"), F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(F.col(c).cast("string")), F.lit(""))
-    rows = df.withColumn("_at", F.monotonically_increasing_id()).select("_at", F.concat_ws(",", *map(cell, df.columns)).alias("line"))
+    rows = csv_lines(df).select(F.monotonically_increasing_id().alias("_at"), "line")
     head.unionByName(rows).orderBy("_at").select("line").coalesce(1).write.text(f"{path}/csv")
     df.write.option("ignoreNullFields", "false").json(f"{path}/json")

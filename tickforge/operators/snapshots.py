@@ -70,6 +70,21 @@ def items(snapshots: DataFrame) -> DataFrame:
     return snapshots.select("id", F.posexplode("results").alias("pos", "i")).select("id", "pos", "i.*")
 
 
+def envelope(snapshots: DataFrame) -> DataFrame:
+    """The response document of each snapshot, with its results if it has them."""
+    names = {"id": "id", "type": "type", "trade_date": "tradeDate", "fetched_at": "fetchedAt", "symbol_count": "symbolCount", "results": "results"}
+    value = lambda n: x.iso_utc(n) if n == "fetched_at" else F.col(n)
+    doc = F.struct(*(value(n).alias(v) for n, v in names.items() if n in snapshots.columns))
+    return snapshots.select("id", F.to_json(doc, {"ignoreNullFields": "false"}).alias("body"))
+
+
+def list_envelope(listed: DataFrame) -> DataFrame:
+    """The response document of a list, one row: snapshots, newest first. The list's limit bounds its size."""
+    at = F.struct("fetched_at", "id", "type", "trade_date", "symbol_count")
+    rows = F.transform(F.sort_array(F.collect_list(at), asc=False), lambda r: F.struct(r.id.alias("id"), r.type.alias("type"), r.trade_date.alias("tradeDate"), x.iso_utc(r.fetched_at).alias("fetchedAt"), r.symbol_count.alias("symbolCount")))
+    return listed.agg(F.to_json(F.struct(rows.alias("snapshots"))).alias("body"))
+
+
 def store_jdbc(spark: SparkSession, url: str, table: str = "market_snapshots", **options: str) -> DataFrame:
     """The same store in a relational database, its results as JSON text; filters, columns and limits are pushed to it."""
     rows = spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()

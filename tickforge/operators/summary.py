@@ -47,6 +47,13 @@ def batch_summary(universe: DataFrame, quotes: DataFrame, minute_bars: DataFrame
     return rows.select("pos", *out)
 
 
+def batch_envelope(items: DataFrame, trade_date, fetched_at) -> DataFrame:
+    """The response document of a batch, one row: results in order, tradeDate, fetchedAt. The request bounds its size."""
+    rows = F.transform(F.sort_array(F.collect_list(F.struct("pos", F.struct(*SUMMARY_COLUMNS).alias("i")))), lambda e: e.i)
+    out = items.agg(rows.alias("results"))
+    return out.select(F.to_json(F.struct("results", x.c(trade_date).alias("tradeDate"), x.c(fetched_at).alias("fetchedAt")), {"ignoreNullFields": "false"}).alias("body"))
+
+
 def stock_info(quotes: DataFrame, symbol: str) -> DataFrame:
     """The ten columns of one symbol, looked up as it is spelled."""
     if not symbol or not symbol.strip():

@@ -28,9 +28,10 @@ def running(bars: DataFrame, scale: int | None = None) -> DataFrame:
 
 
 def latest_session(bars: DataFrame) -> DataFrame:
-    """Regular bars of each symbol's newest date that has one."""
-    newest = F.max("et_date").over(Window.partitionBy("symbol"))
-    return bars.filter("session = 'regular'").withColumn("_newest", newest).filter("et_date = _newest").drop("_newest")
+    """Regular bars of each symbol's newest date that has one. The newest dates are an aggregate, a row for each symbol."""
+    regular = bars.filter("session = 'regular'")
+    newest = regular.groupBy("symbol").agg(F.max("et_date").alias("et_date"))
+    return regular.join(newest, ["symbol", "et_date"], "left_semi")
 
 
 def session_summary(bars: DataFrame, scale: int | None = None) -> DataFrame:

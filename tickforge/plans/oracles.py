@@ -109,7 +109,7 @@ def plain(interval: str) -> str:
 
 
 def history(symbols: str, period: str, interval: str, days: int, name: str = "") -> str:
-    return f"""SELECT symbol, '{period}' AS period, "interval", ts, open, high, low, close, volume FROM (WITH part AS (SELECT t.* FROM ticks t, clock WHERE symbol IN ({symbols}) AND ts >= now - INTERVAL {days} DAY AND ts < now), {bars(interval, 'b', 'part')} SELECT * FROM b)"""
+    return f"""SELECT symbol, '{period}' AS period, "interval", ts, open, high, low, close, volume FROM (WITH part AS (SELECT t.* FROM ticks t, clock WHERE symbol IN ({symbols}) AND ts < now), {bars(interval, 'b', 'part')} SELECT b.* FROM b, clock WHERE ts >= now - INTERVAL {days} DAY)"""
 
 
 def hist_query(symbols: str, *parts: tuple[str, str, int]) -> str:
@@ -137,7 +137,7 @@ LASTS = "lasts AS (SELECT * FROM items QUALIFY row_number() OVER (PARTITION BY s
 
 
 def sorted_items(way: str) -> str:
-    return f"{SPARSE} SELECT pos, symbol, vsPreClosePct FROM items ORDER BY vsPreClosePct {way} NULLS LAST, pos LIMIT 140"
+    return f"{SPARSE} SELECT pos, symbol, vsPreClosePct FROM items ORDER BY vsPreClosePct {way} NULLS LAST, pos"
 
 
 def half_up(v: str, k: int) -> str:
@@ -147,6 +147,7 @@ def half_up(v: str, k: int) -> str:
 SNAPS = f"""WITH {TICKS}, d AS (SELECT ts::DATE AS day, symbol, arg_max(cents, (ts, seq)) / 100::DOUBLE AS dayClose, sum(volume)::BIGINT AS dayVolume FROM ticks GROUP BY ALL),
 snaps AS (SELECT day(day)::BIGINT AS id, ['all-stocks', 'all-etfs', 'all-combined'][day(day) % 3 + 1] AS type, strftime(day, '%Y-%m-%d') AS trade_date, day::TIMESTAMP AS fetched_at, count(*)::INT AS symbol_count FROM d GROUP BY day),
 list10 AS (SELECT * FROM snaps ORDER BY fetched_at DESC, id DESC LIMIT 10),
+list50 AS (SELECT * FROM snaps ORDER BY fetched_at DESC, id DESC LIMIT 50),
 exploded AS (SELECT day(day)::BIGINT AS id, (row_number() OVER (PARTITION BY day ORDER BY symbol) - 1)::INT AS pos, symbol, dayClose, dayVolume FROM d)"""
 SNAP_COLS = f"SELECT id, type, trade_date, {iso('fetched_at')} AS fetched_at, symbol_count"
 
@@ -185,6 +186,20 @@ ORACLE_SQL = {
     "history_csv": f"""{CSV} SELECT symbol, period, "interval", '# ' || symbol || ' | period=' || period || ' | interval=' || "interval" || ' | rows=' || count(*) || ' | fetchedAt=2024-02-01T00:00:00.000Z' || chr(10) || 'date,open,high,low,close,volume' || chr(10) ||
   string_agg(concat_ws(',', {iso('ts')}, open, high, low, close, volume), chr(10) ORDER BY ts) AS block FROM hist GROUP BY symbol, period, "interval\"""",
     "history_envelope": f"{CSV} SELECT symbol, count(*) AS row_count, {iso('min(ts)')} AS first_date, arg_min(close, ts) AS first_close, '2024-02-01T00:00:00.000Z' AS fetched_at FROM hist GROUP BY symbol",
+    "history_preset_minute": f"{hist_query(chr(39) + 'CLICK' + chr(39), ('max', '1m', 30))} {HIST_COLS}",
+    "history_preset_intraday": f"{hist_query(chr(39) + 'CLICK' + chr(39), ('max', '1m', 30), ('max', '15m', 60))} {HIST_COLS}",
+    "history_preview": f"{CSV} {HIST_COLS.replace(' FROM hist', ', n_more FROM (SELECT *, greatest(count(*) OVER (PARTITION BY symbol) - 5, 0) AS n_more FROM hist QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY ts) <= 5)')}",
+    "history_parameters": "SELECT *, period IN ('1d', 'max') AND \"interval\" <> '2m' AS taken, CASE WHEN \"interval\" = '2m' OR period = '5d' THEN NULL WHEN period = '1d' THEN 1 ELSE days END AS days FROM (VALUES ('1d'), ('max'), ('5d')) AS p(period), (VALUES ('1m', 30), ('5m', 60), ('15m', 60), ('1h', 730), ('1d', 36500), ('2m', 30)) AS i(\"interval\", days)".replace("SELECT *, period", "SELECT period, \"interval\", period"),
+    "vendor_bars": f"""SELECT symbol, '1d' AS "interval", {iso('ts')} AS ts, seq, open, high, low, close, volume FROM (SELECT o_orderpriority AS symbol, o_orderdate AS ts, o_orderkey AS seq, CASE WHEN o_orderkey % 5 <> 0 THEN o_totalprice END AS open, o_totalprice AS high,
+  CASE WHEN o_orderkey % 3 <> 0 THEN 1.5::DOUBLE END AS low, o_totalprice AS close, CASE WHEN o_orderkey % 4 <> 0 THEN o_orderkey END AS volume FROM orders WHERE o_orderkey % 11 <> 0)
+  QUALIFY row_number() OVER (PARTITION BY symbol, ts ORDER BY seq) = 1""",
+    "batch_envelope": f"{DENSE} SELECT '2024-01-31' AS \"tradeDate\", '2024-02-01T00:00:00.000Z' AS \"fetchedAt\", (row_number() OVER (ORDER BY pos) - 1)::INT AS pos, symbol, dayClose, fetchError FROM items",
+    "snapshot_build": f"{DENSE} SELECT 7::BIGINT AS id, 'all-combined' AS type, '2024-01-31' AS trade_date, (SELECT count(*) FROM items)::INT AS symbol_count, (row_number() OVER (ORDER BY pos) - 1)::INT AS pos, symbol, dayClose, fetchError FROM items",
+    "snapshot_envelope": f"{SNAPS} {SNAP_COLS}, e.symbol AS first_symbol, e.dayVolume AS first_volume FROM snaps JOIN exploded e USING (id) WHERE e.pos = 0",
+    "snapshot_list_envelope": f"{SNAPS} SELECT (row_number() OVER (ORDER BY fetched_at DESC, id DESC) - 1)::INT AS k, id, type, trade_date AS \"tradeDate\", {iso('fetched_at')} AS \"fetchedAt\", symbol_count AS \"symbolCount\" FROM list50",
+    "query_parameters": "SELECT p_partkey, 'name=' || replace(url_encode(p_name), '%20', '+') AS name, 'brand=' || CASE WHEN p_size % 2 = 0 THEN url_encode(p_brand) ELSE 'null' END AS brand FROM part",
+    "parsed_bodies": """SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN 'json' WHEN 2 THEN 'text' WHEN 3 THEN 'text' ELSE 'empty' END AS kind,
+  CASE o_orderkey % 5 WHEN 0 THEN '{"a":' || o_custkey || ',"b":[1,null]}' WHEN 2 THEN '{' || o_orderstatus WHEN 3 THEN o_orderpriority END AS parsed FROM orders""",
     "stock_info": f"WITH {TICKS}, {QUOTES} SELECT symbol, shortName, longName, exchange, currency, dayVolume * 1000 AS marketCap, dayClose AS regularMarketPrice, NULL::DOUBLE AS regularMarketChangePercent, hi AS fiftyTwoWeekHigh, lo AS fiftyTwoWeekLow FROM quotes WHERE symbol = 'VIEW'",
     "quote_prev_close": f"WITH {USERS}, {QUOTES} SELECT symbol, shortName, exchange, currency, prevClose, dayOpen, dayHigh, dayLow, dayClose, dayVolume FROM quotes",
     "universe_load": UNIVERSE.format(t=_s(q.UNIVERSE_TEXT), b=BLANKS),
@@ -213,7 +228,7 @@ ORACLE_SQL = {
     "csv_export_rows": f"""{SPARSE}, named AS (SELECT * REPLACE (CASE WHEN pos % 2 = 0 THEN shortName || ', Inc.' ELSE shortName END AS shortName) FROM items)
 SELECT pos, concat_ws(',', {', '.join(("CASE WHEN contains({0}, ',') THEN '{1}' || {0} || '{1}' ELSE coalesce({0}, '') END" if c in ("symbol", "shortName", "latestSession", "vwapDate", "latestBarTimeEt") else "coalesce({0}::VARCHAR, '')").format(c, '"') for c in q.present.CSV_COLUMNS)}) AS line FROM named""",
     "snapshot_latest": f"{SNAPS} SELECT exploded.* FROM exploded WHERE id = (SELECT id FROM snaps WHERE type = 'all-etfs' ORDER BY fetched_at DESC, id DESC LIMIT 1)",
-    "snapshot_list": f"{SNAPS} {SNAP_COLS} FROM list10",
+    "snapshot_list": f"{SNAPS} {SNAP_COLS} FROM list50",
     "snapshot_list_of_type": f"{SNAPS} {SNAP_COLS} FROM list10 WHERE type = 'all-stocks'",
     "snapshot_by_id": f"{SNAPS} {SNAP_COLS} FROM snaps WHERE id = 12",
     "snapshot_explode": f"{SNAPS} SELECT * FROM exploded",
@@ -232,5 +247,10 @@ SELECT *, {ret('latest_price', 'day_close')} AS latest_vs_day_close_pct, {ret('a
     "iso_epoch": f"SELECT event_id, {iso('ts')} AS iso, floor(epoch(ts))::BIGINT AS epoch, strftime({ET}, '%Y-%m-%d') AS trade_date FROM events",
     "request_parse": "SELECT * FROM (VALUES (0, 'VIEW'), (1, 'brk.b'), (2, 'CLICK')) AS t(pos, symbol)",
     "error_messages": """SELECT o_orderkey, 'HTTP 500 Server Error' || CASE o_orderkey % 6 WHEN 0 THEN ': ' || o_orderpriority || ' — ' || o_orderstatus WHEN 1 THEN ': ' || o_orderstatus WHEN 2 THEN ': only' WHEN 3 THEN ': plain text' WHEN 4 THEN ': ' || repeat('x', 299) || '…' ELSE '' END AS message
-  FROM orders WHERE o_orderkey < 60""",
+  FROM orders""",
 }
+ORACLE_SQL["history_csv_text"] = f"""SELECT count(*) AS n_blocks, string_agg(block, chr(10) || chr(10) ORDER BY symbol, period, "interval") AS text FROM ({ORACLE_SQL['history_csv']})"""
+ORACLE_SQL["preview_v2"] = f"SELECT {', '.join(c for c in q.script.PREVIEW if c != 'after_hours_price')} FROM ({ORACLE_SQL['summary_v2']})"
+_CELLS = ", ".join((f"CASE WHEN contains({c}, ',') THEN '\"' || {c} || '\"' ELSE coalesce({c}, '') END" if c in ("ticker", "company_name", "exchange", "website") else f"coalesce({c}::VARCHAR, '')") for c in ("ticker", "company_name", "exchange", "market_cap", "day_open", "day_close", "day_volume", "website", "is_after_hours_latest"))
+ORACLE_SQL["script_csv_rows"] = f"SELECT ticker, concat_ws(',', {_CELLS}) AS line FROM ({ORACLE_SQL['summary_v2']})"
+ORACLE_SQL["flatten_v2"] = f'SELECT ticker, day_open AS "Open", day_close AS "Close" FROM ({ORACLE_SQL["daily_ohlcv_v2"]})'

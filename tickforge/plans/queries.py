@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,9 +74,16 @@ def _universe(spark: SparkSession, symbols) -> DataFrame:
     return spark.createDataFrame(list(enumerate(symbols)), "pos int, symbol string")
 
 
+def _recent(spark: SparkSession, sf_dir: str, as_of, sparse: bool = False) -> DataFrame:
+    """Minute bars of the intraday scan; its range is pushed to the events."""
+    lo, hi = b.tick_range(b.recent_since(as_of), as_of)
+    return b.recent(b.from_ticks(tables.ticks(spark, sf_dir, sparse, lo, hi)), as_of)
+
+
 def batch_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = tables.ticks(spark, sf_dir)
-    return summary.batch_summary(_universe(spark, ASKED), tables.quotes(t), b.from_ticks(t), tables.last_tick(t), SCALE)
+    as_of = tables.last_tick(t)
+    return summary.batch_summary(_universe(spark, ASKED), tables.quotes(t), _recent(spark, sf_dir, as_of), as_of, SCALE)
 
 
 def _sparse_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,7 +91,8 @@ def _sparse_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = tables.ticks(spark, sf_dir, sparse=True)
     users = t.groupBy("symbol").agg(F.min("seq").alias("pos"))
     quotes = tables.quotes(t).filter(F.substring("symbol", 2, 20).cast("long") % 3 != 0)
-    return summary.batch_summary(users, quotes, b.from_ticks(t), tables.last_tick(t), SCALE)
+    as_of = tables.last_tick(t)
+    return summary.batch_summary(users, quotes, _recent(spark, sf_dir, as_of, sparse=True), as_of, SCALE)
 
 
 def returns_pct(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,17 +110,25 @@ def history_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stamp(b.dedupe(_order_bars(spark, sf_dir)), "ts")
 
 
+def _since(spark: SparkSession, sf_dir: str, period: str, interval: str, as_of) -> DataFrame:
+    """Ticks of a history's range, which is pushed to the events."""
+    return tables.ticks(spark, sf_dir, since=b.bucket_start(h.since(period, interval, as_of), interval), until=as_of)
+
+
 def _history(period: str, interval: str):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        t = tables.ticks(spark, sf_dir)
-        return _stamp(h.history(t, ["VIEW", "ERROR", "NOPE"], period, interval, tables.last_tick(t)), "ts")
+        as_of = tables.last_tick(tables.ticks(spark, sf_dir))
+        return _stamp(h.history(_since(spark, sf_dir, period, interval, as_of), ["VIEW", "ERROR", "NOPE"], period, interval, as_of), "ts")
 
     return query
 
 
-def history_presets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = tables.ticks(spark, sf_dir)
-    return _stamp(h.preset(t, ["CLICK"], "all", tables.last_tick(t)), "ts")
+def _preset(name: str):
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        t = tables.ticks(spark, sf_dir)
+        return _stamp(h.preset(t, ["CLICK"], name, tables.last_tick(t)), "ts")
+
+    return query
 
 
 def history_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,6 +149,36 @@ def history_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("symbol", f("$.rowCount").cast("long").alias("row_count"), f("$.data[0].date").alias("first_date"), f("$.data[0].close").cast("double").alias("first_close"), f("$.fetchedAt").alias("fetched_at"))
 
 
+def history_csv_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return h.csv_text(history_csv(spark, sf_dir))
+
+
+def history_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    as_of = tables.last_tick(tables.ticks(spark, sf_dir))
+    return _stamp(h.preview(h.history(_since(spark, sf_dir, "1d", "15m", as_of), ["VIEW", "ERROR"], "1d", "15m", as_of)), "ts")
+
+
+def history_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which of all pairs of period and interval are taken, and how many days they go back."""
+    rows = []
+    for p in (*h.PERIODS, "5d"):
+        for i in (*h.INTERVALS, "2m"):
+            taken = p in h.PERIODS and i in h.INTERVALS
+            at = F.lit("2024-02-01 00:00:00").cast("timestamp")
+            rows.append(spark.range(1).select(F.lit(p).alias("period"), F.lit(i).alias("interval"), F.lit(taken).alias("taken"), (F.datediff(at, h.since(p, i, at)) if taken else F.lit(None)).cast("int").alias("days")))
+    return reduce(DataFrame.unionByName, rows)
+
+
+def vendor_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as a vendor's rows: texts, some without a price, a volume or a date."""
+    o, k = table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    rows = o.select(
+        F.col("o_orderpriority").alias("symbol"), F.when(k % 11 == 0, "undefined").otherwise(F.col("o_orderdate").cast("string")).alias("date"), k.alias("seq"), F.when(k % 5 != 0, F.col("o_totalprice").cast("string")).alias("open"),
+        F.col("o_totalprice").alias("high"), F.when(k % 3 == 0, "n/a").otherwise(F.lit("1.5")).alias("low"), F.col("o_totalprice").alias("close"), F.when(k % 4 != 0, k.cast("string")).alias("volume"),
+    )
+    return _stamp(b.dedupe(b.from_vendor(rows, "1d")), "ts")
+
+
 def stock_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.stock_info(tables.quotes(tables.ticks(spark, sf_dir)), "VIEW")
 
@@ -190,8 +238,7 @@ def _sorted(descending: bool):
 
 def top_movers_5(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = _sparse_summary(spark, sf_dir)
-    more = max(items.count() - 5, 0)
-    return present.sort_items(items).limit(5).select("symbol", "vsPreClosePct", F.lit(more).cast("long").alias("n_more"))
+    return present.top(items, "vsPreClosePct", 5).select("symbol", "vsPreClosePct", "n_more")
 
 
 def format_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -226,7 +273,32 @@ def snapshot_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def snapshot_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stamp(snapshots.listing(_snapshots(spark, sf_dir), limit=10), "fetched_at")
+    return _stamp(snapshots.listing(_snapshots(spark, sf_dir)), "fetched_at")
+
+
+def snapshot_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A captured batch, item by item."""
+    built = snapshots.build(batch_summary(spark, sf_dir), "all-combined", 7, F.lit("2024-02-01 02:00:00").cast("timestamp"))
+    counted = built.select("id", "type", "trade_date", "symbol_count")
+    return counted.join(snapshots.items(built), "id").select("id", "type", "trade_date", "symbol_count", "pos", "symbol", "dayClose", "fetchError")
+
+
+def snapshot_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = snapshots.envelope(_snapshots(spark, sf_dir))
+    f = lambda p: F.get_json_object("body", p)
+    return e.select("id", f("$.type").alias("type"), f("$.tradeDate").alias("trade_date"), f("$.fetchedAt").alias("fetched_at"), f("$.symbolCount").cast("int").alias("symbol_count"), f("$.results[0].symbol").alias("first_symbol"), f("$.results[0].dayVolume").cast("long").alias("first_volume"))
+
+
+def snapshot_list_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = snapshots.list_envelope(snapshots.listing(_snapshots(spark, sf_dir)))
+    rows = e.select(F.posexplode(F.from_json("body", "snapshots array<struct<id: long, type: string, tradeDate: string, fetchedAt: string, symbolCount: int>>").getField("snapshots")).alias("k", "s"))
+    return rows.select("k", "s.id", "s.type", "s.tradeDate", "s.fetchedAt", "s.symbolCount")
+
+
+def batch_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = summary.batch_envelope(batch_summary(spark, sf_dir), F.lit("2024-01-31"), F.lit("2024-02-01T00:00:00.000Z"))
+    parsed = e.select(F.from_json("body", "results array<struct<symbol: string, dayClose: double, fetchError: string>>, tradeDate string, fetchedAt string").alias("b"))
+    return parsed.select("b.tradeDate", "b.fetchedAt", F.posexplode("b.results").alias("pos", "r")).select("tradeDate", "fetchedAt", "pos", "r.symbol", "r.dayClose", "r.fetchError")
 
 
 def snapshot_list_of_type(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -248,12 +320,12 @@ def _daily(t: DataFrame) -> DataFrame:
 
 
 def _script_bars(spark: SparkSession, sf_dir: str, date: str) -> DataFrame:
-    s = b.with_session(_minute(spark, sf_dir)).filter(F.col("et_date") == date)
+    s = b.with_session(b.from_ticks(tables.ticks(spark, sf_dir, False, *b.day_range(date)))).filter(F.col("et_date") == date)
     return s.withColumn("session", x.session_v2("et"))
 
 
 def daily_ohlcv_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return script.daily_v2(_daily(tables.ticks(spark, sf_dir, sparse=True)), "2024-01-18")
+    return script.daily_v2(_daily(tables.ticks(spark, sf_dir, True, *b.day_range("2024-01-18"))), "2024-01-18")
 
 
 def vwap_running_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -269,7 +341,36 @@ def summary_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = tables.ticks(spark, sf_dir)
     q = tables.quotes(t)
     q2 = q.withColumn("postMarketPrice", F.col("regularMarketDayLow"))
-    return script.summary_v2(lists.ordered_distinct(_universe(spark, ("VIEW", "CLICK", "NOPE", "ERROR"))), script.profile_v2(q), script.daily_v2(_daily(t), "2024-01-18"), script.intraday_v2(_script_bars(spark, sf_dir, "2024-01-18"), SCALE), script.fallback_v2(q2))
+    return script.summary_v2(lists.ordered_distinct(_universe(spark, ("VIEW", "CLICK", "NOPE", "ERROR"))), script.profile_v2(q), script.daily_v2(_daily(tables.ticks(spark, sf_dir, False, *b.day_range("2024-01-18"))), "2024-01-18"), script.intraday_v2(_script_bars(spark, sf_dir, "2024-01-18"), SCALE), script.fallback_v2(q2))
+
+
+def preview_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return script.preview(summary_v2(spark, sf_dir).drop("after_hours_price"))
+
+
+def script_csv_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = summary_v2(spark, sf_dir).select("ticker", "company_name", "exchange", "market_cap", "day_open", "day_close", "day_volume", "website", "is_after_hours_latest")
+    return script.csv_lines(rows).select("ticker", "line")
+
+
+def flatten_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily bars under a header of two levels."""
+    d = daily_ohlcv_v2(spark, sf_dir)
+    return script.flatten_columns(d.select("ticker", F.col("day_open").alias("Open.X"), F.col("day_close").alias("Close.X")))
+
+
+def query_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "part")
+    return p.select("p_partkey", x.query_parameter("name", "p_name").alias("name"), x.query_parameter("brand", F.when(F.col("p_size") % 2 == 0, F.col("p_brand"))).alias("brand"))
+
+
+def parsed_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o, k = table(spark, sf_dir, "orders"), F.col("o_orderkey") % 5
+    body = (
+        F.when(k == 0, F.concat(F.lit('\ufeff {"a": '), F.col("o_custkey").cast("string"), F.lit(' , "b":[1, null]} '))).when(k == 1, F.lit(" \n"))
+        .when(k == 2, F.concat(F.lit("{"), "o_orderstatus")).when(k == 3, F.col("o_orderpriority"))
+    )
+    return o.select("o_orderkey", x.body_kind(body).alias("kind"), x.parsed_body(body).alias("parsed"))
 
 
 def symbol_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -300,7 +401,7 @@ def request_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def error_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders").filter("o_orderkey < 60")
+    o = table(spark, sf_dir, "orders")
     k = F.col("o_orderkey") % 6
     status = F.lit('","detail":"').alias("_")
     body = (
@@ -316,7 +417,11 @@ QUERIES = {
     "vwap_running": vwap_running, "vwap_session_summary": vwap_session_summary, "latest_bar": latest_bar,
     "batch_summary": batch_summary, "batch_summary_missing": _sparse_summary, "returns_pct": returns_pct,
     "history_dedupe": history_dedupe, "history_period_1d": _history("1d", "5m"), "history_period_max": _history("max", "15m"), "history_chunks": history_chunks,
-    "history_presets": history_presets, "history_csv": history_csv, "history_envelope": history_envelope,
+    "history_presets": _preset("all"), "history_csv": history_csv, "history_envelope": history_envelope,
+    "history_preset_minute": _preset("minute"), "history_preset_intraday": _preset("intraday"), "history_csv_text": history_csv_text, "history_preview": history_preview,
+    "history_parameters": history_parameters, "vendor_bars": vendor_bars, "batch_envelope": batch_envelope, "snapshot_build": snapshot_build,
+    "snapshot_envelope": snapshot_envelope, "snapshot_list_envelope": snapshot_list_envelope, "preview_v2": preview_v2, "script_csv_rows": script_csv_rows,
+    "flatten_v2": flatten_v2, "query_parameters": query_parameters, "parsed_bodies": parsed_bodies,
     "stock_info": stock_info, "quote_prev_close": quote_prev_close, "universe_load": universe_load, "universe_combined": universe_combined,
     "ordered_distinct": ordered_distinct, "ticker_args_parse": ticker_args_parse, "category_parse": category_parse, "category_literal": category_literal,
     "category_join": category_join, "category_stats": category_stats, "category_counts": category_counts,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickforge.functions import expr as x
@@ -12,9 +12,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def ticks(spark: SparkSession, sf_dir: str, sparse: bool = False) -> DataFrame:
-    """symbol, ts, seq, cents, volume: events as trades; symbols are the event types, or with ``sparse`` the users."""
+def ticks(spark: SparkSession, sf_dir: str, sparse: bool = False, since: Column | None = None, until: Column | None = None) -> DataFrame:
+    """symbol, ts, seq, cents, volume: events as trades; symbols are the event types, or with ``sparse`` the users.
+
+    ``since`` and ``until`` (exclusive) bound the instants as the table has them, so that they reach its scan.
+    """
     e = table(spark, sf_dir, "events")
+    e = e if since is None else e.filter(F.col("ts") >= since.cast("timestamp_ntz"))
+    e = e if until is None else e.filter(F.col("ts") < until.cast("timestamp_ntz"))
     symbol = F.concat(F.lit("U"), F.col("user_id")) if sparse else F.upper("event_type")
     volume = F.get_json_object("props", "$.k").try_cast("long")
     return e.select(symbol.alias("symbol"), F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").alias("seq"), F.floor(F.col("value") * 100 + 0.5).cast("long").alias("cents"), volume.alias("volume"))

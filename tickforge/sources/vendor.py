@@ -7,9 +7,12 @@ import time
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from tickforge.operators.bars import CHUNK_DAYS, DEFAULT_DAYS
 from tickforge.schemas import QUOTE, names
 
-QUOTES_AT_ONCE = 100
+#: Symbols of a quote call, and milliseconds to wait after a chunk of quotes, a single quote and a symbol's bars.
+QUOTES_AT_ONCE, CHUNK_PAUSE, SINGLE_PAUSE, SYMBOL_PAUSE = 100, 500, 200, 120
+DAY_MS = 86_400_000
 
 
 class _Chunk(InputPartition):
@@ -21,11 +24,17 @@ def _spelled(symbol: str) -> str:
     return symbol.strip().upper().replace(".", "-")
 
 
+def _client(name: str):
+    module, _, function = name.partition(":")
+    return getattr(importlib.import_module(module), function)
+
+
 class QuoteSource(DataSource):
     """Quotes of a comma list ``symbols`` from a function ``client`` (``module:name``) that takes vendor symbols and gives a list of dicts.
 
     One partition and one call for each 100 symbols; where a call fails its symbols are asked for singly and those that
-    fail again are left out. ``pause_ms`` is slept between single calls.
+    fail again are left out. ``pause_ms`` is slept after each single call, ``chunk_pause_ms`` after each call for many; a
+    vendor's limits hold for a client, so read few partitions at once.
     """
 
     @classmethod
@@ -42,15 +51,15 @@ class QuoteSource(DataSource):
 class _QuoteReader(DataSourceReader):
     def __init__(self, options):
         self.symbols = [s for s in options.get("symbols", "").split(",") if s.strip()]
-        self.client, self.pause = options["client"], float(options.get("pause_ms", "0")) / 1000
+        self.client, self.pause = options["client"], float(options.get("pause_ms", SINGLE_PAUSE)) / 1000
+        self.chunk_pause = float(options.get("chunk_pause_ms", CHUNK_PAUSE)) / 1000
 
     def partitions(self):
         n = QUOTES_AT_ONCE
         return [_Chunk(self.symbols[i : i + n]) for i in range(0, len(self.symbols), n)]
 
     def read(self, partition):
-        module, _, name = self.client.partition(":")
-        ask = getattr(importlib.import_module(module), name)
+        ask = _client(self.client)
         wanted = [_spelled(s) for s in partition.symbols]
         try:
             found = ask(wanted)
@@ -62,7 +71,55 @@ class _QuoteReader(DataSourceReader):
                 except Exception:  # noqa: BLE001, S110
                     pass
                 time.sleep(self.pause)
+        if len(partition.symbols) == QUOTES_AT_ONCE:  # the last chunk needs no pause
+            time.sleep(self.chunk_pause)
         columns = names(QUOTE)
         for q in found:
             if q and q.get("symbol"):
                 yield tuple(q.get(c) for c in columns)
+
+
+class BarSource(DataSource):
+    """Bars of a comma list ``symbols`` at ``interval`` from ``start_ms`` to ``end_ms``, as the vendor has them, with chunk and seq.
+
+    ``client`` (``module:name``) takes a vendor symbol, an interval and a range in milliseconds, and gives a list of dicts
+    with a date. A symbol's range is cut as the interval demands; a chunk that fails is skipped. One partition a symbol,
+    ``pause_ms`` after each. ``operators.bars.from_vendor`` and ``dedupe`` make bars of the rows.
+    """
+
+    @classmethod
+    def name(cls) -> str:
+        return "vendor_bars"
+
+    def schema(self) -> str:
+        return "symbol string, date string, open double, high double, low double, close double, volume long, seq long"
+
+    def reader(self, schema) -> DataSourceReader:
+        return _BarReader(self.options)
+
+
+class _BarReader(DataSourceReader):
+    def __init__(self, options):
+        self.symbols = [s for s in options.get("symbols", "").split(",") if s.strip()]
+        self.client, self.interval = options["client"], options.get("interval", "1m")
+        self.start, self.end, self.pause = int(options["start_ms"]), int(options["end_ms"]), float(options.get("pause_ms", SYMBOL_PAUSE)) / 1000
+
+    def partitions(self):
+        return [_Chunk([s]) for s in self.symbols]
+
+    def read(self, partition):
+        ask, step = _client(self.client), CHUNK_DAYS.get(self.interval, DEFAULT_DAYS)[0] * DAY_MS
+        seq = 0
+        for symbol in partition.symbols:
+            for begin in range(self.start, self.end, step):
+                try:
+                    rows = ask(_spelled(symbol), self.interval, begin, min(begin + step, self.end))
+                except Exception:  # noqa: BLE001  whatever the vendor's client raises
+                    continue
+                for r in rows or []:
+                    at = r.get("date")
+                    value = lambda n, r=r: None if r.get(n) is None else float(r[n])
+                    volume = value("volume")
+                    yield (symbol.strip().upper(), at.isoformat() if hasattr(at, "isoformat") else at if at is None else str(at), value("open"), value("high"), value("low"), value("close"), None if volume is None else int(volume), seq)
+                    seq += 1
+            time.sleep(self.pause)
