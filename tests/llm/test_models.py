@@ -148,6 +148,87 @@ def test_names_that_begin_sentences(spark):
     assert Counter(p.tolist()) == {0: 4, 1: 2, 2: 2, 3: 2} and len(set(g.tolist())) == len(g)
 
 
+def test_decoys_and_one_to_one(spark):
+    rng = random.Random(40)
+    item = "Mary buys 3 kg of rice at 2 dollars per kg. Mary pays with 20 dollars. How much change does Mary get?"
+    other = item.replace("Mary", "O'Neill").replace("3 kg", "7 lb").replace("2 dollars", "4 euros").replace("20 dollars", "50 euros")
+    decoy = "Anna buys 9 kg of rice at 8 dollars per kg."
+    text = prose(rng, 40)
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = [(1, f"{text} {other}"), (2, f"{decoy} {other}"), (3, f"{other} {decoy}"), (4, item), (5, f"{text} McKenna {other.replace(chr(39), '')}"), (6, text), (7, other.replace("O'Neill pays", "McKenna pays").replace("does O'Neill", "does USA"))]
+    got = {r["doc_id"]: (r["n_windows"], r["n_found"], r["n_changed"]) for r in dc.find_leaks(table(spark, docs), bench).collect()}
+    assert set(got) == {1, 2, 3, 4, 5, 7} and got[4] == (15, 15, 0) and got[7][1] < 15  # 7 has three names for one
+    assert got[1] == got[2] == got[3] == got[5] == (15, 15, 6)
+    ok, slots = dc._agreed([(0, [(("<number>", "1"), "5"), (("<number>", "2"), "5")]), (1, [(("<number>", "1"), "5")])], {})
+    assert ok == {1} and slots == {("<number>", "1"): "5"}  # one value isn't two
+
+
+def test_items_of_few_words(spark):
+    bench = spark.createDataFrame([(1, "Define photosynthesis briefly."), (2, "Why?"), (3, ""), (4, " \n"), (5, None)], "item_id long, text string")
+    docs = [(1, "It grows. Define photosynthesis briefly. And so on"), (2, "They define photosynthesis briefly here."), (3, "a\nDefine photosynthesis briefly\nb"), (4, "Define photosynthesis slowly."), (5, "why not?"), (6, "Why?"), (7, "Why")]
+    got = {(r["doc_id"], r["item_id"]) for r in dc.find_leaks(table(spark, docs), bench).collect()}
+    assert got == {(1, 1), (3, 1), (6, 2), (7, 2)}
+
+
+def test_reparameterised_questions_are_found(spark):
+    """Templates with names, numbers and units, other values in each copy, within long documents; clean documents of the same words stay."""
+    rng = random.Random(41)
+    vocabulary = [w.strip(".").lower() for w in prose(rng, 400).split()]
+    names, units = ["Tom", "Mary", "McKenna", "O'Brien", "Anne-Marie", "NATO", "Li"], ["kg", "miles", "hours", "dollars", "cm"]
+
+    def made(shape, values):
+        return " ".join(values.get(x, x) for x in shape)
+
+    def values():
+        some = rng.sample(names, 3)
+        return {f"N{k}": some[k] for k in range(3)} | {f"V{k}": str(v) for k, v in enumerate(rng.sample(range(2, 999), 4))} | {f"U{k}": u for k, u in enumerate(rng.sample(units, 2))}
+
+    shapes = []
+    for _ in range(40):
+        shape: list[str] = []
+        for k in range(rng.randint(2, 4)):
+            body = [rng.choice(vocabulary) for _ in range(rng.randint(5, 9))]
+            body[rng.randrange(len(body))] = f"V{rng.randrange(4)}"
+            at = rng.randrange(1, len(body))
+            body[at:at] = [f"V{rng.randrange(4)}", f"U{rng.randrange(2)}"]
+            shape += [rng.choice([f"N{rng.randrange(3)}", rng.choice(vocabulary).capitalize()]), *body[:-1], body[-1] + "."]
+        shapes.append(shape)
+    bench = spark.createDataFrame([(k, made(s, values())) for k, s in enumerate(shapes)], "item_id long, text string")
+    docs = [(k, f"{prose(rng, 80)} {made(s, values())} {prose(rng, 80)}") for k, s in enumerate(shapes)]
+    docs += [(100 + k, " ".join(rng.choice(vocabulary) for _ in range(200))) for k in range(60)]
+    got = {(r["doc_id"], r["item_id"]) for r in dc.find_leaks(table(spark, docs), bench).collect()}
+    assert got <= {(k, k) for k in range(40)} and len(got) >= 0.9 * 40
+
+
+def test_windows_against_brute_force():
+    """All places where a window of an item stands, from templates of every reading."""
+    rng = random.Random(42)
+    words = ["red", "sky", "Tom", "Ann", "12", "7.", "kg", "runs", "Sees.", "and", "Oslo.", "min"]
+    items = [(k, " ".join(rng.choice(words) for _ in range(rng.randint(4, 14)))) for k in range(60)]
+    index, tokens = dc.Benchmark(items), dc._Tokens()
+
+    def ways(text):
+        """Sets of hashes' stand-ins that each token may be."""
+        out, was = [], 8
+        for w in WORD.findall(text):
+            low, flags = dc._kind(w)
+            one = {dc.NUMBER} if flags & 1 else {dc.UNIT} if flags & 2 and was & 1 else {dc.NAME, low} if flags & 4 and was & 8 else {dc.NAME} if flags & 4 else {low}
+            out.append((one, one | ({low} if not flags & 1 else set()) | ({dc.NAME} if flags & 4 and not flags & 1 else set())))
+            was = flags
+        return out
+
+    for _ in range(40):
+        text = " ".join(rng.choice(words) for _ in range(60))
+        doc, found = ways(text), index.hits(*tokens.hashes(text))
+        for key, (item, theirs, n) in index.templates.items():
+            if n != dc.WINDOW:
+                continue
+            mine = ways(dict(items)[item])
+            literal = [x[0] == x[1] for x in theirs]
+            want = {(i, q) for q in range(len(theirs) - n + 1) if sum(literal[q : q + n]) >= dc.LITERALS for i in range(len(doc) - n + 1) if all((doc[i + k][k == 0] & mine[q + k][0]) for k in range(n))}
+            assert found.get(key, set()) == want
+
+
 def test_short_items_after_any_words(spark):
     items = ["What is the capital of France", "in which year did it end", "Min and max are what here", "which of these is it"]
     bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")

@@ -1,9 +1,10 @@
 """Benchmark decontamination by template canonicalisation.
 
 Numbers, names and units become typed placeholders, so that a question with other values has the same template. Windows
-of template tokens are hash-joined with those of the benchmark; hits of one item that lie on one alignment are then read
-again, and a placeholder's values must map consistently from the item to the document. A capitalised word that begins a
-sentence may be a name or not: windows are joined under both readings.
+of template tokens are hash-joined with those of the benchmark; hits of one item that lie in one stretch are then read
+again, alignment by alignment: the windows vote for what an item's value is in the document, one value for one, and
+windows that agree with the votes count. A capitalised word that begins a sentence may be a name or not: windows are
+joined under both readings. Items too short for a template are looked for as sentences of their own.
 """
 
 from __future__ import annotations
@@ -20,10 +21,10 @@ from pyspark.sql import types as T
 from tickforge.llm.common import WORD
 from tickforge.llm.hashing import mix, powers
 
-#: Tokens of a window, literal tokens that a window needs, tokens that an item needs, and the share of an item's windows that makes a leak.
+#: Tokens of a window, literal tokens that a window needs, tokens from which on an item has a template, and the share of an item's windows that makes a leak.
 WINDOW, LITERALS, LEAST, COVER = 8, 4, 4, 0.4
-#: Benchmark items that are sent to all tasks at once; larger benchmarks are taken in blocks of about so many.
-ITEMS = 20_000
+#: Benchmark items, and characters of them, that are sent to all tasks at once; larger benchmarks are taken in blocks of about so many.
+ITEMS, CHARACTERS = 20_000, 20_000_000
 #: Windows of a document that are read in all ways at once.
 BLOCK = 4096
 #: Units of measure.
@@ -47,7 +48,7 @@ def _kind(word: str) -> tuple[str, int]:
     low = core.lower()
     if low in UNITS:
         flags |= 2
-    if len(core) > 1 and core[0].isupper() and core[1:].islower() and core.isalpha():
+    if len(core) > 1 and core[0].isupper() and all(c.isalpha() or c in "'’-" for c in core):
         flags |= 4
     return low or word, flags
 
@@ -79,16 +80,36 @@ def _slot(theirs: tuple[str, str, bool], mine: tuple[str, str, bool]) -> str | N
     return "" if x == y and NAME not in (a, b) else None
 
 
-def _fit(theirs: list, mine: list, slots: dict[tuple[str, str], str]) -> dict[tuple[str, str], str] | None:
-    """The slots of a window, if they map consistently among themselves and with ``slots``."""
-    new: dict[tuple[str, str], str] = {}
+def _slots(theirs: list, mine: list) -> list[tuple[tuple[str, str], str]] | None:
+    """Kind and value in the item, and value in the document, of each slot; None if the window isn't the same."""
+    out = []
     for k, (x, y) in enumerate(zip(theirs, mine, strict=True)):
         kind = _slot(x, y)
         if kind is None and k == 0 and y[0] != NUMBER:  # what precedes the window doesn't count
             kind = _slot(x, (y[1], *y[1:]))
-        if kind is None or kind and new.setdefault((kind, x[1]), slots.get((kind, x[1]), y[1])) != y[1]:
+        if kind is None:
             return None
-    return new
+        if kind:
+            out.append(((kind, x[1]), y[1]))
+    return out
+
+
+def _agreed(windows: list[tuple[int, list]], slots: dict[tuple[str, str], str]) -> tuple[set[int], dict[tuple[str, str], str]]:
+    """Of one alignment's windows (place in the item, slots) those that agree, and what their slots are, given ``slots``.
+
+    Each window votes for its slots; the values of most votes win, and no two values of a kind become the same.
+    """
+    votes: dict = defaultdict(set)
+    for q, found in windows:
+        for key, y in found:
+            votes[key, y].add(q)
+    chosen, taken = dict(slots), {(k[0], y) for k, y in slots.items()}
+    for key, y in sorted(votes, key=lambda v: (-len(votes[v]), v[0][1] != v[1], v)):
+        if key not in chosen and (key[0], y) not in taken:
+            chosen[key] = y
+            taken.add((key[0], y))
+    ok = {q for q, found in windows if all(chosen.get(key) == y for key, y in found)}
+    return ok, {key: y for q, found in windows if q in ok for key, y in found}
 
 
 def readings(h: np.ndarray, both: np.ndarray, n: int, first: tuple[np.ndarray, np.ndarray] | None = None):
@@ -165,6 +186,17 @@ class _Tokens:
         return h, both, first
 
 
+def _alone(text: str, mine: list, i: int, theirs: list) -> bool:
+    """Whether the item's words stand at place i, from a sentence's or a line's beginning to its end."""
+    n = len(theirs)
+    if [x[1] for x in mine[i : i + n]] != [x[1] for x in theirs]:
+        return False
+    spans = [m.span() for m in WORD.finditer(text)]
+    before, after = text[spans[i - 1][1] : spans[i][0]] if i else "\n", text[spans[i + n - 1][1] : spans[i + n][0]] if i + n < len(spans) else "\n"
+    ends = lambda k: _kind(text[slice(*spans[k])])[1] & 8
+    return bool(("\n" in before or ends(i - 1)) and ("\n" in after or ends(i + n - 1)))
+
+
 class Benchmark:
     """Windows of a block of items, by hash: for each the items and places where it stands."""
 
@@ -172,10 +204,12 @@ class Benchmark:
         tokens = _Tokens()
         self.templates, self.windows, self.lengths = {}, {}, set()
         at: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
+        seen: set[tuple] = set()
         for item, text in items:
             t, (h, both, _) = template(text or ""), tokens.hashes(text or "")
-            if len(t) < LEAST:
+            if not t or (item, text) in seen:
                 continue
+            seen.add((item, text))
             n = width = min(WINDOW, len(t))
             ones = np.ones(n, np.int64)
             literal = np.convolve([x[0] == x[1] for x in t], ones, "valid")
@@ -221,6 +255,10 @@ class Benchmark:
         mine, best = template(text), {}
         for key, pairs in found.items():
             item, theirs, n = self.templates[key]
+            if len(theirs) < LEAST:
+                if any(_alone(text, mine, i, theirs) for i, _ in pairs):
+                    best[key] = (item, 1, 1, 0)
+                continue
             if len({q for _, q in pairs}) < cover * self.windows[key]:
                 continue
             # a copy of the item may have words put in or left out: take hits from one stretch of the document
@@ -229,41 +267,48 @@ class Benchmark:
                 stretches[(i - q) // (len(theirs) + 8)].append((i, q))
                 stretches[(i - q) // (len(theirs) + 8) + 1].append((i, q))
             for near in stretches.values():
-                slots: dict[tuple[str, str], str] = {}
-                ok, other = set(), set()
-                windows = [(i, q, theirs[q : q + n], mine[i : i + n]) for i, q in sorted(near)]
-                for _, q, x, y in sorted(windows, key=lambda w: [v[1] for v in w[2]] != [v[1] for v in w[3]]):  # equal ones first
-                    new = _fit(x, y, slots)
-                    if new is not None:
-                        slots |= new
-                        ok.add(q)
-                        other.update(k for k, v in new.items() if k[1] != v)
+                ways: dict[int, list[tuple[int, list]]] = defaultdict(list)
+                for i, q in sorted(near):
+                    slots = _slots(theirs[q : q + n], mine[i : i + n])
+                    if slots is not None:
+                        ways[i - q].append((q, slots))
+                # the alignment that explains most comes first; others must fit what it says
+                ok, known = set(), {}
+                for d in sorted(ways, key=lambda d: (-len(_agreed(ways[d], {})[0]), d)):
+                    more, new = _agreed(ways[d], known)
+                    ok |= more
+                    known |= new
                 if len(ok) >= cover * self.windows[key]:
-                    got = (item, self.windows[key], len(ok), len(other))
+                    got = (item, self.windows[key], len(ok), sum(k[1] != y for k, y in known.items()))
                     best[key] = max(best.get(key, got), got, key=lambda x: (x[2], -x[3]))
         return sorted(best.values(), key=lambda x: (x[0] is None, x[0] or 0, x))
 
 
 def _blocks(benchmark: DataFrame, item_col: str, text_col: str, items: int):
-    """The benchmark in blocks of about ``items`` items, each small enough for the driver and all tasks."""
+    """The benchmark in blocks of about ``items`` items and CHARACTERS characters, each small enough for the driver and all tasks."""
     rows = benchmark.select(item_col, text_col)
-    k = -(-rows.count() // items)
+    size = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length(text_col)), F.lit(0)).alias("c")).first()
+    k = max(-(-size["n"] // items), -(-size["c"] // CHARACTERS))
     for i in range(k):
         yield Benchmark([(r[0], r[1]) for r in rows.filter(F.pmod(F.xxhash64(item_col, text_col), F.lit(k)) == i).collect()])
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, cover: float = COVER, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", items: int = ITEMS) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, cover: float = COVER, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", items: int = ITEMS, item_text_col: str = "text") -> DataFrame:
     """doc_id, item_id, n_windows, n_found, n_changed of each item that a document leaks.
 
     A leak is found if at least ``cover`` of the item's windows stand in one stretch of the document, with slots that map
-    consistently; n_changed counts slots with other values (0: a plain copy). Items of fewer than LEAST words are left
-    out. Null texts leak nothing; null ids and repeated rows are judged a row each. Whole texts are read.
+    consistently and one to one; n_changed counts slots with other values (0: a plain copy). Items of fewer than LEAST words
+    leak where their words stand as a sentence or a line of their own.
+
+    Null texts leak nothing; null ids and repeated rows are judged a row each, and whole texts are read, however long. Items
+    without a word are in no document, repeated ones count once, and those of one id but other texts apart. Other columns,
+    whatever their names, are ignored. Empty tables: no rows. Documents are read once for each block of the benchmark.
     """
     spark = docs.sparkSession
     kind = dict(docs.dtypes)[id_col]
     schema = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), *(T.StructField(c, T.LongType()) for c in ("item_id", "n_windows", "n_found", "n_changed"))])
     rows, out = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_t")), spark.createDataFrame([], schema)
-    for block in _blocks(benchmark, item_col, "text", items):
+    for block in _blocks(benchmark, item_col, item_text_col, items):
         sent = spark.sparkContext.broadcast(block)
 
         def judge(batches, sent=sent):
@@ -277,11 +322,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, cover: float = COVER, id_c
     return out
 
 
-def drop_leaking(docs: DataFrame, benchmark: DataFrame, cover: float = COVER, text_col: str = "text", item_col: str = "item_id", items: int = ITEMS) -> DataFrame:
+def drop_leaking(docs: DataFrame, benchmark: DataFrame, cover: float = COVER, text_col: str = "text", item_col: str = "item_id", items: int = ITEMS, item_text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that leak no item, with all their columns; texts don't leave their task."""
     spark = docs.sparkSession
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in docs.schema])
-    for block in _blocks(benchmark, item_col, "text", items):
+    for block in _blocks(benchmark, item_col, item_text_col, items):
         sent = spark.sparkContext.broadcast(block)
 
         def keep(batches, sent=sent):
