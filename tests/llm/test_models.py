@@ -488,10 +488,38 @@ def test_likelihood_is_the_forward_recursion():
             log, a = log + math.log10(a.sum()), (a / a.sum()) @ m.move * m.emit[s]
         return log + math.log10(a.sum())
 
-    xs = [rng.integers(0, 30, n) for n in (1, 2, 255, 256, 257, 512, 1300)]
+    xs = [rng.integers(0, 30, n) for n in (1, 2, 255, 511, 512, 513, 1024, 2600)]
     assert np.allclose(lm.likelihood(xs, m), [plain(x) for x in xs])
 
 
+def test_expected_counts_are_those_of_whole_texts(monkeypatch):
+    """Cut into stretches or not: the same starts, moves, emissions and likelihood, and those of plain recursions."""
+    rng = np.random.default_rng(22)
+    m = lm.first_model(rng.dirichlet(np.ones(12)), 3)
+    texts = [rng.integers(0, 12, n) for n in (1, 2, 6, 7, 8, 14, 15, 40, 3)]
+
+    def plain(x):
+        a, b = [m.start * m.emit[x[0]]], [np.ones(3)]
+        for s in x[1:]:
+            a.append(a[-1] @ m.move * m.emit[s])
+        for s in x[:0:-1]:
+            b.insert(0, m.move @ (m.emit[s] * b[0]))
+        p = a[-1].sum()
+        moves = sum((m.move * np.outer(a[t], m.emit[x[t + 1]] * b[t + 1]) / p for t in range(len(x) - 1)), np.zeros((3, 3)))
+        emits = np.zeros((12, 3))
+        for t, s in enumerate(x):
+            emits[s] += a[t] * b[t] / p
+        return a[0] * b[0] / p, moves, emits, math.log10(p)
+
+    want = [sum(v) for v in zip(*map(plain, texts), strict=True)]
+    for stretch in (512, 7, 2):
+        monkeypatch.setattr(lm, "STRETCH", stretch)
+        counts = np.zeros(3), np.zeros((3, 3)), np.zeros((12, 3))
+        log = lm.expect_texts(texts, m, counts)
+        assert all(np.allclose(c, w) for c, w in zip((*counts, log), want, strict=True))
+        assert np.allclose(lm.likelihood(texts, m), [plain(x)[3] for x in texts])
+
+
 def test_training_raises_likelihood():
     rng = np.random.default_rng(12)
     parts = [np.concatenate([rng.integers(0, 10, 20), rng.integers(10, 20, 20)]) for _ in range(60)]
@@ -521,6 +549,57 @@ def test_scores(spark, monkeypatch, sizes):
     assert lm.score(docs.limit(0), rounds=1).count() == 0
 
 
+@pytest.mark.parametrize("sizes", [(1 << 17, 1 << 15), (40, 12)])
+def test_score_against_plain_training(spark, monkeypatch, sizes):
+    """The whole query's score, from a Baum-Welch and a forward recursion that read token by token."""
+    monkeypatch.setattr(lm, "FREQUENT", sizes[0])
+    monkeypatch.setattr(lm, "SYMBOLS", sizes[1])
+    monkeypatch.setattr(lm, "STRETCH", 100)
+    rows = documents(spark)[:40]
+    words = {i: WORD_BYTES.findall((t or "").encode().translate(FOLD_BYTES)) + [b"\n"] for i, t in rows}
+    train = [i for i in words if zlib.crc32(str(i).encode()) % 5 != 1]
+    c = Counter(w for i in train for w in words[i])
+    total, v = sum(c.values()), len(c)
+    vocab = lm.vocabulary(lm.count_words(table(spark, [r for r in rows if r[0] in train])))
+    symbols = min(sizes[1], len(vocab.c))
+    mass = np.full(lm.CLASSES, 0.5)
+    for w, n in c.items():
+        if vocab.rank.get(w, symbols) >= symbols:
+            mass[lm.word_class(w)] += n + 0.5
+    code = lambda w: vocab.rank[w] if vocab.rank.get(w, symbols) < symbols else symbols + lm.word_class(w)
+    inside = lambda w: 0.0 if code(w) < symbols else math.log10((c[w] + 0.5) / mass[lm.word_class(w)])
+    unigram = np.concatenate([[c[w] + 0.5 for w in sorted(vocab.rank, key=vocab.rank.get)[:symbols]], mass])
+    unigram /= unigram.sum()
+    m, k = lm.first_model(unigram), lm.STATES
+
+    def forward(x):
+        a, scale = [], []
+        for t, s in enumerate(x):
+            y = (m.start if t == 0 else a[-1] @ m.move) * m.emit[s]
+            scale.append(y.sum())
+            a.append(y / y.sum())
+        return a, scale
+
+    for _ in range(2):
+        starts, moves, emits = np.full(k, 0.1), np.full((k, k), 0.1), 0.5 * unigram[:, None] * np.ones(k) + 1e-12
+        for i in train:
+            x = [code(w) for w in words[i]]
+            a, scale = forward(x)
+            b = np.ones(k)
+            for t in range(len(x) - 1, -1, -1):
+                emits[x[t]] += a[t] * b
+                if t:
+                    back = m.emit[x[t]] * b / scale[t]
+                    moves += m.move * np.outer(a[t - 1], back)
+                    b = m.move @ back
+            starts += a[0] * b
+        m = lm.Model(starts / starts.sum(), moves / moves.sum(1, keepdims=True), emits / emits.sum(0))
+    want = {i: sum(map(math.log10, forward([code(w) for w in ws])[1])) + sum(map(inside, ws)) for i, ws in words.items()}
+    got = {r["doc_id"]: r for r in lm.score(table(spark, rows), rounds=2).collect()}
+    assert all(math.isclose(got[i]["score"], want[i], rel_tol=1e-7) for i in want) and {r["train_tokens"] for r in got.values()} == {total}
+    assert all(math.isclose(got[i]["base_score"], sum(math.log10((c[w] + 0.5) / (total + 0.5 * (v + 1))) for w in ws), rel_tol=1e-9) for i, ws in words.items())
+
+
 def test_the_model_is_a_distribution(spark, monkeypatch):
     """Over all words, one unknown word for each class, and the end: probabilities of the first token add up to one."""
     monkeypatch.setattr(lm, "SYMBOLS", 5)

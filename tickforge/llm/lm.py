@@ -2,8 +2,9 @@
 
 Word counts come from all training rows. The most frequent words are symbols of their own; the others share symbols, by
 a hash of their ending, and keep their own probability within the class, so that the model is a distribution over all
-texts. Expected counts of each round are summed over partitions; likelihoods are exact, by a scaled forward recursion in
-which long texts are cut into stretches whose transfer matrices are multiplied.
+texts. Expected counts of each round are summed over partitions, until a round gains little. Both the counts and the
+likelihoods are those of whole texts, by scaled recursions: long texts are cut into stretches, whose transfer matrices are
+multiplied to tell what stands before and after each.
 
 Sent to all tasks are FREQUENT words and the model, whose size is fixed; counts of rarer words are joined.
 """
@@ -21,10 +22,12 @@ from pyspark.sql import functions as F
 
 from tickforge.llm.common import FOLD_BYTES, WORD_BYTES, Scratch, bucket_col
 
-#: Words whose counts are sent along, words that are symbols, classes of the others, states, rounds, and tokens of a stretch.
-FREQUENT, SYMBOLS, CLASSES, STATES, ROUNDS, STRETCH = 1 << 17, 1 << 15, 64, 6, 4, 256
+#: Words whose counts are sent along, words that are symbols, classes of the others, states, and tokens of a stretch.
+FREQUENT, SYMBOLS, CLASSES, STATES, STRETCH = 1 << 17, 1 << 15, 64, 6, 512
+#: Rounds of training at most, and the gain of a round (by the log likelihood) under which no other follows.
+ROUNDS, GAIN = 8, 0.001
 END = b"\n"  # ends every text; no word holds it
-_SEGMENTS, _HELD = 1024, 400_000
+_HELD, _CELLS = 400_000, 1 << 18  # words that a task adds up, tokens that are read at once
 
 
 def words(text: str | None) -> list[bytes]:
@@ -151,29 +154,37 @@ def _padded(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return out, (n[None, :] > np.arange(n.max())[:, None]).sum(1)
 
 
-def expect(parts: list[np.ndarray], m: Model, counts: tuple[np.ndarray, np.ndarray, np.ndarray]) -> float:
-    """Adds the expected starts, moves and emissions of the sequences to ``counts``; gives their log10 likelihood."""
-    parts = sorted(parts, key=len, reverse=True)
-    x, live = _padded(parts)
+def expect(parts: list[np.ndarray], m: Model, counts: tuple[np.ndarray, np.ndarray, np.ndarray], before: np.ndarray | None = None, after: np.ndarray | None = None) -> float:
+    """Adds the expected starts, moves and emissions of the sequences to ``counts``; gives their log10 likelihood.
+
+    ``before`` and ``after`` are for sequences that are stretches of longer ones: the forward message of what stands before
+    (a row of zeros where the sequence begins a text) and the backward message of what stands after, up to a factor.
+    """
+    order = sorted(range(len(parts)), key=lambda i: -len(parts[i]))
+    x, live = _padded([parts[i] for i in order])
     steps, b, k = x.shape[0], x.shape[1], len(m.start)
+    before = np.zeros((b, k)) if before is None else before[order]
+    beta = np.ones((b, k)) if after is None else after[order].copy()
+    inner = before.sum(1) > 0
     alpha, scale = np.zeros((steps, b, k)), np.ones((steps, b))
     e = m.emit[x]
     for t in range(steps):
         n = live[t]
-        a = (m.start if t == 0 else alpha[t - 1, :n] @ m.move) * e[t, :n]
+        a = (np.where(inner[:, None], before @ m.move, m.start) if t == 0 else alpha[t - 1, :n] @ m.move) * e[t, :n]
         c = a.sum(1)
         alpha[t, :n], scale[t, :n] = a / c[:, None], c
+    ends = np.array([len(parts[i]) for i in order]) - 1
+    beta /= (alpha[ends, np.arange(b)] * beta).sum(1)[:, None]
     starts, moves, emits = counts
-    beta = np.ones((b, k))
     gamma = np.zeros((steps, b, k))
     for t in range(steps - 1, -1, -1):
         n = live[t]
         gamma[t, :n] = alpha[t, :n] * beta[:n]
+        back = e[t, :n] * beta[:n] / scale[t, :n, None]
+        moves += m.move * ((alpha[t - 1, :n] if t else before).T @ back)
         if t:
-            back = e[t, :n] * beta[:n] / scale[t, :n, None]
-            moves += m.move * (alpha[t - 1, :n].T @ back)
             beta[:n] = back @ m.move.T
-    starts += gamma[0].sum(0)
+    starts += gamma[0][~inner].sum(0)
     used = np.arange(b)[None, :] < live[:, None]
     s, g = x[used], gamma[used]
     for i in range(k):
@@ -181,27 +192,87 @@ def expect(parts: list[np.ndarray], m: Model, counts: tuple[np.ndarray, np.ndarr
     return float(np.log10(scale).sum())
 
 
+def _groups(items: list, size):
+    """The items, longest first, in groups of at most _CELLS tokens with their padding."""
+    items = sorted(items, key=lambda i: -size(i))
+    at = 0
+    while at < len(items):
+        end = at + max(1, _CELLS // max(1, size(items[at])))
+        yield items[at:end]
+        at = end
+
+
+def _stretches(s: np.ndarray) -> list[np.ndarray]:
+    return [s[i : i + STRETCH] for i in range(0, len(s), STRETCH)]
+
+
+def transfers(parts: list[tuple[int, int, np.ndarray]], m: Model) -> dict[tuple[int, int], tuple[np.ndarray, float]]:
+    """By text and number of each stretch (text, number, symbols): the matrix from what stands before to its last state, and the log10 of its scale.
+
+    The first stretch of a text begins in its first state, others with a move.
+    """
+    out, k = {}, len(m.start)
+    for group in _groups(parts, lambda p: k * len(p[2])):
+        x, live = _padded([p[2] for p in group])
+        a, log = np.broadcast_to(np.eye(k), (len(group), k, k)).copy(), np.zeros(len(group))
+        first = np.array([p[1] == 0 for p in group])
+        for t in range(x.shape[0]):
+            n = live[t]
+            y = (a[:n].reshape(-1, k) @ m.move).reshape(n, k, k)
+            if t == 0 and first.any():
+                y = np.where(first[:n, None, None], a[:n], y)
+            y = y * m.emit[x[t, :n]][:, None, :]
+            c = y.sum((1, 2))
+            a[:n] = y / c[:, None, None]
+            log[:n] += np.log10(c)
+        for i, (j, q, _) in enumerate(group):
+            out[j, q] = a[i], log[i]
+    return out
+
+
+def expect_texts(texts: list[np.ndarray], m: Model, counts: tuple[np.ndarray, np.ndarray, np.ndarray]) -> float:
+    """Adds the expected counts of whole texts, whatever their lengths; gives their log10 likelihood."""
+    total, parts = 0.0, [(j, q, s) for j, t in enumerate(texts) if len(t) > STRETCH for q, s in enumerate(_stretches(t))]
+    for group in _groups([t for t in texts if len(t) <= STRETCH], len):
+        total += expect(group, m, counts)
+    matrix = transfers(parts, m)
+    said: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
+    for j, n in Counter(j for j, _, _ in parts).items():
+        forward, messages = np.zeros(len(m.start)), []
+        for q in range(n):
+            messages.append(forward)
+            forward = (m.start if q == 0 else forward) @ matrix[j, q][0]
+            forward /= forward.sum()
+        after = np.ones(len(m.start))
+        for q in range(n - 1, -1, -1):
+            said[j, q] = messages[q], after
+            after = matrix[j, q][0] @ after
+            after /= after.sum()
+    for group in _groups(parts, lambda p: len(p[2])):
+        ends = [said[j, q] for j, q, _ in group]
+        total += expect([s for *_, s in group], m, counts, np.array([x for x, _ in ends]), np.array([y for _, y in ends]))
+    return total
+
+
 def _rounds(train: DataFrame, m: Model) -> DataFrame:
-    """_what (-2: starts, -1 - STATES - k: moves from k, else a symbol), _x (expected counts by state), added over partitions."""
+    """_what (-1: the log10 likelihood, -2: starts, -3 - k: moves from k, else a symbol), _x (expected counts by state), added over partitions."""
     sent = train.sparkSession.sparkContext.broadcast(m)
 
     def add(batches):
         m = sent.value
         k = len(m.start)
         counts = np.zeros(k), np.zeros((k, k)), np.zeros_like(m.emit)
-        held: list[np.ndarray] = []
+        held, size, log = [], 0, 0.0
         for b in batches:
             for raw in b.column(0).to_pylist():
-                s = np.frombuffer(raw, "<u2")
-                held += [s[i : i + STRETCH] for i in range(0, len(s), STRETCH)]
-                while len(held) >= _SEGMENTS:
-                    expect(held[:_SEGMENTS], m, counts)
-                    held = held[_SEGMENTS:]
-        if held:
-            expect(held, m, counts)
+                held.append(np.frombuffer(raw, "<u2"))
+                size += len(held[-1])
+                if size >= 4 * _CELLS:
+                    log, held, size = log + expect_texts(held, m, counts), [], 0
+        log += expect_texts(held, m, counts)
         some = np.flatnonzero(counts[2].sum(1) > 0)
-        what = np.concatenate([[-2], -1 - k - np.arange(k) - 1, some])
-        x = np.concatenate([counts[0][None], counts[1], counts[2][some]])
+        what = np.concatenate([[-1, -2], -3 - np.arange(k), some])
+        x = np.concatenate([np.full((1, k), log), counts[0][None], counts[1], counts[2][some]])
         yield pa.RecordBatch.from_arrays([pa.array(what, pa.int64()), *(pa.array(x[:, i]) for i in range(k))], names=["_what", *(f"_x{i}" for i in range(k))])
 
     k = len(m.start)
@@ -209,64 +280,50 @@ def _rounds(train: DataFrame, m: Model) -> DataFrame:
     return rows.groupBy("_what").agg(*(F.sum(f"_x{i}").alias(f"_x{i}") for i in range(k)))
 
 
-def train(encoded: DataFrame, unigram: np.ndarray, rounds: int = ROUNDS, states: int = STATES) -> Model:
-    """Baum-Welch over the rows that aren't held out. Each round brings at most a row for each symbol to the driver.
+def train(encoded: DataFrame, unigram: np.ndarray, rounds: int = ROUNDS, states: int = STATES, gain: float = GAIN) -> Model:
+    """Baum-Welch over the rows that aren't held out, until a round raises their log likelihood by less than ``gain`` of it.
 
-    Training takes stretches of STRETCH tokens as sequences; a stretch starts like a text does.
+    Each round brings at most a row for each symbol to the driver.
     """
     m = first_model(unigram, states)
-    rows = encoded.filter("NOT held_out")
+    rows, was = encoded.filter("NOT held_out"), -np.inf
     for _ in range(rounds):
         starts, moves, emits = np.full(states, 0.1), np.full((states, states), 0.1), 0.5 * unigram[:, None] * np.ones(states) + 1e-12
         got = _rounds(rows, m).toArrow()
         what, x = got["_what"].to_numpy(), np.stack([got[f"_x{i}"].to_numpy() for i in range(states)], 1)
         starts += x[what == -2].sum(0)
-        np.add.at(moves, -what[what < -2] - states - 2, x[what < -2])
+        np.add.at(moves, -what[what < -2] - 3, x[what < -2])
         np.add.at(emits, what[what >= 0], x[what >= 0])
         m = Model(starts / starts.sum(), moves / moves.sum(1, keepdims=True), emits / emits.sum(0))
+        now = float(x[what == -1].sum() / states)
+        if not now < 0 or now - was < -gain * now:
+            break
+        was = now
     return m
 
 
 def likelihood(texts: list[np.ndarray], m: Model) -> np.ndarray:
     """log10 probability of each sequence of symbols, by the forward recursion over all of it."""
-    out, k = np.zeros(len(texts)), len(m.start)
-    parts = [(len(s[i : i + STRETCH]), j, i, s[i : i + STRETCH]) for j, s in enumerate(texts) for i in range(0, len(s), STRETCH)]
-    transfer: dict[tuple[int, int], tuple[np.ndarray, float]] = {}
-    for longer in (False, True):
-        # texts of one stretch need a vector; of the others each stretch gets a matrix from its first to its last state
-        some = sorted((p for p in parts if (len(texts[p[1]]) > STRETCH) == longer), key=lambda p: -p[0])
-        for at in range(0, len(some), _SEGMENTS):
-            group = some[at : at + _SEGMENTS]
-            x, live = _padded([p[3] for p in group])
-            b = len(group)
-            rows = k if longer else 1
-            a, log = np.zeros((b, rows, k)), np.zeros(b)
-            a[:] = np.eye(k) if longer else m.start
-            first = np.array([p[2] == 0 for p in group])
-            for t in range(x.shape[0]):
-                n = live[t]
-                y = a[:n]
-                if t or longer:
-                    y = (y.reshape(-1, k) @ m.move).reshape(n, rows, k)
-                    if t == 0 and first.any():
-                        y = np.where(first[:n, None, None], a[:n], y)  # a text's first state needs no move
-                y = y * m.emit[x[t, :n]][:, None, :]
-                c = y.sum((1, 2))
-                a[:n] = y / c[:, None, None]
-                log[:n] += np.log10(c)
-            for i, (_, j, i0, _) in enumerate(group):
-                if longer:
-                    transfer[j, i0] = a[i], log[i]
-                else:
-                    out[j] = log[i] + np.log10(a[i].sum())
-    for j in sorted({j for j, _ in transfer}):
-        v, log = m.start, 0.0
-        for i in range(0, len(texts[j]), STRETCH):
-            a, more = transfer[j, i]
+    out = np.zeros(len(texts))
+    for group in _groups([j for j, t in enumerate(texts) if len(t) <= STRETCH], lambda j: len(texts[j])):
+        x, live = _padded([texts[j] for j in group])
+        a, log = np.broadcast_to(m.start, (len(group), len(m.start))), np.zeros(len(group))
+        for t in range(x.shape[0]):
+            n = live[t]
+            y = (a[:n] @ m.move if t else a[:n]) * m.emit[x[t, :n]]
+            c = y.sum(1)
+            a = y / c[:, None]
+            log[:n] += np.log10(c)
+        out[group] = log
+    long = [j for j, t in enumerate(texts) if len(t) > STRETCH]
+    matrix = transfers([(j, q, s) for j in long for q, s in enumerate(_stretches(texts[j]))], m)
+    for j in long:
+        v = m.start
+        for q in range(-(-len(texts[j]) // STRETCH)):
+            a, more = matrix[j, q]
             v = v @ a
             c = v.sum()
-            v, log = v / c, log + more + np.log10(c)
-        out[j] = log
+            v, out[j] = v / c, out[j] + more + np.log10(c)
     return out
 
 
@@ -274,8 +331,9 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", round
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score: a row per row of ``docs``.
 
     Learns from rows whose crc32(doc_id) mod 5 isn't 1. base_score is the smoothed unigram's log10 probability, score the
-    hidden Markov model's, of the words and the end. Null and empty texts have the end alone. Null ids and repeated rows
-    pass through. Without training rows all words are unknown to both.
+    hidden Markov model's, of the words and the end. Null and empty texts have the end alone; very long ones are read whole.
+    Null ids and repeated rows pass through. Without training rows all words are unknown to both. Other columns, whatever
+    their names, are ignored. Empty table: no rows.
     """
     scratch = Scratch(docs.sparkSession, "lm")
     counts = scratch.table(count_words(docs.filter(bucket_col(F.col(id_col)) != 1), text_col), "counts")
