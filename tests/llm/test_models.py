@@ -633,3 +633,32 @@ def test_pipeline(spark):
             bench = spark.read.parquet(f"{FOLDER}/benchmark.parquet")
             assert {r["doc_id"] for r in was.collect()} - {r["doc_id"] for r in docs.collect()} == {r["doc_id"] for r in dc.find_leaks(was, bench).collect()}
     assert {r["doc_id"] for r in docs.select("doc_id").collect()} == {r["doc_id"] for r in was.select("doc_id").collect()}
+
+
+def test_pipeline_stages_take_anything(spark, tmp_path):
+    """Nulls, repeated rows, clashing names, a table without n_chars, and empty tables; rows that have no reason to go stay."""
+    import corpus_pipeline as p
+
+    spark.createDataFrame([*((k, 0, 0) for k in (6, 8, 9, 10, 11, 12)), (7, 1, 1), (None, 1, None)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, "What is asked here of those who know " + prose(random.Random(50), 12)), (2, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    extra = "doc_id long, text string, n_removed string, n_lines string, _id string, _k string, score string, length string, sequence_id string, _t string"
+    rows = [(i, t, *"abcdefgh") for i, t in awkward()]
+    for name, data in (("some", rows), ("none", [])):
+        docs = spark.createDataFrame(data, extra)
+        for k, (stage, f) in enumerate(p.STAGES):
+            was, docs = docs, f(spark, docs, str(tmp_path))
+            docs = Scratch(spark, "test").table(docs, f"{name}-{stage}")
+            if k < len(p.STAGES) - 1:
+                assert docs.columns == was.columns and docs.filter("n_removed <> 'a' OR _t <> 'h'").count() == 0
+            if k == 1:
+                assert docs.count() == was.count()
+        assert (docs.count() > 0) == (name == "some")
+
+
+def test_scratches_are_closed(spark):
+    from tickforge.llm.common import scratches_closed
+
+    with scratches_closed():
+        inner = Scratch(spark, "inner")
+        assert inner.table(spark.range(3), "t").count() == 3
+    assert not __import__("os").path.exists(inner.root.replace("file://", "", 1))

@@ -7,6 +7,7 @@ import re
 import tempfile
 import uuid
 import zlib
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,19 +52,35 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+@contextmanager
+def scratches_closed():
+    """Deletes the scratch tables that are begun within, at the end: what needs them must be written by then."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for s in _SCOPES.pop():
+            s.close()
+
+
+_SCOPES: list[list[Scratch]] = []
+
+
 class Scratch:
     """Tables written to the shared folder, so that a lost executor never costs more than the stage at hand."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/tickforge-{name}-{uuid.uuid4().hex}"
+        if _SCOPES:
+            _SCOPES[-1].append(self)
         atexit.register(self.close)
 
     def table(self, df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
         path = f"{self.root}/{name}"
         df.write.option("compression", codec).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
-        self.spark.sparkContext._jvm.System.gc()  # frees the shuffle files of what is finished
+        self.spark.sparkContext._jvm.System.gc()  # shuffle files go with the driver's objects that name them, so that disk doesn't wait for its next collection
         return out
 
     def drop(self, name: str) -> None:
@@ -79,6 +96,7 @@ class Scratch:
                 self.drop(name)
 
     def close(self) -> None:
+        atexit.unregister(self.close)
         try:
             self._delete(self.root)
         except Exception:  # noqa: BLE001  the session may be gone at exit

@@ -69,12 +69,13 @@ def _near(lines: DataFrame, scratch: Scratch, min_chars: int) -> DataFrame:
     return scratch.table(verified.select("_h1", "_h2").distinct(), "near")
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
-    """``docs`` with ``text_col`` cut to the lines that stay, plus n_lines and n_removed (lines with a word; long).
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, counts: bool = True, length_col: str | None = None) -> DataFrame:
+    """``docs`` with ``text_col`` cut to the lines that stay, with ``counts`` plus n_lines and n_removed (lines with a word; long).
 
     Lines are ordered by document id, then place. A line with a word is removed if an earlier one is equal, or, where both
     have at least ``min_chars`` characters, is within one inserted, deleted or replaced character, whether or not that
-    one stays. Lines without a word stay. Other columns are kept; n_lines and n_removed replace columns of these names.
+    one stays. Lines without a word stay. Other columns are kept; the counts replace columns of these names, and
+    ``length_col``, if there is such a column, gets the length of the texts that lose a line.
 
     Null text stays null. A null id comes before all others. Rows of the same id are ordered by a hash of their text; rows
     equal in id and text are one document seen twice, and the same lines of both stay. Empty table: no rows.
@@ -88,11 +89,18 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     judged = seen.join(near, ["_h1", "_h2"], "left").filter("_n > 1 OR _near").select("_h1", "_h2", "_first", F.coalesce("_near", F.lit(False)).alias("_near"))
     removed = places.join(judged, ["_h1", "_h2"]).filter("_near OR _at > _first").select("_at._id", "_at._k", "_at._pos")
     removed = removed.groupBy("_id", "_k").agg(F.collect_set("_pos").alias("_gone")).withColumnRenamed("_k", "_k2")
-    keep = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    keep = [c for c in docs.columns if not counts or c not in ("n_lines", "n_removed")]
     row = F.struct(*(F.col(f"`{c}`") for c in keep)).alias("_row")  # what other columns are called doesn't matter
     out = docs.select(row, F.col(id_col).alias("_id1"), F.col(text_col).alias("_text"), F.xxhash64(id_col, text_col).alias("_k1"))
     out = out.join(removed, F.col("_id1").eqNullSafe(F.col("_id")) & (F.col("_k1") == F.col("_k2")), "left")
     out = out.withColumn("_all", F.split(F.col("_text"), "\n")).withColumn("_left", F.expr("array_except(sequence(0, size(_all) - 1), _gone)"))
     text = F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(F.expr("array_join(transform(_left, i -> get(_all, i)), '\n')"))
+    cols = [text.alias(c) if c == text_col else F.col("_row").getField(c).alias(c) for c in keep]
+    if length_col in keep:
+        kind = docs.schema[length_col].dataType
+        at = keep.index(length_col)
+        cols[at] = F.when(F.col("_gone").isNotNull(), F.length(text).cast(kind)).otherwise(F.col("_row").getField(length_col)).alias(length_col)
+    if not counts:
+        return out.select(*cols)
     words = F.coalesce(F.size(F.filter("_all", lambda x: F.ltrim(x, F.lit(f" {SPACES}")) != "")), F.lit(0))
-    return out.select(*[text.alias(c) if c == text_col else F.col("_row").getField(c).alias(c) for c in keep], F.greatest(words, F.lit(0)).cast("long").alias("n_lines"), F.greatest(F.coalesce(F.size("_gone"), F.lit(0)), F.lit(0)).cast("long").alias("n_removed"))
+    return out.select(*cols, F.greatest(words, F.lit(0)).cast("long").alias("n_lines"), F.greatest(F.coalesce(F.size("_gone"), F.lit(0)), F.lit(0)).cast("long").alias("n_removed"))
