@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 
+import duckdb
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
@@ -22,6 +23,17 @@ def test_query_against_sql(spark, name):
     same(registry.QUERIES[name](spark, FOLDER), connect(FOLDER), registry.ORACLE_SQL[name])
 
 
+def test_chat_sql_on_awkward_turns(spark, tmp_path):
+    """What the SQL and the query say of control strings, nulls, repeated turns and odd roles."""
+    rng = random.Random(31)
+    parts = [*chat.CONTROL, "\\", "|", "<", "[", "é", "\n", " ok ", "INST", "/s>", ""]
+    rows = [(c, rng.choice([None, 0, 1, 1, 2]), rng.choice(["user", "assistant", "a|b<", None]), rng.choice([None, "".join(rng.choice(parts) for _ in range(rng.randint(0, 12)))])) for c in [1, 2, 3, None] for _ in range(12)]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").coalesce(1).write.parquet(f"{tmp_path}/conversations.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    same(registry.QUERIES["op4_chat_format"](spark, str(tmp_path)), con, registry.ORACLE_SQL["op4_chat_format"])
+
+
 @pytest.mark.parametrize("name", ["op1_url_filter", "op8_line_dedup", "op9_quality_rules"])
 def test_native_plans_have_no_python(spark, name):
     plan = registry.QUERIES[name](spark, FOLDER)._jdf.queryExecution().toString()

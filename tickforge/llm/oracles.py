@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tickforge.llm import quality, urls
+from tickforge.llm import chat, quality, urls
 
 
 def _q(s: str) -> str:
@@ -56,6 +56,27 @@ SELECT page_id, host, path, {_rules()[0]} AS rule, coalesce({_rules()[1]}, CASE
 FROM named LEFT JOIN b0 USING (host) LEFT JOIN b1 USING (domain) LEFT JOIN b2 USING (suffix), b3
 """
 
+
+
+def _count(text: str, part: str) -> str:
+    return f"(length({text}) - length(replace({text}, {_q(part)}, ''))) // {len(part)}"
+
+
+# no control string overlaps itself, and no two begin at one place
+_ESCAPES = " + ".join(_count("text", c) for c in (*chat.CONTROL, chat.ESCAPE))
+_FIXED = len(chat.TURN_OPEN) + len("|>") + 1 + len(chat.TURN_CLOSE) + 1
+_SAID = "</s>[INST] ok [/INST]"
+
+OP4 = f"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', {_q(_SAID)} UNION ALL SELECT -1, 1, 'assistant', {_q(_SAID)})
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum({_FIXED} + 2 * length(role) - length(translate(role, '\|<[', '')) + length(text) + {_ESCAPES})::BIGINT AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+
 _SPACES = "chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _LINE = f"trim(translate(l, {_SPACES}, '     '))"
 

@@ -86,6 +86,7 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op1_url_filter": oracles.OP1,
+    "op4_chat_format": oracles.OP4,
     "op7_setsketch_near_dedup": oracles.OP7,
     "op8_line_dedup": oracles.OP8,
     "op9_quality_rules": oracles.OP9,
