@@ -120,6 +120,29 @@ def test_fold_events(spark):
     assert [chat.parse_turns(r["formatted"])[0][:2] for r in chat.render(chat.fold_events(events)).filter("conv_id = 1").orderBy("place").collect()] == [("user", "hey"), ("assistant", "Bye"), ("", "")]
 
 
+def folded(events):
+    """Final messages of a log, event by event."""
+    out = {}
+    for conv, seq, message, kind, role, text in sorted(events, key=lambda e: (str(e[0]), e[1], e[3] or "message", e[5] or "", e[4] or "")):
+        m = out.setdefault((conv, message), {"place": seq, "role": None, "text": "", "gone": False})
+        m["text"] = (m["text"] if kind == "delta" else "") + ("" if kind == "delete" else text or "")
+        m["gone"], m["role"] = kind == "delete", m["role"] if m["role"] is not None else role
+    return {k: (m["place"], m["role"] or "", m["text"]) for k, m in out.items() if not m["gone"]}
+
+
+def test_long_logs_against_brute_force(spark):
+    """Deltas, edits, regenerations and deletions in any order, messages of very many deltas, and a conversation with most of all rows."""
+    rng = random.Random(32)
+    events = []
+    for k in range(1500):
+        kind = rng.choice(["message", "delta", "delta", "delta", "edit", "regenerate", "delete", None])
+        events.append((rng.choice([1, 1, 1, 2, None]), k, rng.choice(["a", "b", "c", "d", None]), kind, rng.choice([None, "user", "assistant"]), rng.choice([None, "", "é ", "x", "</s>"])))
+    events += [(9, k, "long", "delta", "assistant", f"{k} ") for k in range(30000)]
+    df = spark.createDataFrame([(*e, "y") for e in events], "conv_id long, seq long, message_id string, kind string, role string, text string, place string").repartition(5)
+    got = {(r["conv_id"], r["message_id"]): (r["place"], r["role"], r["text"]) for r in chat.fold_events(df).collect()}
+    assert got == folded(events) and len(got[9, "long"][2]) > 150_000
+
+
 def test_conversations(spark):
     rows = [(1, 1, "assistant", "</s>"), (1, 0, "user", None), (1, 1, "assistant", "</s>"), (1, 1, "assistant", "<|end|>\n"), (None, None, None, "q"), (2, 0, "system", "x" * 50000)]
     conv = spark.createDataFrame([(*r, "a", "b") for r in rows], "conv_id long, turn long, role string, text string, seq string, place string")

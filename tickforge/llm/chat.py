@@ -57,15 +57,44 @@ def fold_events(events: DataFrame) -> DataFrame:
     ``events``: conv_id, seq, message_id, kind, role, text. A message starts with its text; ``delta`` appends, ``edit``
     replaces, ``regenerate`` clears (its text, if any, starts the new one), ``delete`` removes it unless a later event
     writes it again. ``place`` is the message's first seq, role the first that isn't null. Events of the same seq are
-    taken in the order of kind and text. Null text: empty. Null kind: message. Null role: empty.
+    taken in the order of kind, text and role. Null text: empty. Null kind: message. Null role: empty. Null conv_id and null
+    message_id are values like others. Other columns are ignored; no events, no messages. A task holds the text of one message.
     """
-    e = F.struct("seq", F.coalesce("kind", F.lit("message")).alias("kind"), F.coalesce("text", F.lit("")).alias("text"), "role")
-    out = events.groupBy("conv_id", "message_id").agg(F.sort_array(F.collect_list(e)).alias("_e"))
-    start = "coalesce(try_element_at(filter(transform(_e, (x, i) -> CASE WHEN x.kind <> 'delta' THEN i END), i -> i IS NOT NULL), -1), 0)"
-    out = out.select("conv_id", "message_id", F.expr("_e[0].seq").alias("place"), F.expr("coalesce(get(filter(transform(_e, x -> x.role), r -> r IS NOT NULL), 0), '')").alias("role"), "_e", F.expr(start).alias("_s"))
-    out = out.filter(F.expr("NOT (_e[size(_e) - 1].kind = 'delete')"))
-    text = "array_join(transform(filter(_e, (x, i) -> i >= _s AND x.kind <> 'delete'), x -> x.text), '')"
-    return out.select("conv_id", "message_id", "place", "role", F.expr(text).alias("text"))
+    def fold(batches):
+        held: dict | None = None  # the message at hand: its text so far, not its events
+
+        def closed(rows):
+            if held is not None and held["kind"] != "delete":
+                rows.append((*held["key"], held["place"], held["role"] or "", "".join(held["text"])))
+
+        for b in batches:
+            rows: list[tuple] = []
+            for conv, message, seq, kind, text, role in zip(*(b.column(k).to_pylist() for k in range(6)), strict=True):
+                if held is None or held["key"] != (conv, message):
+                    closed(rows)
+                    held = {"key": (conv, message), "place": seq, "role": None, "text": [], "kind": ""}
+                if kind != "delta":
+                    held["text"] = []
+                if kind != "delete" and text:
+                    held["text"].append(text)
+                held["kind"] = kind
+                held["role"] = role if held["role"] is None else held["role"]
+            yield batch(rows, b.schema)
+        rows = []
+        closed(rows)
+        if rows:
+            yield batch(rows, b.schema)
+
+    def batch(rows, schema):
+        cols = list(zip(*rows, strict=True)) or [()] * 5
+        kinds = (schema.field("conv_id").type, schema.field("message_id").type, schema.field("seq").type, pa.string(), pa.string())
+        return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, kinds, strict=True)], names=["conv_id", "message_id", "place", "role", "text"])
+
+    kinds = dict(events.dtypes)
+    rows = events.select("conv_id", "message_id", "seq", F.coalesce("kind", F.lit("message")).alias("kind"), F.coalesce("text", F.lit("")).alias("text"), "role")
+    rows = rows.repartition("conv_id", "message_id").sortWithinPartitions("conv_id", "message_id", "seq", "kind", "text", "role")
+    out = rows.mapInArrow(fold, f"conv_id {kinds['conv_id']}, message_id {kinds['message_id']}, place {kinds['seq']}, role string, text string")
+    return out.select("conv_id", "message_id", "place", "role", "text")
 
 
 def render(messages: DataFrame) -> DataFrame:
