@@ -56,6 +56,18 @@ def test_urls(spark):
     assert urls.filter_urls(pages.limit(0), urls.page_outcomes(pages, labels)).count() == 0
 
 
+def test_bounds_are_quantiles(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(33)
+    pairs = [(a, b) for a in (1.0, 1.7, 3.0, 20.0, 400.0) for b in (1.0, 2.5, 9.0, 60.0)] + [(0.3, 5.0), (5.0, 0.4), (0.01, 0.99)]
+    got = [r[0] for r in spark.createDataFrame(pairs, "a double, b double").select(urls.lower_bound("a", "b")).collect()]
+    for (a, b), x in zip(pairs, got, strict=True):
+        if min(a, b) >= 1:
+            assert (0.04 if min(a, b) > 1 else 0.015) < (rng.beta(a, b, 200_000) < x).mean() < 0.055
+        assert 0 <= x < a / (a + b)
+
+
 def test_long_rule_lists_are_joined(spark, monkeypatch):
     rng = random.Random(30)
     hosts = ["a.com", "b.a.com", "c.b.a.com", "com", "x.org", "y.x.org", "", "a..com", "com."]

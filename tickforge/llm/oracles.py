@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from tickforge.llm import chat, quality, urls
 
 
@@ -30,7 +32,7 @@ def _strength(level: str) -> str:
 
 _TWO = ", ".join(map(_q, urls.TWO_LABEL_SUFFIXES))
 _DOMAIN = f"""CASE WHEN array_to_string(list_slice(p, -2, -1), '.') IN ({_TWO}) THEN 2 ELSE 1 END"""
-_BOUND = f"greatest(0, a / (a + b) - {urls.Z} * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))))"
+_BOUND = re.sub(r"(?<=\d)D\b", "", urls.bound_sql("a", "b"))
 
 OP1 = f"""
 WITH base AS (

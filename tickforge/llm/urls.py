@@ -105,10 +105,21 @@ def host_reputation(outcomes: DataFrame) -> DataFrame:
     return h.unionByName(prior(d, F.col("m2"), k3, "domain", "suffix")).unionByName(prior(s, F.col("m1"), k2, none.alias("domain"), "suffix")).unionByName(prior(spark.range(1), F.lit(overall), k1, none.alias("domain"), none.alias("suffix")))
 
 
-def lower_bound(a: Column, b: Column, z: float = Z) -> Column:
-    """Lower bound of a beta posterior by its first two moments."""
-    n = a + b
-    return F.greatest(F.lit(0.0), a / n - z * F.sqrt(a * b / (n * n * (n + 1))))
+def bound_sql(a: str, b: str, z: float = Z) -> str:
+    """SQL for the quantile of a beta distribution that the standard normal has at -z (for z = 1.645, of 0.05).
+
+    The normal approximation of Abramowitz and Stegun, 26.5.22; where a or b are too small for it, mean and deviation.
+    """
+    y, p, q = (z * z - 3) / 6, f"(2 * {a} - 1)", f"(2 * {b} - 1)"
+    h = f"(2 / (1 / {p} + 1 / {q}))"
+    w = f"({z}D * sqrt({h} + {y}D) / {h} - (1 / {q} - 1 / {p}) * ({y + 5 / 6}D - 2 / (3 * {h})))"
+    mean = f"greatest(0D, {a} / ({a} + {b}) - {z}D * sqrt({a} * {b} / (({a} + {b}) * ({a} + {b}) * ({a} + {b} + 1))))"
+    return f"CASE WHEN {a} >= 1 AND {b} >= 1 THEN {a} / ({a} + {b} * exp(2 * {w})) ELSE {mean} END"
+
+
+def lower_bound(a: str, b: str, z: float = Z) -> Column:
+    """Lower bound of a beta posterior; ``a`` and ``b`` are columns."""
+    return F.expr(bound_sql(a, b, z))
 
 
 def filter_urls(pages: DataFrame, outcomes: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url", z: float = Z, threshold: float = THRESHOLD) -> DataFrame:
@@ -131,7 +142,7 @@ def filter_urls(pages: DataFrame, outcomes: DataFrame, rules=RULES, id_col: str
         base = join_rules(base, rules)
         rule, said = F.col("_rule"), F.col("_said")
     rep = host_reputation(outcomes)
-    bound = lower_bound(F.col("a"), F.col("b"), z)
+    bound = lower_bound("a", "b", z)
     # what each distinct host gets: its own posterior, else the nearest prior above it
     hosts = base.filter(rule.isNull()).select("host").distinct().select("host", domain.alias("domain"), suffix.alias("suffix"))
     own = rep.filter("host IS NOT NULL").select("host", bound.alias("b0"))
