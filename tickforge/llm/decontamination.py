@@ -11,9 +11,11 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,28 +29,32 @@ WINDOW, LITERALS, LEAST, COVER = 8, 4, 4, 0.4
 ITEMS, CHARACTERS = 20_000, 20_000_000
 #: Windows of a document that are read in all ways at once.
 BLOCK = 4096
+#: Words that a task remembers, beside those of the texts at hand, and characters of texts that are read at once.
+WORDS, TEXTS = 400_000, 1 << 18
 #: Units of measure.
 UNITS = frozenset((
     "%", "am", "c", "cents", "cm", "days", "dollars", "eur", "euros", "f", "feet", "ft", "g", "gb", "grams", "hours", "hz", "in", "inches", "k", "kb",
     "kg", "kilograms", "kilometers", "km", "kph", "kwh", "l", "lb", "lbs", "liters", "m", "mb", "meters", "mg", "miles", "min", "minutes", "ml", "mm",
     "mph", "ms", "months", "oz", "pm", "pounds", "s", "seconds", "usd", "v", "w", "weeks", "yards", "years",
 ))
+_UNIT_BYTES = frozenset(u.encode() for u in UNITS)
 NUMBER, NAME, UNIT = "<number>", "<name>", "<unit>"
 _NUMBER = re.compile(r"[$€£]?[+-]?\d[\d.,:/]*(?:e[+-]?\d+)?")
-_MARKS = ".,!?;:()[]{}\"'«»“”‘’…"
+_MARKS, _ENDS = ".,!?;:()[]{}\"'«»“”‘’…", (".", "!", "?", ":")
 _P = {p: mix(np.array([k + 1], np.uint64))[0] for k, p in enumerate((NUMBER, NAME, UNIT))}
 
 
 def _kind(word: str) -> tuple[str, int]:
     """Literal of a word and flags: 1 number, 2 unit, 4 capitalised, 8 ends a sentence."""
     core = word.strip(_MARKS)
-    flags = 8 * (word.rstrip("\"'»”’)")[-1:] in (".", "!", "?", ":"))
-    if _NUMBER.fullmatch(core):
+    flags = 8 * (word.rstrip("\"'»”’)")[-1:] in _ENDS) if core != word else 0
+    letters = core.isalpha()
+    if not letters and _NUMBER.fullmatch(core):
         return core, flags | 1
     low = core.lower()
     if low in UNITS:
         flags |= 2
-    if len(core) > 1 and core[0].isupper() and all(c.isalpha() or c in "'’-" for c in core):
+    if len(core) > 1 and core[0].isupper() and (letters or all(c.isalpha() or c in "'’-" for c in core)):
         flags |= 4
     return low or word, flags
 
@@ -141,37 +147,37 @@ def readings(h: np.ndarray, both: np.ndarray, n: int, first: tuple[np.ndarray, n
             j += 1
 
 
-class _Tokens:
-    """Hashes of template tokens of whole texts; words are looked up in a bounded cache."""
+class _Tokens(dict):
+    """Hashes of template tokens of whole texts; words (UTF-8) are looked up in a bounded cache of their numbers."""
 
     def __init__(self):
-        self.clear()
-
-    def clear(self):
-        self.at, self.size = {}, 0
         self.literal, self.flags = np.empty(1 << 16, np.uint64), np.empty(1 << 16, np.uint8)
 
-    def _add(self, w: str) -> int:
-        import hashlib
-
-        low, flags = _kind(w)
-        if self.size == len(self.literal):
-            self.literal, self.flags = np.resize(self.literal, 2 * self.size), np.resize(self.flags, 2 * self.size)
-        k = self.at[w] = self.size
-        self.literal[k], self.flags[k] = int.from_bytes(hashlib.blake2b(low.encode(), digest_size=8).digest(), "little"), flags
-        self.size += 1
+    def __missing__(self, word: bytes) -> int:
+        if word.isalpha() and word.islower():  # small letters of ASCII
+            low, flags = word, 2 * (word in _UNIT_BYTES)
+        else:
+            low, flags = _kind(word.decode())
+        k = len(self)
+        if k == len(self.literal):
+            self.literal, self.flags = np.resize(self.literal, 2 * k), np.resize(self.flags, 2 * k)
+        self.literal[k], self.flags[k] = xxhash.xxh64_intdigest(low), flags
+        self[word] = k
         return k
 
-    def hashes(self, text: str) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray]]:
-        """Hashes of the template tokens, which of them may be names as well, and places and hashes of those that are others where a text begins with them."""
-        if self.size > 300_000:
+    def hashes(self, *texts: str) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray], np.ndarray]:
+        """Of the texts in a row: hashes of the template tokens, which of them may be names as well, places and hashes of those
+        that are others where a text begins with them, and where each text's tokens begin (one more than texts).
+        """
+        if len(self) > WORDS:
             self.clear()
-        words, at, add = WORD.findall(text), self.at, self._add
-        k = np.fromiter([at[w] if w in at else add(w) for w in words], np.int64, len(words))
+        words = [t.encode().split() for t in texts]  # at the white space that parts words
+        starts = np.concatenate([[0], np.cumsum([len(w) for w in words])]).astype(np.int64)
+        k = np.fromiter(map(self.__getitem__, chain.from_iterable(words)), np.int64, starts[-1])
         f = self.flags[k]
         was = np.empty_like(f)
-        if len(f):
-            was[0], was[1:] = 8, f[:-1]
+        was[1:] = f[:-1]
+        was[starts[:-1][starts[:-1] < len(f)]] = 8
         number = (f & 1) > 0
         unit = ~number & ((f & 2) > 0) & ((was & 1) > 0)
         name = ~number & ~unit & ((f & 4) > 0)
@@ -183,7 +189,7 @@ class _Tokens:
             order = np.argsort(first[0], kind="stable")
             first = first[0][order], first[1][order]
         h[number], h[unit], h[name & ~both] = _P[NUMBER], _P[UNIT], _P[NAME]
-        return h, both, first
+        return h, both, first, starts
 
 
 def _alone(text: str, mine: list, i: int, theirs: list) -> bool:
@@ -206,7 +212,7 @@ class Benchmark:
         at: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
         seen: set[tuple] = set()
         for item, text in items:
-            t, (h, both, _) = template(text or ""), tokens.hashes(text or "")
+            t, (h, both, *_) = template(text or ""), tokens.hashes(text or "")
             if not t or (item, text) in seen:
                 continue
             seen.add((item, text))
@@ -229,9 +235,9 @@ class Benchmark:
         self.maybe = np.zeros(1 << 20, bool)
         self.maybe[(self.keys & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
 
-    def hits(self, h: np.ndarray, both: np.ndarray, first: tuple[np.ndarray, np.ndarray]) -> dict[int, set[tuple[int, int]]]:
-        """Of each item (place in the document, place in the item) of windows that are equal under a reading."""
-        out: dict[int, set[tuple[int, int]]] = defaultdict(set)
+    def hits(self, h: np.ndarray, both: np.ndarray, first: tuple[np.ndarray, np.ndarray], starts: np.ndarray) -> list[dict[int, set[tuple[int, int]]]]:
+        """Of each text and item (place in the text, place in the item) of windows that are equal under a reading."""
+        out: list[dict[int, set[tuple[int, int]]]] = [defaultdict(set) for _ in starts[1:]]
         for width in sorted(self.lengths):
             for p, g in readings(h, both, width, first):
                 on = np.flatnonzero(self.maybe[(g & np.uint64((1 << 20) - 1)).astype(np.int64)])
@@ -240,18 +246,30 @@ class Benchmark:
                 k = np.searchsorted(self.keys, g[on])
                 k[k == len(self.keys)] = 0
                 same = self.keys[k] == g[on]
-                for i, j in zip(p[on][same].tolist(), k[same].tolist(), strict=True):
+                at = p[on][same]
+                for d, i, j in zip((np.searchsorted(starts, at, "right") - 1).tolist(), at.tolist(), k[same].tolist(), strict=True):
                     for key, q, start in self.places[j]:
                         n = self.templates[key][2]
-                        if min(n, WINDOW) == width and 0 <= i - start <= len(h) - n:
-                            out[key].add((i - start, q))
+                        if min(n, WINDOW) == width and starts[d] <= i - start <= starts[d + 1] - n:
+                            out[d][key].add((i - start - int(starts[d]), q))
+        return out
+
+    def leaks(self, texts: list[str | None], tokens: _Tokens, cover: float = COVER) -> list[list[tuple[int, int, int, int]]]:
+        """Of each text (item, its windows, windows found with consistent slots, how many slots have other values) of each leaked item."""
+        out: list[list[tuple[int, int, int, int]]] = [[] for _ in texts]
+        group, size = [], 0
+        for i, t in enumerate([*texts, None]):
+            if group and (i == len(texts) or size + len(t or "") > TEXTS):
+                found = self.hits(*tokens.hashes(*(texts[k] for k in group))) if len(self.keys) else []
+                for k, pairs in zip(group, found, strict=False):
+                    out[k] = self._leaks(texts[k], pairs, cover) if pairs else []
+                group, size = [], 0
+            if t:
+                group.append(i)
+                size += len(t)
         return out
 
-    def leaks(self, text: str, tokens: _Tokens, cover: float = COVER) -> list[tuple[int, int, int, int]]:
-        """(item, its windows, windows found with consistent slots, how many slots have other values) of each leaked item."""
-        found = self.hits(*tokens.hashes(text)) if len(self.keys) else {}
-        if not found:
-            return []
+    def _leaks(self, text: str, found: dict[int, set[tuple[int, int]]], cover: float) -> list[tuple[int, int, int, int]]:
         mine, best = template(text), {}
         for key, pairs in found.items():
             item, theirs, n = self.templates[key]
@@ -314,7 +332,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, cover: float = COVER, id_c
         def judge(batches, sent=sent):
             tokens = _Tokens()
             for b in batches:
-                got = [(d, *x) for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) if t for x in sent.value.leaks(t, tokens, cover)]
+                got = [(d, *x) for d, found in zip(b.column(0).to_pylist(), sent.value.leaks(b.column(1).to_pylist(), tokens, cover), strict=True) for x in found]
                 cols = list(zip(*got, strict=True)) or [()] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), b.column(0).type if k == 0 else pa.int64()) for k, c in enumerate(cols)], names=["doc_id", "item_id", "n_windows", "n_found", "n_changed"])
 
@@ -332,7 +350,7 @@ def drop_leaking(docs: DataFrame, benchmark: DataFrame, cover: float = COVER, te
         def keep(batches, sent=sent):
             tokens = _Tokens()
             for b in batches:
-                yield b.filter(pa.array([not (t and sent.value.leaks(t, tokens, cover)) for t in b.column(text_col).to_pylist()], pa.bool_()))
+                yield b.filter(pa.array([not found for found in sent.value.leaks(b.column(text_col).to_pylist(), tokens, cover)], pa.bool_()))
 
         docs = docs.mapInArrow(keep, schema)
     return docs
