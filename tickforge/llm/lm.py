@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
+from itertools import repeat
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,18 +21,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickforge.llm.common import FOLD_BYTES, WORD_BYTES, Scratch, bucket_col
+from tickforge.llm.common import FOLD_BYTES, Scratch, bucket_col
 
 #: Words whose counts are sent along, words that are symbols, classes of the others, states, and tokens of a stretch.
-FREQUENT, SYMBOLS, CLASSES, STATES, STRETCH = 1 << 17, 1 << 15, 64, 6, 512
+FREQUENT, SYMBOLS, CLASSES, STATES, STRETCH = 1 << 17, 1 << 15, 64, 6, 2048
 #: Rounds of training at most, and the gain of a round (by the log likelihood) under which no other follows.
 ROUNDS, GAIN = 8, 0.001
 END = b"\n"  # ends every text; no word holds it
-_HELD, _CELLS = 400_000, 1 << 18  # words that a task adds up, tokens that are read at once
+_HELD, _CELLS = 400_000, 1 << 20  # words that a task adds up, tokens that are read at once
 
 
-def words(text: str | None) -> list[bytes]:
-    out = WORD_BYTES.findall((text or "").encode().translate(FOLD_BYTES))
+def words(text: bytes | None) -> list[bytes]:
+    """The words of a text in UTF-8, A-Z folded, and the end."""
+    out = (text or b"").translate(FOLD_BYTES).split()  # at the white space that parts words
     out.append(END)
     return out
 
@@ -56,7 +58,7 @@ def count_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
                     c = Counter()
         yield out(c)
 
-    return docs.select(text_col).mapInArrow(count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    return docs.select(F.col(text_col).cast("binary")).mapInArrow(count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
 @dataclass
@@ -111,7 +113,7 @@ def encode(docs: DataFrame, vocab: Vocabulary, id_col: str = "doc_id", text_col:
             out = []
             for t in b.column(1).to_pylist():
                 w = words(t)
-                k = np.fromiter([get(x, -1) for x in w], np.int64, len(w))
+                k = np.fromiter(map(get, w, repeat(-1)), np.int64, len(w))
                 symbols = k.copy()
                 often, seldom = np.flatnonzero(k >= s), np.flatnonzero(k < 0)
                 rare = [w[i] for i in seldom.tolist()]
@@ -126,7 +128,7 @@ def encode(docs: DataFrame, vocab: Vocabulary, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), *(pa.array(list(c), t) for c, t in zip(cols, kinds, strict=True))], names=["doc_id", "held_out", "n_tokens", "_known", "_base", "_within", "_symbols", "_rare"])
 
     kind = dict(docs.dtypes)[id_col]
-    got = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_t"), (bucket_col(F.col(id_col)) == 1).alias("held_out"))
+    got = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("_t"), (bucket_col(F.col(id_col)) == 1).alias("held_out"))
     out = got.mapInArrow(rows, f"doc_id {kind}, held_out boolean, n_tokens long, _known long, _base double, _within double, _symbols binary, _rare array<binary>")
     return out.withColumn("_row", F.monotonically_increasing_id())
 
@@ -185,8 +187,7 @@ def expect(parts: list[np.ndarray], m: Model, counts: tuple[np.ndarray, np.ndarr
         if t:
             beta[:n] = back @ m.move.T
     starts += gamma[0][~inner].sum(0)
-    used = np.arange(b)[None, :] < live[:, None]
-    s, g = x[used], gamma[used]
+    s, g = x.ravel(), gamma.reshape(-1, k)  # nothing is expected in the padding
     for i in range(k):
         emits[:, i] += np.bincount(s, weights=g[:, i], minlength=len(emits))
     return float(np.log10(scale).sum())
