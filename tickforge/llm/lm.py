@@ -25,10 +25,12 @@ from tickforge.llm.common import FOLD_BYTES, Scratch, bucket_col
 
 #: Words whose counts are sent along, words that are symbols, classes of the others, states, and tokens of a stretch.
 FREQUENT, SYMBOLS, CLASSES, STATES, STRETCH = 1 << 17, 1 << 15, 64, 6, 2048
+#: Tokens after which recursions are scaled; no probability of a token is so small that as many of them underflow.
+SCALED = 8
 #: Rounds of training at most, and the gain of a round (by the log likelihood) under which no other follows.
 ROUNDS, GAIN = 8, 0.001
 END = b"\n"  # ends every text; no word holds it
-_HELD, _CELLS = 400_000, 1 << 20  # words that a task adds up, tokens that are read at once
+_HELD, _CELLS = 400_000, 1 << 19  # words that a task adds up, tokens that are read at once
 
 
 def words(text: bytes | None) -> list[bytes]:
@@ -168,21 +170,24 @@ def expect(parts: list[np.ndarray], m: Model, counts: tuple[np.ndarray, np.ndarr
     before = np.zeros((b, k)) if before is None else before[order]
     beta = np.ones((b, k)) if after is None else after[order].copy()
     inner = before.sum(1) > 0
-    alpha, scale = np.zeros((steps, b, k)), np.ones((steps, b))
+    alpha, scale, one = np.zeros((steps, b, k)), np.ones((-(-steps // SCALED), b)), np.ones(k)
     e = m.emit[x]
     for t in range(steps):
         n = live[t]
-        a = (np.where(inner[:, None], before @ m.move, m.start) if t == 0 else alpha[t - 1, :n] @ m.move) * e[t, :n]
-        c = a.sum(1)
-        alpha[t, :n], scale[t, :n] = a / c[:, None], c
-    ends = np.array([len(parts[i]) for i in order]) - 1
-    beta /= (alpha[ends, np.arange(b)] * beta).sum(1)[:, None]
+        a = np.multiply(np.where(inner[:, None], before @ m.move, m.start) if t == 0 else alpha[t - 1, :n] @ m.move, e[t, :n], out=alpha[t, :n])
+        if t % SCALED == 0:
+            c = scale[t // SCALED, :n] = a @ one
+            a /= c[:, None]
+    last = alpha[np.array([len(parts[i]) for i in order]) - 1, np.arange(b)]
+    beta /= (last * beta).sum(1)[:, None]
     starts, moves, emits = counts
     gamma = np.zeros((steps, b, k))
     for t in range(steps - 1, -1, -1):
         n = live[t]
-        gamma[t, :n] = alpha[t, :n] * beta[:n]
-        back = e[t, :n] * beta[:n] / scale[t, :n, None]
+        np.multiply(alpha[t, :n], beta[:n], out=gamma[t, :n])
+        back = e[t, :n] * beta[:n]
+        if t % SCALED == 0:
+            back /= scale[t // SCALED, :n, None]
         moves += m.move * ((alpha[t - 1, :n] if t else before).T @ back)
         if t:
             beta[:n] = back @ m.move.T
@@ -190,7 +195,7 @@ def expect(parts: list[np.ndarray], m: Model, counts: tuple[np.ndarray, np.ndarr
     s, g = x.ravel(), gamma.reshape(-1, k)  # nothing is expected in the padding
     for i in range(k):
         emits[:, i] += np.bincount(s, weights=g[:, i], minlength=len(emits))
-    return float(np.log10(scale).sum())
+    return float(np.log10(scale).sum() + np.log10(last.sum(1)).sum())
 
 
 def _groups(items: list, size):
@@ -213,6 +218,7 @@ def transfers(parts: list[tuple[int, int, np.ndarray]], m: Model) -> dict[tuple[
     The first stretch of a text begins in its first state, others with a move.
     """
     out, k = {}, len(m.start)
+    one = np.ones(k * k)
     for group in _groups(parts, lambda p: k * len(p[2])):
         x, live = _padded([p[2] for p in group])
         a, log = np.broadcast_to(np.eye(k), (len(group), k, k)).copy(), np.zeros(len(group))
@@ -222,10 +228,11 @@ def transfers(parts: list[tuple[int, int, np.ndarray]], m: Model) -> dict[tuple[
             y = (a[:n].reshape(-1, k) @ m.move).reshape(n, k, k)
             if t == 0 and first.any():
                 y = np.where(first[:n, None, None], a[:n], y)
-            y = y * m.emit[x[t, :n]][:, None, :]
-            c = y.sum((1, 2))
-            a[:n] = y / c[:, None, None]
-            log[:n] += np.log10(c)
+            np.multiply(y, m.emit[x[t, :n]][:, None, :], out=a[:n])
+            if t % SCALED == 0:
+                c = a[:n].reshape(n, -1) @ one
+                a[:n] /= c[:, None, None]
+                log[:n] += np.log10(c)
         for i, (j, q, _) in enumerate(group):
             out[j, q] = a[i], log[i]
     return out
@@ -308,14 +315,15 @@ def likelihood(texts: list[np.ndarray], m: Model) -> np.ndarray:
     out = np.zeros(len(texts))
     for group in _groups([j for j, t in enumerate(texts) if len(t) <= STRETCH], lambda j: len(texts[j])):
         x, live = _padded([texts[j] for j in group])
-        a, log = np.broadcast_to(m.start, (len(group), len(m.start))), np.zeros(len(group))
+        a, log = np.broadcast_to(m.start, (len(group), len(m.start))).copy(), np.zeros(len(group))
         for t in range(x.shape[0]):
             n = live[t]
-            y = (a[:n] @ m.move if t else a[:n]) * m.emit[x[t, :n]]
-            c = y.sum(1)
-            a = y / c[:, None]
-            log[:n] += np.log10(c)
-        out[group] = log
+            np.multiply(a[:n] @ m.move if t else a[:n], m.emit[x[t, :n]], out=a[:n])
+            if t % SCALED == 0:
+                c = a[:n].sum(1)
+                a[:n] /= c[:, None]
+                log[:n] += np.log10(c)
+        out[group] = log + np.log10(a.sum(1))
     long = [j for j, t in enumerate(texts) if len(t) > STRETCH]
     matrix = transfers([(j, q, s) for j in long for q, s in enumerate(_stretches(texts[j]))], m)
     for j in long:
