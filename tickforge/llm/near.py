@@ -168,8 +168,9 @@ def _components(docs: DataFrame, num: int, den: int, words: int, id_col: str, te
     scratch = Scratch(spark, "near")
     rows = scratch.table(sketch(docs, id_col, text_col, words), "sketches")
     classes = rows.filter("_s1 IS NOT NULL").groupBy("_s1", "_s2").agg(F.min_by(F.struct("_id", "_k", "_regs"), F.struct(F.col("_id").isNotNull(), "_id", "_k")).alias("_x"))
-    # a class is known by its number, which the written table keeps
-    classes = scratch.table(classes.select(F.monotonically_increasing_id().alias("_node"), "_s1", "_s2", "_x._id", "_x._k", "_x._regs"), "classes")
+    # a class is known by its number, which the written table keeps; xxhash64 maps no two longs to one, and what it gives
+    # doesn't shrink when it is written, so that sizes of files tell what a broadcast would take
+    classes = scratch.table(classes.select(F.xxhash64(F.monotonically_increasing_id()).alias("_node"), "_s1", "_s2", "_x._id", "_x._k", "_x._regs"), "classes")
     bands = F.expr(f"explode(transform(sequence(0, {REGISTERS // ROWS - 1}), i -> xxhash64(i, substring(_regs, i * {2 * ROWS} + 1, {2 * ROWS}))))")
     keys = classes.select("_node", bands.alias("_key"))
     shared = keys.groupBy("_key").agg(F.min("_node").alias("_lo"), F.max("_node").alias("_hi")).filter("_lo <> _hi").select("_key", "_lo")
