@@ -26,14 +26,14 @@ def documents(spark):
 def test_encoder_equals_tokenizer(spark):
     from tokenizers import Tokenizer
 
-    t, e = Tokenizer.from_file(PATH), tokens.WordEncoder(PATH)
+    t, e = Tokenizer.from_file(PATH), tokens.encoder(PATH)
     for text in [x or "" for _, x in documents(spark)[:60] + awkward()] + ["it's WE'VE 3.14 <|endoftext|>x", "İΣΑΣ ÅÅ a b　c", "don't! the?! ÀÉ., a\x85b"]:
         assert np.frombuffer(e.encode(text), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
 
 
 def test_cache_of_words_may_overflow(monkeypatch):
     monkeypatch.setattr(tokens, "CACHE_WORDS", 3)
-    a, b = tokens.WordEncoder(PATH), tokens.WordEncoder(PATH)
+    a, b = tokens.encoder(PATH), tokens.encoder(PATH)
     text = "the quick brown Fox jumps, over the lazy dog. The end!"
     assert a.encode(text + " " + text) == b.encode(text) + b.encode(text)
 
@@ -252,7 +252,7 @@ def test_block_max_is_exact():
     rng = np.random.default_rng(3)
     x = np.where(rng.random((300, 40)) < 0.2, rng.random((300, 40)), 0)
     x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
-    ix = toxicity.Index({}, np.ones(40), list(range(300)), np.zeros(300), np.ones(300))
+    ix = toxicity.Index(b"", np.ones(40), list(range(300)), np.zeros(300), np.ones(300))
     e, f = np.nonzero(x)
     ix.build(f, e, x[e, f])
     for _ in range(40):

@@ -23,6 +23,12 @@ FOLD_BYTES = bytes.maketrans(UPPER.encode(), LOWER.encode())
 FOLD = str.maketrans(UPPER, LOWER)
 
 
+def values(column, rows: int = 512):
+    """The Python values of an Arrow column, some rows at a time, so that no batch of texts stands in memory twice."""
+    for at in range(0, len(column), rows):
+        yield from column.slice(at, rows).to_pylist()
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

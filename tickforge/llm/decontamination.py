@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
+from collections.abc import Iterable
 from itertools import chain
 
 import numpy as np
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickforge.llm.common import WORD
+from tickforge.llm.common import WORD, values
 from tickforge.llm.hashing import mix, powers
 
 #: Tokens of a window, literal tokens that a window needs, tokens from which on an item has a template, and the share of an item's windows that makes a leak.
@@ -30,7 +31,7 @@ ITEMS, CHARACTERS = 20_000, 20_000_000
 #: Windows of a document that are read in all ways at once.
 BLOCK = 4096
 #: Words that a task remembers, beside those of the texts at hand, and characters of texts that are read at once.
-WORDS, TEXTS = 400_000, 1 << 18
+WORDS, TEXTS = 200_000, 1 << 18
 #: Units of measure.
 UNITS = frozenset((
     "%", "am", "c", "cents", "cm", "days", "dollars", "eur", "euros", "f", "feet", "ft", "g", "gb", "grams", "hours", "hz", "in", "inches", "k", "kb",
@@ -254,20 +255,21 @@ class Benchmark:
                             out[d][key].add((i - start - int(starts[d]), q))
         return out
 
-    def leaks(self, texts: list[str | None], tokens: _Tokens, cover: float = COVER) -> list[list[tuple[int, int, int, int]]]:
+    def leaks(self, texts: Iterable[str | None], tokens: _Tokens, cover: float = COVER):
         """Of each text (item, its windows, windows found with consistent slots, how many slots have other values) of each leaked item."""
-        out: list[list[tuple[int, int, int, int]]] = [[] for _ in texts]
         group, size = [], 0
-        for i, t in enumerate([*texts, None]):
-            if group and (i == len(texts) or size + len(t or "") > TEXTS):
-                found = self.hits(*tokens.hashes(*(texts[k] for k in group))) if len(self.keys) else []
-                for k, pairs in zip(group, found, strict=False):
-                    out[k] = self._leaks(texts[k], pairs, cover) if pairs else []
+        for t in texts:
+            group.append(t or "")
+            size += len(group[-1])
+            if size > TEXTS:
+                yield from self._judged(group, tokens, cover)
                 group, size = [], 0
-            if t:
-                group.append(i)
-                size += len(t)
-        return out
+        yield from self._judged(group, tokens, cover)
+
+    def _judged(self, texts: list[str], tokens: _Tokens, cover: float) -> list[list[tuple[int, int, int, int]]]:
+        if not len(self.keys):
+            return [[] for _ in texts]
+        return [self._leaks(t, pairs, cover) if pairs else [] for t, pairs in zip(texts, self.hits(*tokens.hashes(*texts)), strict=True)]
 
     def _leaks(self, text: str, found: dict[int, set[tuple[int, int]]], cover: float) -> list[tuple[int, int, int, int]]:
         mine, best = template(text), {}
@@ -332,7 +334,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, cover: float = COVER, id_c
         def judge(batches, sent=sent):
             tokens = _Tokens()
             for b in batches:
-                got = [(d, *x) for d, found in zip(b.column(0).to_pylist(), sent.value.leaks(b.column(1).to_pylist(), tokens, cover), strict=True) for x in found]
+                got = [(d, *x) for d, found in zip(b.column(0).to_pylist(), sent.value.leaks(values(b.column(1)), tokens, cover), strict=True) for x in found]
                 cols = list(zip(*got, strict=True)) or [()] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), b.column(0).type if k == 0 else pa.int64()) for k, c in enumerate(cols)], names=["doc_id", "item_id", "n_windows", "n_found", "n_changed"])
 
@@ -350,7 +352,7 @@ def drop_leaking(docs: DataFrame, benchmark: DataFrame, cover: float = COVER, te
         def keep(batches, sent=sent):
             tokens = _Tokens()
             for b in batches:
-                yield b.filter(pa.array([not found for found in sent.value.leaks(b.column(text_col).to_pylist(), tokens, cover)], pa.bool_()))
+                yield b.filter(pa.array([not found for found in sent.value.leaks(values(b.column(text_col)), tokens, cover)], pa.bool_()))
 
         docs = docs.mapInArrow(keep, schema)
     return docs

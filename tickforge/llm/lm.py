@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickforge.llm.common import FOLD_BYTES, Scratch, bucket_col
+from tickforge.llm.common import FOLD_BYTES, Scratch, bucket_col, values
 
 #: Words whose counts are sent along, words that are symbols, classes of the others, states, and tokens of a stretch.
 FREQUENT, SYMBOLS, CLASSES, STATES, STRETCH = 1 << 17, 1 << 15, 64, 6, 2048
@@ -53,7 +53,7 @@ def count_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
         c: Counter = Counter()
         for b in batches:
-            for t in b.column(0).to_pylist():
+            for t in values(b.column(0)):
                 c.update(words(t))
                 if len(c) > _HELD:
                     yield out(c)
@@ -113,7 +113,7 @@ def encode(docs: DataFrame, vocab: Vocabulary, id_col: str = "doc_id", text_col:
         weight, within = np.log10(v.mass), np.log10(v.c + 0.5) - np.log10(v.mass)[v.classes] if len(v.c) else v.c
         for b in batches:
             out = []
-            for t in b.column(1).to_pylist():
+            for t in values(b.column(1)):
                 w = words(t)
                 k = np.fromiter(map(get, w, repeat(-1)), np.int64, len(w))
                 symbols = k.copy()

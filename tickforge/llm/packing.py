@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickforge.llm.common import Scratch
+from tickforge.llm.common import Scratch, values
 
 _LOG = logging.getLogger(__name__)
 CAPACITY, END_ID = 4096, 1
@@ -46,7 +46,7 @@ def cut(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id:
         e, size = encoder(tokenizer_path), 4 * capacity
         for b in batches:
             ids, piece, start, length, crc, raw = [], [], [], [], [], []
-            for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            for d, t in zip(b.column(0).to_pylist(), values(b.column(1)), strict=True):
                 x = e.encode(t or b"") + end
                 for k in range(0, len(x), size):
                     part = x[k : k + size]
@@ -55,6 +55,7 @@ def cut(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id:
                         raw.append(np.frombuffer(part, "<u4").astype(np.int32))
             out = [pa.array(ids, b.column(0).type), pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, length, crc))]
             yield pa.RecordBatch.from_arrays(out + [pa.array(raw, pa.list_(pa.int32()))] * with_ids, names=["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids)
+        e.close()
 
     kind = dict(docs.dtypes)[id_col]
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids

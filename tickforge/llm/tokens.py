@@ -7,7 +7,7 @@ import sys
 from array import array
 
 _SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:|#$%&*]*)")
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 
 
 def _byte_chars() -> list[str]:
@@ -35,19 +35,16 @@ class _Cache(dict):
 
 
 class WordEncoder:
-    """ids of ``Tokenizer.from_file(path).encode(text, add_special_tokens=False)`` as little-endian unsigned 32-bit bytes.
+    """ids of ``tokenizer.encode(text, add_special_tokens=False)`` as little-endian unsigned 32-bit bytes.
 
     For tokenizers in which no token spans white space and white space itself is dropped, so that a text's ids are those
     of its words in a row. Words are kept in a cache of two generations of ``CACHE_WORDS``.
     """
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
+    def __init__(self, tokenizer):
+        self.tokenizer, self.model = tokenizer, tokenizer.model
         self.chars = _byte_chars()
-        self.cache = _Cache(lambda word: self._word(word.decode()))
+        self.cache = _Cache(self._bytes)
         self.marks: dict[str, bytes] = {}
 
     def _pack(self, ids: list[int]) -> bytes:
@@ -60,6 +57,9 @@ class WordEncoder:
         """Ids of letters or of marks; those of ASCII stand for themselves."""
         return self._pack([t.id for t in self.model.tokenize(piece if piece.isascii() else "".join(map(self.chars.__getitem__, piece.encode())))])
 
+    def _bytes(self, word: bytes) -> bytes:
+        return self._word(word.decode())
+
     def _word(self, word: str) -> bytes:
         m = _SIMPLE.fullmatch(word)
         if not m:
@@ -81,12 +81,20 @@ class WordEncoder:
         data = text.encode() if isinstance(text, str) else text
         return b"".join(map(self.cache.__getitem__, data.split()))  # at the white space that parts words
 
+    def close(self) -> None:
+        """Lets go of the cache."""
+        self.cache.clear()
+        self.cache.old = {}
+        self.marks.clear()
 
-_ENCODERS: dict[str, WordEncoder] = {}
+
+_TOKENIZERS: dict = {}
 
 
 def encoder(path: str) -> WordEncoder:
-    """One encoder for each worker process and path."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    """An encoder whose cache goes with the task that asks for it; the tokenizer is read once for each worker process."""
+    if path not in _TOKENIZERS:
+        from tokenizers import Tokenizer
+
+        _TOKENIZERS[path] = Tokenizer.from_file(path)
+    return WordEncoder(_TOKENIZERS[path])

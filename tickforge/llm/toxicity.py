@@ -15,12 +15,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickforge.llm.common import FOLD, FOLD_BYTES, WORD, bucket_col
+from tickforge.llm.common import FOLD, FOLD_BYTES, WORD, bucket_col, values
 
 #: Bounds of the sample: labelled rows of each class that are used as examples, chosen by a hash of their ids.
 PER_CLASS = 2000
 #: Neighbours that vote, examples of a block of the index, blocks that are read at first, and words that a task remembers.
-NEIGHBOURS, BLOCK, AT_ONCE, CACHE = 25, 256, 2, 300_000
+NEIGHBOURS, BLOCK, AT_ONCE, CACHE = 25, 256, 2, 150_000
 #: What a word that tells nothing about the label weighs besides its inverse document frequency.
 FLOOR = 0.01
 MARKS = ".,!?;:|#$%&*\"'()[]{}<>«»…-"
@@ -32,15 +32,15 @@ def fold(word: str) -> str:
 
 
 class _Words(dict):
-    """Numbers of words (UTF-8, A-Z folded) in a vocabulary, -1 for others; what was looked up is remembered, up to a bound."""
+    """Numbers of words (UTF-8, A-Z folded) in a vocabulary (its words by line), -1 for others; what was looked up is remembered, up to a bound."""
 
-    def __init__(self, vocabulary: dict[str, int]):
-        self.vocabulary = vocabulary
+    def __init__(self, vocabulary: bytes):
+        self.vocabulary = {w: k for k, w in enumerate(vocabulary.split(b"\n"))} if vocabulary else {}
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= CACHE:
             self.clear()
-        k = self[word] = self.vocabulary.get(word.decode().strip(MARKS), -1)
+        k = self[word] = self.vocabulary.get(word.decode().strip(MARKS).encode(), -1)
         return k
 
     def counts(self, text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
@@ -62,7 +62,7 @@ def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
 class Index:
     """Examples with their labels, and the postings of each word: by example, in segments of one block each, with their largest weight."""
 
-    vocabulary: dict[str, int]
+    vocabulary: bytes  # the words, by line
     weight: np.ndarray  # of words
     ids: list
     toxic: np.ndarray
@@ -77,9 +77,9 @@ class Index:
         words, self.example, self.w = words[order], examples[order].astype(np.int32), w[order]
         block = self.example // BLOCK
         start = np.flatnonzero(np.concatenate([[True], (words[1:] != words[:-1]) | (block[1:] != block[:-1])])) if len(words) else np.empty(0, np.int64)
-        self.start, self.size, self.block = start, np.diff(start, append=len(words)), block[start]
+        self.start, self.size, self.block = start.astype(np.int32), np.diff(start, append=len(words)).astype(np.int32), block[start]
         self.most = np.maximum.reduceat(self.w, start) if len(start) else self.w
-        self.first = np.searchsorted(words[start], np.arange(len(self.weight) + 1))  # a word's first segment
+        self.first = np.searchsorted(words[start], np.arange(len(self.weight) + 1)).astype(np.int32)  # a word's first segment
 
     def vector(self, k: np.ndarray, n: np.ndarray) -> np.ndarray:
         w = (1 + np.log(n)) * self.weight[k]
@@ -144,14 +144,14 @@ def telling(a: np.ndarray, b: np.ndarray, n1: int, n0: int) -> np.ndarray:
     return np.maximum(2 * (part(a, of, n1) + part(b, of, n0) + part(n1 - a, absent, n1) + part(n0 - b, absent, n0)), 0)
 
 
-def _frequencies(docs: DataFrame, text_col: str, vocabulary: dict[str, int]) -> tuple[np.ndarray, int]:
+def _frequencies(docs: DataFrame, text_col: str, vocabulary: bytes, size: int) -> tuple[np.ndarray, int]:
     """In how many of all documents each word occurs, and how many documents there are; tasks add up what they read."""
 
     def count(batches):
-        words, df, n = _Words(sent.value), np.zeros(len(sent.value) + 1, np.int64), 0
+        words, df, n = _Words(sent.value), np.zeros(size + 1, np.int64), 0
         for b in batches:
             n += b.num_rows
-            for t in b.column(0).to_pylist():
+            for t in values(b.column(0)):
                 df[words.counts(t)[0]] += 1
         df[-1] = n
         some = np.flatnonzero(df)
@@ -159,7 +159,8 @@ def _frequencies(docs: DataFrame, text_col: str, vocabulary: dict[str, int]) ->
 
     sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
     got = docs.select(F.col(text_col).cast("binary")).mapInArrow(count, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).toArrow()  # a row for each word of the sample
-    df = np.zeros(len(vocabulary) + 1)
+    sent.unpersist()
+    df = np.zeros(size + 1)
     df[got["k"].to_numpy()] = got["n"].to_numpy()
     return df[:-1], int(df[-1])
 
@@ -196,14 +197,15 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, id_col:
 
     got = rows.mapInArrow(words, f"id {kind.simpleString()}, toxic int, words array<string>, n array<int>").toArrow().combine_chunks()  # at most 2 * per_class rows
     ids, toxic = got["id"].to_pylist(), got["toxic"].to_numpy().astype(float)
-    sizes_of = np.array([len(x) for x in got["words"]], np.int64)
-    coded = pa.chunked_array([c.flatten() for c in got["words"].chunks], pa.string()).combine_chunks().dictionary_encode() if len(ids) else pa.array([], pa.string()).dictionary_encode()
-    names, word = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
-    n = np.concatenate([c.flatten().to_numpy() for c in got["n"].chunks]) if len(ids) else np.empty(0)
-    vocabulary = {w: k for k, w in enumerate(names)}
-    df, total = _frequencies(docs, text_col, vocabulary)
+    column = lambda c: got[c].combine_chunks() if len(ids) else pa.array([], got.schema.field(c).type)
+    sizes_of = np.diff(column("words").offsets.to_numpy()) if ids else np.empty(0, np.int64)
+    coded, n = column("words").flatten().dictionary_encode(), column("n").flatten().to_numpy()
+    word, names = coded.indices.to_numpy().astype(np.int32), len(coded.dictionary)
+    vocabulary = b"\n".join(coded.dictionary.cast(pa.binary()).to_pylist())
+    del got, coded
+    df, total = _frequencies(docs, text_col, vocabulary, names)
     n1, n0 = int(toxic.sum()), int((1 - toxic).sum())
-    a, b = (np.bincount(word, np.repeat(x, sizes_of), len(names)) for x in (toxic, 1 - toxic))
+    a, b = (np.bincount(word, np.repeat(x, sizes_of), names) for x in (toxic, 1 - toxic))
     weight = (np.log((1 + total) / (1 + df)) + 1) * (telling(a, b, n1, n0) + FLOOR)
     # examples that share their heaviest word lie together, so that blocks have tight bounds
     ends = np.cumsum(sizes_of)
@@ -212,10 +214,14 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, id_col:
     order = sorted(range(len(ids)), key=lambda i: (-toxic[i], heaviest[i], ids[i]))
     share = np.array([sizes.get(1 if toxic[i] else 0, 1) / (n1 if toxic[i] else n0) for i in order]) * len(ids) / (sum(sizes.values()) or 1)
     index = Index(vocabulary, weight, [ids[i] for i in order], toxic[order] if ids else toxic, share, sizes.get(1, 0) / (sum(sizes.values()) or 1))
-    vectors = [(word[parts[i]], index.vector(word[parts[i]], n[parts[i]])) for i in order]
-    join = lambda x, t: np.concatenate([np.empty(0, t), *x])
-    index.build(join((f for f, _ in vectors), np.int64).astype(np.int64), np.repeat(np.arange(len(ids)), [len(f) for f, _ in vectors] if ids else 0), join((w for _, w in vectors), float))
-    votes = [index.vote(*index.nearest(f, w, NEIGHBOURS, skip=i)) for i, (f, w) in enumerate(vectors)]  # each example judged by the others
+    w = np.empty(len(word))
+    for p in parts:
+        w[p] = index.vector(word[p], n[p])
+    place = np.empty(len(ids), np.int32)
+    place[order] = np.arange(len(ids))
+    index.build(word, np.repeat(place, sizes_of), w)
+    vectors = ((word[parts[i]], w[parts[i]]) for i in order)
+    votes = [index.vote(*index.nearest(f, v, NEIGHBOURS, skip=i)) for i, (f, v) in enumerate(vectors)]  # each example judged by the others
     index.steps, index.scores = _monotone(np.array(votes), index.toxic, index.share) if ids else (np.array([0.0, 1.0]), np.full(2, index.base))
     return index
 
@@ -233,7 +239,7 @@ def score(docs: DataFrame, index: Index, id_col: str = "doc_id", text_col: str =
         i = sent.value
         words = _Words(i.vocabulary)
         for b in batches:
-            got = [i.score(*words.counts(t)) for t in b.column(1).to_pylist()]
+            got = [i.score(*words.counts(t)) for t in values(b.column(1))]
             s = [x for x, _ in got]
             evidence = pa.array([[{"doc_id": d, "cosine": c} for d, c in e] for _, e in got], pa.list_(pa.struct([("doc_id", near), ("cosine", pa.float64())])))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s, pa.float64()), pa.array([int(x >= 0.5) for x in s], pa.int32()), evidence], names=["doc_id", "score", "predicted", "evidence"])
@@ -250,6 +256,6 @@ def reject_toxic(docs: DataFrame, index: Index, text_col: str = "text", threshol
         i = sent.value
         words = _Words(i.vocabulary)
         for b in batches:
-            yield b.filter(pa.array([i.score(*words.counts(t))[0] < threshold for t in b.column(text_col).cast(pa.binary()).to_pylist()], pa.bool_()))
+            yield b.filter(pa.array([i.score(*words.counts(t))[0] < threshold for t in values(b.column(text_col).cast(pa.binary()))], pa.bool_()))
 
     return docs.mapInArrow(keep, T.StructType([T.StructField(f.name, f.dataType, True) for f in docs.schema]))
