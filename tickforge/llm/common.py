@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
 import re
 import tempfile
 import uuid
 import zlib
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +32,19 @@ def values(column, rows: int = 512):
         yield from column.slice(at, rows).to_pylist()
 
 
+def tidied(batches_to_batches):
+    """The function for ``mapInArrow``, after which a worker gives back what it no longer uses: it may serve another operator next."""
+
+    def run(batches):
+        yield from batches_to_batches(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with suppress(OSError, AttributeError):
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return run
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickforge.llm.common import WORD, values
+from tickforge.llm.common import WORD, tidied, values
 from tickforge.llm.hashing import mix, powers
 
 #: Tokens of a window, literal tokens that a window needs, tokens from which on an item has a template, and the share of an item's windows that makes a leak.
@@ -338,7 +338,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, cover: float = COVER, id_c
                 cols = list(zip(*got, strict=True)) or [()] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), b.column(0).type if k == 0 else pa.int64()) for k, c in enumerate(cols)], names=["doc_id", "item_id", "n_windows", "n_found", "n_changed"])
 
-        out = out.unionByName(rows.mapInArrow(judge, f"doc_id {kind}, item_id long, n_windows long, n_found long, n_changed long"))
+        out = out.unionByName(rows.mapInArrow(tidied(judge), f"doc_id {kind}, item_id long, n_windows long, n_found long, n_changed long"))
     return out
 
 
@@ -354,5 +354,5 @@ def drop_leaking(docs: DataFrame, benchmark: DataFrame, cover: float = COVER, te
             for b in batches:
                 yield b.filter(pa.array([not found for found in sent.value.leaks(values(b.column(text_col)), tokens, cover)], pa.bool_()))
 
-        docs = docs.mapInArrow(keep, schema)
+        docs = docs.mapInArrow(tidied(keep), schema)
     return docs

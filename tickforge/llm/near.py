@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickforge.llm.common import Scratch
+from tickforge.llm.common import Scratch, tidied
 from tickforge.llm.graph import components
 from tickforge.llm.hashing import mix, shingle_sets
 
@@ -65,7 +65,7 @@ def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
                 yield pa.RecordBatch.from_arrays([ids.slice(at, 256), ks.slice(at, 256), n, s1, s2, regs], names=["_id", "_k", "_n", "_s1", "_s2", "_regs"])
 
     kind = dict(docs.dtypes)[id_col]
-    return docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t"), F.xxhash64(id_col, text_col).alias("_k")).mapInArrow(rows, f"_id {kind}, _k long, _n long, _s1 long, _s2 long, _regs binary")
+    return docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t"), F.xxhash64(id_col, text_col).alias("_k")).mapInArrow(tidied(rows), f"_id {kind}, _k long, _n long, _s1 long, _s2 long, _regs binary")
 
 
 class _Block:
@@ -140,7 +140,7 @@ def _compare(rows: DataFrame, num: int, den: int) -> DataFrame:
             yield out(links)
 
     ordered = rows.select("_task", "_node", "_group", "_ask", "_set", "_regs").repartition("_task").sortWithinPartitions("_task", "_node")
-    return ordered.mapInArrow(work, "a long, b long")
+    return ordered.mapInArrow(tidied(work), "a long, b long")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
@@ -159,7 +159,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, words:
                 got = pa.RecordBatch.from_arrays([part.column(1), part.column(2), part.column(3), pa.array([s.tobytes() for s in sets], pa.binary())], names=["_node", "_cluster", "_regs", "_set"])
                 yield got.filter(pa.array(same, pa.bool_()))
 
-    return rows.mapInArrow(read, "_node long, _cluster long, _regs binary, _set binary").dropDuplicates(["_node"])
+    return rows.mapInArrow(tidied(read), "_node long, _cluster long, _regs binary, _set binary").dropDuplicates(["_node"])
 
 
 def _components(docs: DataFrame, num: int, den: int, words: int, id_col: str, text_col: str) -> DataFrame:

@@ -75,7 +75,7 @@ WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '')
 SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
   coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-  sum({_FIXED} + 2 * length(role) - length(translate(role, '\|<[', '')) + length(text) + {_ESCAPES})::BIGINT AS formatted_chars
+  sum({_FIXED} + 2 * length(role) - length(translate(role, '\\|<[', '')) + length(text) + {_ESCAPES})::BIGINT AS formatted_chars
 FROM t GROUP BY conv_id
 """
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickforge.llm.common import Scratch, values
+from tickforge.llm.common import Scratch, tidied, values
 
 _LOG = logging.getLogger(__name__)
 CAPACITY, END_ID = 4096, 1
@@ -59,7 +59,7 @@ def cut(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id:
 
     kind = dict(docs.dtypes)[id_col]
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(pieces, schema)
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(tidied(pieces), schema)
 
 
 def price(value: np.ndarray, sizes: np.ndarray, capacity: int) -> np.ndarray:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickforge.llm.common import FOLD, FOLD_BYTES, WORD, bucket_col, values
+from tickforge.llm.common import FOLD, FOLD_BYTES, WORD, bucket_col, tidied, values
 
 #: Bounds of the sample: labelled rows of each class that are used as examples, chosen by a hash of their ids.
 PER_CLASS = 2000
@@ -158,7 +158,7 @@ def _frequencies(docs: DataFrame, text_col: str, vocabulary: bytes, size: int) -
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(df[some])], names=["k", "n"])
 
     sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
-    got = docs.select(F.col(text_col).cast("binary")).mapInArrow(count, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).toArrow()  # a row for each word of the sample
+    got = docs.select(F.col(text_col).cast("binary")).mapInArrow(tidied(count), "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).toArrow()  # a row for each word of the sample
     sent.unpersist()
     df = np.zeros(size + 1)
     df[got["k"].to_numpy()] = got["n"].to_numpy()
@@ -245,7 +245,7 @@ def score(docs: DataFrame, index: Index, id_col: str = "doc_id", text_col: str =
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s, pa.float64()), pa.array([int(x >= 0.5) for x in s], pa.int32()), evidence], names=["doc_id", "score", "predicted", "evidence"])
 
     kind = dict(docs.dtypes)[id_col]
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(judge, f"doc_id {kind}, score double, predicted int, evidence array<struct<doc_id: {'long' if near == pa.int64() else 'string'}, cosine: double>>")
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(tidied(judge), f"doc_id {kind}, score double, predicted int, evidence array<struct<doc_id: {'long' if near == pa.int64() else 'string'}, cosine: double>>")
 
 
 def reject_toxic(docs: DataFrame, index: Index, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
@@ -258,4 +258,4 @@ def reject_toxic(docs: DataFrame, index: Index, text_col: str = "text", threshol
         for b in batches:
             yield b.filter(pa.array([i.score(*words.counts(t))[0] < threshold for t in values(b.column(text_col).cast(pa.binary()))], pa.bool_()))
 
-    return docs.mapInArrow(keep, T.StructType([T.StructField(f.name, f.dataType, True) for f in docs.schema]))
+    return docs.mapInArrow(tidied(keep), T.StructType([T.StructField(f.name, f.dataType, True) for f in docs.schema]))
