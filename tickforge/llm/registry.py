@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickforge.llm import chat, decontamination, lines, lm, near, oracles, packing, quality, repeats, toxicity, urls
+from tickforge.llm import chat, decontamination, lines, lm, manifest, near, oracles, packing, quality, repeats, toxicity, urls
 from tickforge.llm.common import bucket_col, read
 
 
@@ -64,6 +64,17 @@ def op10_hmm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(read(spark, sf_dir, "documents"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = ("doc_id", "source", "lang", "n_chars", "text")
+    text = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.translate("text", "\n", "")).otherwise(F.col("text"))
+    docs = read(spark, sf_dir, "documents").select(*fields)
+    docs = docs.withColumn("tampered", manifest.leaf(*(text if c == "text" else F.col(c) for c in fields)))
+    out = manifest.manifest(docs, fields, keep=["tampered"])
+    out = out.withColumn("folded_root", manifest.fold(F.col("tampered"), F.col("proof")))
+    proof = manifest.digest(manifest.siblings(F.col("proof"))).alias("proof_sha256")
+    return out.select("doc_id", "leaf", "subroot", "root", proof, "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -82,6 +93,7 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_hmm_scoring": op10_hmm_scoring,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLE_SQL = {
@@ -90,4 +102,5 @@ ORACLE_SQL = {
     "op7_setsketch_near_dedup": oracles.OP7,
     "op8_line_dedup": oracles.OP8,
     "op9_quality_rules": oracles.OP9,
+    "op13_merkle_manifest": oracles.OP13,
 }
