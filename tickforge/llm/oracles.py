@@ -142,6 +142,22 @@ c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM documents LEFT JOIN n USING (doc_id) JOIN c USING (doc_id)
 """
 
+_TERMS = "regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+OP11 = f"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, {_TERMS.format("text")} AS w FROM documents),
+q AS (SELECT row_number() OVER () AS q, item_id, list_distinct({_TERMS.format("text")}) AS w FROM benchmark),
+asked AS (SELECT q, item_id, unnest(w) AS term FROM q),
+n AS (SELECT k, doc_id, len(w)::BIGINT AS n FROM d WHERE len(w) > 0),
+stat AS (SELECT count(*)::BIGINT AS N, sum(n)::BIGINT AS L FROM n),
+tf AS (SELECT k, term, count(*)::BIGINT AS tf FROM (SELECT k, unnest(w) AS term FROM d) WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+weights AS (SELECT term, floor(1000 * ln((2 * stat.N + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf, stat GROUP BY term, stat.N),
+impacts AS (SELECT k, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n.n * stat.N) // stat.L))) AS x FROM tf JOIN weights USING (term) JOIN n USING (k), stat),
+scores AS (SELECT q, item_id, k, sum(x)::BIGINT AS score FROM asked JOIN impacts USING (term) GROUP BY ALL),
+best AS (SELECT item_id, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS FIRST)::INTEGER AS rank, doc_id, score FROM scores JOIN n USING (k) WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM best WHERE rank <= 50
+"""
+
 
 def _enc(c: str) -> str:
     return f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')"

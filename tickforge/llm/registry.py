@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickforge.llm import chat, decontamination, lines, lm, manifest, near, oracles, packing, quality, repeats, toxicity, urls
+from tickforge.llm import chat, decontamination, lines, lm, manifest, near, oracles, packing, quality, ranked, repeats, toxicity, urls
 from tickforge.llm.common import bucket_col, read
 
 
@@ -64,6 +64,10 @@ def op10_hmm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(read(spark, sf_dir, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = ("doc_id", "source", "lang", "n_chars", "text")
     text = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.translate("text", "\n", "")).otherwise(F.col("text"))
@@ -93,6 +97,7 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_hmm_scoring": op10_hmm_scoring,
+    "op11_ranked_search": op11_ranked_search,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
@@ -102,5 +107,6 @@ ORACLE_SQL = {
     "op7_setsketch_near_dedup": oracles.OP7,
     "op8_line_dedup": oracles.OP8,
     "op9_quality_rules": oracles.OP9,
+    "op11_ranked_search": oracles.OP11,
     "op13_merkle_manifest": oracles.OP13,
 }
