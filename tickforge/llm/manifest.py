@@ -118,7 +118,7 @@ def manifest(rows: DataFrame, fields: Sequence[str], group_col: str = "source",
     subroots = scratch.table(numbered(subroots, [F.col("_group").asc_nulls_first()], scratch, "subroots"), "groups")
     over = levels(subroots, fanout, scratch, "over")
     root = _roots(subroots, over).first()  # one row
-    last = rows.sparkSession.range(1).select(F.lit(None).cast("string").alias("_g"), F.lit(root["_h"] if root else None).cast("string").alias("_sub"), F.array().cast(PROOF).alias("_proof"))
+    last = scratch.table(rows.sparkSession.range(1).select(F.lit(None).cast("string").alias("_g"), F.lit(root["_h"] if root else None).cast("string").alias("_sub"), F.array().cast(PROOF).alias("_proof")), "last")
     top = scratch.table(proofs(subroots, over, last, fanout).select(F.col("_group").alias("_g"), F.col("_h").alias("_sub"), "_proof"), "top")
     scratch.keep("numbered", "level", "top")
     out = proofs(leaves, above, top, fanout)
