@@ -158,6 +158,15 @@ best AS (SELECT item_id, row_number() OVER (PARTITION BY q ORDER BY score DESC,
 SELECT item_id, rank, doc_id, score FROM best WHERE rank <= 50
 """
 
+OP12 = """
+WITH RECURSIVE v AS (SELECT row_number() OVER () AS k, vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+ok AS MATERIALIZED (SELECT * FROM v WHERE len(e) > 0 AND list_bool_and(list_transform(e, lambda x: x IS NOT NULL AND isfinite(x))) AND list_bool_or(list_transform(e, lambda x: x <> 0))),
+links AS (SELECT a.k AS a, b.k AS b FROM ok AS a JOIN ok AS b ON a.k <> b.k AND len(a.e) = len(b.e) WHERE list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))) >= 0.95),
+reach(k, to_k) AS (SELECT k, k FROM v UNION SELECT k, b FROM reach JOIN links ON to_k = a),
+least AS (SELECT reach.k, first(v.vec_id ORDER BY v.vec_id NULLS FIRST) AS component_id FROM reach JOIN v ON v.k = to_k GROUP BY reach.k)
+SELECT v.vec_id, (SELECT count(*) FROM links WHERE a = v.k)::BIGINT AS n_links, component_id, v.vec_id IS NOT DISTINCT FROM component_id AS kept FROM v JOIN least USING (k)
+"""
+
 
 def _enc(c: str) -> str:
     return f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickforge.llm import chat, decontamination, lines, lm, manifest, near, oracles, packing, quality, ranked, repeats, toxicity, urls
+from tickforge.llm import chat, decontamination, lines, lm, manifest, near, oracles, packing, quality, ranked, repeats, toxicity, urls, vectors
 from tickforge.llm.common import bucket_col, read
 
 
@@ -68,6 +68,10 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op12_rotated_codes_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(read(spark, sf_dir, "embeddings"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = ("doc_id", "source", "lang", "n_chars", "text")
     text = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.translate("text", "\n", "")).otherwise(F.col("text"))
@@ -98,6 +102,7 @@ QUERIES = {
     "op9_quality_rules": op9_quality_rules,
     "op10_hmm_scoring": op10_hmm_scoring,
     "op11_ranked_search": op11_ranked_search,
+    "op12_rotated_codes_dedup": op12_rotated_codes_dedup,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
@@ -108,5 +113,6 @@ ORACLE_SQL = {
     "op8_line_dedup": oracles.OP8,
     "op9_quality_rules": oracles.OP9,
     "op11_ranked_search": oracles.OP11,
+    "op12_rotated_codes_dedup": oracles.OP12,
     "op13_merkle_manifest": oracles.OP13,
 }
