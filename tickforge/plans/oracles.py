@@ -172,6 +172,7 @@ ORACLE_SQL = {
     "session_classify": classify("minute"),
     "session_classify_compat": classify("CASE WHEN minute < 60 THEN minute + 1440 ELSE minute END"),
     "session_counts": f"WITH {TICKS}, {bars('1m')}, {SESS} SELECT symbol, et_date, session, count(*) AS n_bars, sum(volume)::BIGINT AS volume FROM sess GROUP BY ALL",
+    "vwap_running_stream": f"WITH {TICKS}, {bars('1m')}, {SESS}, reg AS (SELECT * FROM sess WHERE session = 'regular' AND ts + INTERVAL 1 MINUTE <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL {q.LATE} FROM events)), {running('reg')} SELECT symbol, et_date, {iso('ts')} AS ts, valid, cum_volume, vwap FROM run",
     "vwap_running": f"WITH {TICKS}, {bars('1m')}, {SESS}, reg AS (SELECT * FROM sess WHERE session = 'regular'), {running('reg')} SELECT symbol, et_date, {iso('ts')} AS ts, valid, cum_volume, vwap FROM run",
     "vwap_session_summary": f"WITH {TICKS}, {bars('1m')}, {SESS}, {SESSIONS} SELECT * FROM sums",
     "latest_bar": f"WITH {TICKS}, {bars('1m')}, {SESS}, {LATEST} SELECT * FROM latest",

@@ -13,7 +13,10 @@ from tickforge.operators import history as h
 from tickforge.operators import present, script, snapshots, summary, vwap
 from tickforge.sources import lists, tables
 from tickforge.sources.tables import table
+from tickforge.streaming import live, sessions
 
+#: How late a tick of a stream may come.
+LATE = "10 minutes"
 SCALE = 2  # prices of the event table have two decimals
 #: What a user asks for: repeated, lower-case, padded and unknown symbols.
 ASKED = ("VIEW", " click ", "NOPE", "VIEW", "error", "SIGNUP", "PURCHASE", "BRK.B")
@@ -62,6 +65,14 @@ def vwap_running(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("symbol", "et_date", x.iso_utc("ts").alias("ts"), "valid", "cum_volume", "vwap")
 
 
+def vwap_running_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as a stream: bars that the watermark has passed, each with its session's VWAP so far."""
+    events = spark.readStream.schema(table(spark, sf_dir, "events").schema).parquet(f"{sf_dir}/events.parquet*")  # a file or a folder
+    stream = sessions.running_vwap(live.minute_bars(tables.as_ticks(events), LATE, event_time=True), SCALE)
+    out = sessions.run_to_table(stream, tables.shared_folder(spark, "vwap-stream"))
+    return out.select("symbol", "et_date", x.iso_utc("ts").alias("ts"), "valid", "cum_volume", "vwap")
+
+
 def vwap_session_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vwap.session_summary(b.with_session(_minute(spark, sf_dir)), SCALE)
 
@@ -414,7 +425,7 @@ def error_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "bars_1m": _bars("1m"), "bars_5m": _bars("5m", finer=True), "bars_15m": _bars("15m"), "bars_1h": _bars("1h", finer=True), "bars_1d": _bars("1d"),
     "session_classify": _classify(False), "session_classify_compat": _classify(True), "session_counts": session_counts,
-    "vwap_running": vwap_running, "vwap_session_summary": vwap_session_summary, "latest_bar": latest_bar,
+    "vwap_running": vwap_running, "vwap_running_stream": vwap_running_stream, "vwap_session_summary": vwap_session_summary, "latest_bar": latest_bar,
     "batch_summary": batch_summary, "batch_summary_missing": _sparse_summary, "returns_pct": returns_pct,
     "history_dedupe": history_dedupe, "history_period_1d": _history("1d", "5m"), "history_period_max": _history("max", "15m"), "history_chunks": history_chunks,
     "history_presets": _preset("all"), "history_csv": history_csv, "history_envelope": history_envelope,
