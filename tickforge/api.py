@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickforge.functions import expr as x
-from tickforge.operators import bars, script, snapshots
+from tickforge.operators import bars, ledger, script, snapshots
 from tickforge.operators import history as h
 from tickforge.operators import summary as s
 from tickforge.sources import lists
@@ -90,14 +90,19 @@ class Engine:
         rows = lists.combined(*(lists.universe(lists.texts(self.spark, self.universes[n])) for n in names))
         return rows.select((F.col("part").cast("long") * (1 << 40) + F.col("pos")).alias("pos"), "symbol")
 
-    def capture(self, kind: str, as_of=None) -> bool:
-        """Append a snapshot of a universe; False if another capture is running."""
+    @property
+    def kept(self) -> ledger.SnapshotStore:
+        if not self.store:
+            raise ValueError("a store is needed")
+        return ledger.SnapshotStore(self.spark, self.store)
+
+    def capture(self, kind: str, as_of=None, batch: str | None = None) -> bool:
+        """Append a snapshot of a universe; False if another capture is running. A ``batch`` that is there already adds nothing."""
         now = self._as_of(as_of)
 
         def run():
-            known = snapshots.store(self.spark, self.store).agg(F.max("id")).first()[0] if self._has_store() else None
             items = s.batch_summary(self.universe(kind), self.quotes, bars.recent_bars(self.ticks, now), now, self.scale)
-            snapshots.capture(items, kind, (known or 0) + 1, now, self.store)
+            self.kept.append(items, kind, now, batch)
 
         return self._guard.run(run)
 
@@ -135,18 +140,21 @@ class Engine:
         """What the timer does: stocks, then funds, one after the other."""
         return [self.capture(kind, as_of) for kind in ("all-stocks", "all-etfs")]
 
-    def _has_store(self) -> bool:
-        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.store)
-        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
-
     def latest_snapshot(self, kind: str) -> DataFrame:
-        return found(snapshots.latest(snapshots.store(self.spark, self.store), kind), "snapshot")
+        entry = found(self.kept.newest(kind), "snapshot")
+        return ledger.row(entry, self.kept.latest(kind))
 
     def get_snapshot(self, snapshot_id: int | str) -> DataFrame:
-        return found(snapshots.by_id(snapshots.store(self.spark, self.store), snapshots.parse_id(str(snapshot_id))), "snapshot")
+        number = snapshots.parse_id(str(snapshot_id))
+        return ledger.row(found(self.kept.entry(number), "snapshot"), self.kept.by_id(number))
+
+    def get_snapshot_json(self, snapshot_id: int | str) -> str:
+        """The response document of a snapshot, with fields of its items that the summary doesn't know."""
+        number = snapshots.parse_id(str(snapshot_id))
+        return ledger.document(found(self.kept.entry(number), "snapshot"), self.kept.by_id(number)).first()["body"]
 
     def list_snapshots(self, kind: str | None = None, limit: int = snapshots.LIST_LIMIT) -> DataFrame:
-        return snapshots.listing(snapshots.store(self.spark, self.store), kind, limit)
+        return self.kept.listing(kind, limit)
 
     def ticker_summary_v2(self, date: str, tickers: str | None = None, file_text: str | None = None) -> DataFrame:
         """The script's 39 columns of the tickers on an Eastern date. The date's bars are found by a range of raw instants."""

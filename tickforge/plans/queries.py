@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tickforge.functions import expr as x
 from tickforge.operators import bars as b
 from tickforge.operators import history as h
-from tickforge.operators import present, script, snapshots, summary, vwap
+from tickforge.operators import ledger, present, script, snapshots, summary, vwap
 from tickforge.sources import lists, tables
 from tickforge.sources.tables import table
 from tickforge.streaming import live, sessions
@@ -294,6 +294,30 @@ def snapshot_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.join(snapshots.items(built), "id").select("id", "type", "trade_date", "symbol_count", "pos", "symbol", "dayClose", "fetchError")
 
 
+def _appended(spark: SparkSession, sf_dir: str) -> ledger.SnapshotStore:
+    """A store with a snapshot of all users, appended twice by a caller that asks again, and one of the symbols asked for."""
+    store = ledger.SnapshotStore(spark, tables.shared_folder(spark, "snapshots"))
+    at = F.lit("2024-02-01 02:00:00").cast("timestamp")
+    users = _sparse_summary(spark, sf_dir)
+    for _ in range(2):
+        store.append(users, "all-stocks", at, "first")
+    store.append(batch_summary(spark, sf_dir), "all-etfs", at, "first")
+    return store
+
+
+def snapshot_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = _appended(spark, sf_dir)
+    counted = store.listing().select("id", "trade_date", "symbol_count")
+    return ledger.summaries(store.items(), ("id", "type", "pos")).join(counted, "id").select("id", "type", "trade_date", "symbol_count", "pos", "symbol", "dayClose", "dayVolume", "latestSession", "regularBarCount", "fetchError")
+
+
+def snapshot_items_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One snapshot of several, its items by the paths that are asked for."""
+    i = _appended(spark, sf_dir).latest("all-stocks")
+    value = lambda n, t: F.variant_get("item", f"$.{n}", t).alias(n)
+    return i.select("id", "pos", value("symbol", "string"), value("latestPrice", "double"), value("vwapDate", "string"), F.schema_of_variant("item").contains("dayClose").alias("has_close"))
+
+
 def snapshot_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = snapshots.envelope(_snapshots(spark, sf_dir))
     f = lambda p: F.get_json_object("body", p)
@@ -431,6 +455,7 @@ QUERIES = {
     "history_presets": _preset("all"), "history_csv": history_csv, "history_envelope": history_envelope,
     "history_preset_minute": _preset("minute"), "history_preset_intraday": _preset("intraday"), "history_csv_text": history_csv_text, "history_preview": history_preview,
     "history_parameters": history_parameters, "vendor_bars": vendor_bars, "batch_envelope": batch_envelope, "snapshot_build": snapshot_build,
+    "snapshot_append": snapshot_append, "snapshot_items_latest": snapshot_items_latest,
     "snapshot_envelope": snapshot_envelope, "snapshot_list_envelope": snapshot_list_envelope, "preview_v2": preview_v2, "script_csv_rows": script_csv_rows,
     "flatten_v2": flatten_v2, "query_parameters": query_parameters, "parsed_bodies": parsed_bodies,
     "stock_info": stock_info, "quote_prev_close": quote_prev_close, "universe_load": universe_load, "universe_combined": universe_combined,
