@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -11,9 +12,9 @@ import pytest
 from tests.llm.helpers import awkward, prose, table
 from tickforge.llm import decontamination as dc
 from tickforge.llm import lm, near, packing, registry, repeats, tokens, toxicity
-from tickforge.llm.common import FOLD_BYTES, WORD, WORD_BYTES, Scratch
+from tickforge.llm.common import FOLD, FOLD_BYTES, WORD, WORD_BYTES, Scratch
 from tickforge.llm.graph import components
-from tickforge.llm.hashing import shingle_sets
+from tickforge.llm.hashing import Key, blocks, shingle_sets, spans, windows, word_hashes
 
 FOLDER = "/root/testdata/sf0.001"
 PATH = registry.tokenizer_path()
@@ -418,7 +419,8 @@ def test_long_text_without_repeats_stays_whole(spark):
 
 
 def brute_near(rows, num):
-    sets = [frozenset(s.tolist()) for s in shingle_sets([t for _, t in rows], 5)]
+    words = [re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(FOLD)) for _, t in rows]
+    sets = [frozenset(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else frozenset() for w in words]
     parent = list(range(len(rows)))
 
     def root(i):
@@ -434,6 +436,47 @@ def brute_near(rows, num):
     return [min(ids[j] for j in range(len(rows)) if root(j) == root(i)) for i in range(len(rows))], [len(s) for s in sets]
 
 
+#: Two texts that a polynomial of one known factor modulo 2^64 takes for the same, and two for any odd factor.
+LIKE = ("mllomlllnlllnmnlmllnnmmmnm", "mnnlmnonmnnnmmlnnoommmmmln")
+MORSE = tuple("".join("ab"[(k.bit_count() + way) % 2] for k in range(1024)) for way in (0, 1))
+
+
+def test_no_hash_is_taken_for_bytes(spark):
+    pad = lambda k, n: "".join(random.Random(k).choice("pqrstuvw") for _ in range(n))
+    for a, b in (LIKE, MORSE):
+        assert len(a) == len(b) and a != b
+        got = near.near_duplicates(table(spark, [(1, a), (2, b)]), 85).collect()
+        assert [(r["doc_id"], r["component_id"], r["kept"]) for r in sorted(got)] == [(1, 1, True), (2, 2, True)]
+    a, b = LIKE
+    rows = [(1, pad(1, 140) + a + pad(2, 134)), (2, pad(1, 140) + b + pad(2, 134)), (3, MORSE[0]), (4, MORSE[1])]
+    got = repeats.remove_repeats(table(spark, rows)).collect()
+    assert sorted((r["doc_id"], bytes(r["kept"]), r["n_spans"]) for r in got) == sorted(brute_repeats(rows, 200, False))
+    assert {r["doc_id"]: r["n_removed"] for r in got if r["doc_id"] < 3} == {1: 0, 2: 0}
+
+
+def test_keyed_hashes():
+    rng = random.Random(33)
+    words = list({"".join(rng.choice("ab\x00é") for _ in range(rng.randint(1, 40))) for _ in range(5000)}) + ["x" * n for n in (511, 512, 513, 3000)] + ["a", "a\x00", "a\x00\x00"]
+    words = list(dict.fromkeys(words))
+    one, two = Key(b"1" * 16), Key(b"2" * 16)
+    h, ptr = word_hashes([" ".join(words), *words], one)
+    assert len(set(h.tolist())) == len(words) and (h[: len(words)] == h[len(words) :]).all() and ptr.tolist() == [0, *range(len(words), 2 * len(words) + 1)]
+    assert not set(h.tolist()) & set(word_hashes(words, two)[0].tolist())
+    data = bytes(rng.choice(b"ab") for _ in range(3000))
+    g = blocks(np.frombuffer(data, np.uint8), one)
+    for n in (8, 12, 40):
+        of: dict = {}
+        for i, x in enumerate(windows(g, n, one).tolist()):
+            assert of.setdefault(data[i : i + n], x) == x
+        assert len(set(of.values())) == len(of)
+    start = np.array([rng.randrange(2000) for _ in range(4000)])
+    end = start + np.array([rng.randint(8, 30) for _ in range(4000)])
+    of = {}
+    for i, j, x in zip(start.tolist(), end.tolist(), spans(g, start, end, one).tolist(), strict=True):
+        assert of.setdefault(data[i:j], x) == x
+    assert len(set(of.values())) == len(of)
+
+
 @pytest.mark.parametrize("block", [1024, 16])
 def test_near_against_brute_force(spark, monkeypatch, block):
     monkeypatch.setattr(near, "BLOCK", block)

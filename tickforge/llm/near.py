@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tickforge.llm.common import Scratch, tidied
 from tickforge.llm.graph import components
-from tickforge.llm.hashing import mix, shingle_sets
+from tickforge.llm.hashing import PLAIN, Key, mix, shingle_sets
 
 WORDS = 5
 #: Registers, rows of a band, base and rate of the exponential spacing, and the largest register.
@@ -50,14 +50,14 @@ def estimate(regs: np.ndarray, n: np.ndarray, hub: np.ndarray, n_hub: int, grid:
     return j[like.argmax(1)]
 
 
-def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
+def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, key: Key = PLAIN) -> DataFrame:
     """_id, _k (hash of id and text), _n (size of the set), _s1, _s2 (digest of the set, null where it is empty) and _regs, a row per row."""
 
     def rows(batches):
         for b in batches:
             ids, texts, ks = b.column(0), b.column(1), b.column(2)
             for at in range(0, len(ids), 256):
-                sets = shingle_sets(texts.slice(at, 256).to_pylist(), words)
+                sets = shingle_sets(texts.slice(at, 256).to_pylist(), words, key)
                 d = [np.frombuffer(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), "<i8") if len(s) else (None, None) for s in sets]
                 n = pa.array([len(s) for s in sets], pa.int64())
                 s1, s2 = (pa.array([None if x[k] is None else int(x[k]) for x in d], pa.int64()) for k in (0, 1))
@@ -143,7 +143,7 @@ def _compare(rows: DataFrame, num: int, den: int) -> DataFrame:
     return ordered.mapInArrow(tidied(work), "a long, b long")
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
+def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, words: int, key: Key) -> DataFrame:
     """``wanted`` (_node, _id, _k, _s1, _s2, _regs, _cluster) with _set, the sorted shingles of the class, from the text of one of its rows."""
     rows = docs.select(F.col(id_col).alias("_d"), F.xxhash64(id_col, text_col).alias("_dk"), F.col(text_col).alias("_t"))
     rows = rows.join(wanted, F.col("_d").eqNullSafe(F.col("_id")) & (F.col("_dk") == F.col("_k"))).select("_t", "_node", "_cluster", "_regs", "_s1", "_s2")
@@ -152,7 +152,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, words:
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
-                sets = shingle_sets(part.column(0).to_pylist(), words)
+                sets = shingle_sets(part.column(0).to_pylist(), words, key)
                 # two texts of one id may share their 64-bit hash
                 digests = zip(part.column(4).to_pylist(), part.column(5).to_pylist(), strict=True)
                 same = [len(s) > 0 and tuple(np.frombuffer(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), "<i8").tolist()) == d for s, d in zip(sets, digests, strict=True)]
@@ -165,8 +165,8 @@ def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, words:
 def _components(docs: DataFrame, num: int, den: int, words: int, id_col: str, text_col: str) -> DataFrame:
     """_id, _k, _n and component_id, a row per row of ``docs``."""
     spark = docs.sparkSession
-    scratch = Scratch(spark, "near")
-    rows = scratch.table(sketch(docs, id_col, text_col, words), "sketches")
+    scratch, key = Scratch(spark, "near"), Key()
+    rows = scratch.table(sketch(docs, id_col, text_col, words, key), "sketches")
     classes = rows.filter("_s1 IS NOT NULL").groupBy("_s1", "_s2").agg(F.min_by(F.struct("_id", "_k", "_regs"), F.struct(F.col("_id").isNotNull(), "_id", "_k")).alias("_x"))
     # a class is known by its number, which the written table keeps; xxhash64 maps no two longs to one, and what it gives
     # doesn't shrink when it is written, so that sizes of files tell what a broadcast would take
@@ -178,7 +178,7 @@ def _components(docs: DataFrame, num: int, den: int, words: int, id_col: str, te
     cluster = scratch.table(components(hung, scratch, "clusters").select(F.col("node").alias("_node"), F.col("component").alias("_cluster")), "clusters")
     scratch.drop("clusters-0")
     wanted = classes.join(cluster, "_node")
-    sets = scratch.table(_sets(docs, wanted, id_col, text_col, words), "sets")
+    sets = scratch.table(_sets(docs, wanted, id_col, text_col, words, key), "sets")
     sizes = sets.groupBy("_cluster").agg(F.count("*").alias("_size"))
     sets = sets.join(sizes, "_cluster")
     whole = sets.filter(f"_size <= {BLOCK}").select(F.xxhash64("_cluster").alias("_task"), "_node", F.col("_node").alias("_group"), F.lit(True).alias("_ask"), "_set", "_regs", "_cluster")

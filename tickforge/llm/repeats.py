@@ -15,11 +15,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickforge.llm.common import Scratch
-from tickforge.llm.hashing import mix, prefix, spans
+from tickforge.llm.hashing import PLAIN, Key, blocks, spans, windows
 
 LENGTH, GRAM = 200, 40
 #: Bytes that are hashed at once, contexts that are sorted at once (a group may make it twice as many), and contexts of a group that a task holds.
@@ -39,19 +39,19 @@ def _least(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(left[:n], right[w - 1 : w - 1 + n])
 
 
-def anchors(b: np.ndarray, docs: np.ndarray, windows: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
+def anchors(b: np.ndarray, docs: np.ndarray, ranges: np.ndarray, length: int, gram: int, key: Key = PLAIN) -> tuple[np.ndarray, ...]:
     """Document number, place, hash and context hash of the anchors, and how far before them their first and last string begin.
 
-    ``docs``: where documents begin and end in b; ``windows``: ranges in which strings may begin, apart from each other.
+    ``docs``: where documents begin and end in b; ``ranges``: those in which strings may begin, apart from each other.
     """
     if len(b) < length:
         return tuple(np.empty(0, t) for t in (np.int64, np.int64, np.uint64, np.uint64, np.int64, np.int64))
-    p, at = prefix(b), np.arange(len(b) - gram + 1)
-    h = spans(p, at, at + gram)
+    g, at = blocks(b, key), np.arange(len(b) - gram + 1)
+    h = windows(g, gram, key)
     least = _least((h & ~_AT) | at.astype(np.uint64), length - gram + 1)
     a = (least & _AT).astype(np.int64)
     ok = np.zeros(len(a) + 1, np.int64)
-    lo, hi = np.clip(windows[:, 0], 0, len(a)), np.clip(windows[:, 1], 0, len(a))
+    lo, hi = np.clip(ranges[:, 0], 0, len(a)), np.clip(ranges[:, 1], 0, len(a))
     np.add.at(ok, lo[hi > lo], 1)
     np.add.at(ok, hi[hi > lo], -1)
     ok = np.concatenate([[False], np.cumsum(ok)[:-1] > 0, [False]])
@@ -60,11 +60,11 @@ def anchors(b: np.ndarray, docs: np.ndarray, windows: np.ndarray, length: int, g
     first = np.flatnonzero(ok[1:-1] & (new[:-1] | ~ok[:-2]))
     last = np.flatnonzero(ok[1:-1] & (new[1:] | ~ok[2:]))
     a = a[first]
-    c = mix(spans(p, first, last + length) + (a - first).astype(np.uint64))
+    c = key.turn(spans(g, first, last + length, key) + (a - first).astype(np.uint64))
     return np.searchsorted(docs[:, 0], a, "right") - 1, a, h[a], c, a - first, a - last
 
 
-def text_anchors(texts: list[bytes], length: int = LENGTH, gram: int = GRAM):
+def text_anchors(texts: list[bytes], length: int = LENGTH, gram: int = GRAM, key: Key = PLAIN):
     """Blocks (text number, place, hash, context hash, reach of the first and the last string) of whole texts; long texts in parts."""
     group, size = [], 0
 
@@ -72,7 +72,7 @@ def text_anchors(texts: list[bytes], length: int = LENGTH, gram: int = GRAM):
         ends = np.cumsum([len(texts[i]) for i in group])
         docs = np.stack([ends - [len(texts[i]) for i in group], ends], 1)
         b = np.frombuffer(b"".join(texts[i] for i in group), np.uint8)
-        d, a, *rest = anchors(b, docs, np.stack([docs[:, 0], docs[:, 1] - length + 1], 1), length, gram)
+        d, a, *rest = anchors(b, docs, np.stack([docs[:, 0], docs[:, 1] - length + 1], 1), length, gram, key)
         return np.array(group)[d], a - docs[d, 0], *rest
 
     for i, t in enumerate(texts):
@@ -82,7 +82,7 @@ def text_anchors(texts: list[bytes], length: int = LENGTH, gram: int = GRAM):
             s, n = 0, len(t) - length + 1
             while s < n:
                 b = np.frombuffer(t[s : s + CHUNK + length], np.uint8)
-                _, a, *rest = got = anchors(b, np.array([[0, len(b)]]), np.array([[0, min(CHUNK, n - s)]]), length, gram)
+                _, a, *rest = got = anchors(b, np.array([[0, len(b)]]), np.array([[0, min(CHUNK, n - s)]]), length, gram, key)
                 if s + CHUNK < n:  # strings of the last anchor may go on
                     _, a, *rest = (x[:-1] for x in got)
                     yield np.full(len(a), i), a + s, *rest
@@ -221,14 +221,14 @@ def cover(flags: np.ndarray, length: int) -> list[int]:
     return np.stack([p[np.concatenate([[0], cut + 1])], p[np.concatenate([cut, [len(p) - 1]])] + length], 1).ravel().tolist()
 
 
-def _occurrences(docs: DataFrame, length: int, gram: int) -> DataFrame:
+def _occurrences(docs: DataFrame, length: int, gram: int, key: Key) -> DataFrame:
     """_id, _k, _a, _h, _c, _most, _least: the anchors of all rows."""
 
     def rows(batches):
         names = ["_id", "_k", "_a", "_h", "_c", "_most", "_least"]
         for b in batches:
             ids, ks = b.column(0), b.column(1)
-            for i, a, h, c, most, least in text_anchors(b.column(2).to_pylist(), length, gram):
+            for i, a, h, c, most, least in text_anchors(b.column(2).to_pylist(), length, gram, key):
                 i = pa.array(i)
                 yield pa.RecordBatch.from_arrays([ids.take(i), ks.take(i), *(pa.array(x.astype(np.int32)) for x in (a,)), pa.array(h.view(np.int64)), pa.array(c.view(np.int64)), pa.array(most.astype(np.int16)), pa.array(least.astype(np.int16))], names=names)
 
@@ -304,7 +304,13 @@ def _large(groups: DataFrame, most: int) -> DataFrame | None:
     return None if out.isEmpty() else out
 
 
-def _halves(contexts: DataFrame, length: int) -> DataFrame:
+def _digest(key: Key, *parts) -> Column:
+    """A keyed 64-bit digest of numbers and bytes; ``parts`` must tell where each of them ends."""
+    data = F.concat(F.lit(bytearray(key.seed)), *(p if kind == "bytes" else F.concat(F.encode(p.cast("string"), "utf-8"), F.lit(bytearray(b"|"))) for kind, p in parts))
+    return F.conv(F.substring(F.sha2(data, 256), 1, 16), 16, -10).cast("long")
+
+
+def _halves(contexts: DataFrame, length: int, key: Key) -> DataFrame:
     """Contexts with those of their strings that begin in a half of _lo to _hi; of a half, _g2 tells what all its strings have in common, _c2 all of it."""
     mid = "(_lo + _hi) div 2"
     rows = contexts.withColumn("_part", F.expr(f"explode(array(struct(_lo, {mid} as _hi), struct({mid} + 1 as _lo, _hi)))"))
@@ -312,11 +318,13 @@ def _halves(contexts: DataFrame, length: int) -> DataFrame:
     rows = rows.withColumns({"_lo": F.expr("cast(_part._lo as int)"), "_hi": F.expr("cast(_part._hi as int)")})
     rows = rows.withColumns({"_most": F.expr("cast(least(_most, _hi) as short)"), "_least": F.expr("cast(greatest(_least, _lo) as short)")})
     rows = rows.withColumns({"_left": F.expr("substring(_left, 1, _most)"), "_right": F.expr(f"substring(_right, 1, {length} - _least)")})
-    core = F.expr(f"xxhash64(_g, _lo, _hi, substring(_left, 1, _lo), substring(_right, 1, {length} - _hi))")
-    return rows.withColumns({"_g2": core, "_c2": F.xxhash64("_most", "_least", "_left", "_right")}).drop("_part")
+    # the lengths of the byte parts follow from the numbers
+    core = _digest(key, *(("number", F.col(c)) for c in ("_g", "_lo", "_hi")), ("bytes", F.expr("substring(_left, 1, _lo)")), ("bytes", F.expr(f"substring(_right, 1, {length} - _hi)")))
+    whole = _digest(key, ("number", F.col("_most")), ("number", F.col("_least")), ("bytes", F.col("_left")), ("bytes", F.col("_right")))
+    return rows.withColumns({"_g2": core, "_c2": whole}).drop("_part")
 
 
-def _factors(contexts: DataFrame, large: DataFrame | None, scratch: Scratch, length: int, gram: int, group: int, depth: int = 0) -> DataFrame:
+def _factors(contexts: DataFrame, large: DataFrame | None, scratch: Scratch, length: int, gram: int, group: int, key: Key, depth: int = 0) -> DataFrame:
     """The same for all contexts, ``large`` (_g) being groups that no task may hold: these are split by halves until they are small.
 
     Halves of contexts that are equal are one, so that a passage in very many rows is a single context wherever its own
@@ -327,12 +335,12 @@ def _factors(contexts: DataFrame, large: DataFrame | None, scratch: Scratch, len
     found = _sorted_factors(contexts.join(large, "_g", "left_anti"), length, gram)
     if not depth:
         contexts = contexts.withColumns({"_lo": F.lit(0), "_hi": F.lit(length - gram)})
-    halves = _halves(contexts.join(large, "_g", "left_semi"), length).withColumn("_place", F.struct(F.col("_id").isNotNull(), "_id", "_k", "_a"))
+    halves = _halves(contexts.join(large, "_g", "left_semi"), length, key).withColumn("_place", F.struct(F.col("_id").isNotNull(), "_id", "_k", "_a"))
     halves = scratch.table(halves, f"halves-{depth}")
     same = [F.any_value(c).alias(c) for c in ("_most", "_least", "_lo", "_hi", "_left", "_right")]
     same = halves.groupBy("_g2", "_c2").agg(F.sum("_n").alias("_n"), F.min("_place").alias("_first"), *same).withColumnsRenamed({"_g2": "_g", "_c2": "_c"})
     same = scratch.table(same.withColumns({c: F.col(f"_first.{c}") for c in ("_id", "_k", "_a")}), f"parts-{depth}")
-    judged = _factors(same, _large(same, group), scratch, length, gram, group, depth + 1)
+    judged = _factors(same, _large(same, group), scratch, length, gram, group, key, depth + 1)
     judged = same.select("_g", "_c", F.col("_n").alias("_times"), "_first").join(judged, ["_g", "_c"], "left").withColumnsRenamed({"_g": "_g2", "_c": "_c2"})
     whole = F.array(-F.col("_most").cast("int"), F.lit(length) - F.col("_least").cast("int"))
     out = halves.select("_g", "_c", "_g2", "_c2", "_place", "_most", "_least", "_n").join(judged, ["_g2", "_c2"])
@@ -343,7 +351,10 @@ def _factors(contexts: DataFrame, large: DataFrame | None, scratch: Scratch, len
 
 def find_repeats(docs: DataFrame, scratch: Scratch, length: int = LENGTH, gram: int = GRAM, keep_first: bool = False, group: int = GROUP) -> DataFrame:
     """_id, _k and _spans (begins and ends, in turn) of what is repeated in each row of docs (_id, _k, _t)."""
-    found = scratch.table(_occurrences(docs, length, gram), "anchors")
+    if gram < 8 or gram > length:
+        raise ValueError("anchors have 8 bytes at least, and no more than the strings")
+    key = Key()
+    found = scratch.table(_occurrences(docs, length, gram, key), "anchors")
     again = found.groupBy("_h").agg(F.count("*").alias("_m"), F.min("_c").alias("_lo"), F.max("_c").alias("_hi")).filter("_m > 1").select("_h", (F.col("_lo") != F.col("_hi")).alias("_mixed"))
     again = scratch.table(again, "again")  # joins of written tables can be split where an anchor has very many places
     found = scratch.table(found.join(again, "_h"), "repeated")
@@ -358,7 +369,7 @@ def find_repeats(docs: DataFrame, scratch: Scratch, length: int = LENGTH, gram:
     large = _large(mixed, group)
     contexts = _contexts(docs, mixed, length)
     contexts = contexts if large is None else scratch.table(contexts.dropDuplicates(["_g", "_c"]), "contexts")
-    parts = scratch.table(_factors(contexts, large, scratch, length, gram, group), "factors").withColumnRenamed("_g", "_h")
+    parts = scratch.table(_factors(contexts, large, scratch, length, gram, group, key), "factors").withColumnRenamed("_g", "_h")
     whole, none = F.array(-F.col("_most").cast("int"), F.lit(length) - F.col("_least").cast("int")), F.array().cast("array<int>")
     some = F.coalesce("_earlier", none) if keep_first else F.concat(F.coalesce("_earlier", none), F.coalesce("_later", none))
     judged = classes.join(parts, ["_h", "_c"], "left").select("_h", "_c", "_n", "_at", whole.alias("_whole"), some.alias("_some")).filter("_n > 1 OR size(_some) > 0")
