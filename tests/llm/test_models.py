@@ -12,7 +12,7 @@ import pytest
 from tests.llm.helpers import awkward, prose, table
 from tickforge.llm import decontamination as dc
 from tickforge.llm import lm, near, packing, registry, repeats, tokens, toxicity
-from tickforge.llm.common import FOLD, FOLD_BYTES, WORD, WORD_BYTES, Scratch
+from tickforge.llm.common import FOLD, FOLD_BYTES, WORD, WORD_BYTES, Scratch, slices
 from tickforge.llm.graph import components
 from tickforge.llm.hashing import Key, blocks, shingle_sets, spans, windows, word_hashes
 
@@ -477,9 +477,20 @@ def test_keyed_hashes():
     assert len(set(of.values())) == len(of)
 
 
-@pytest.mark.parametrize("block", [1024, 16])
-def test_near_against_brute_force(spark, monkeypatch, block):
+def test_slices_are_bounded():
+    import pyarrow as pa
+
+    column = pa.array(["x" * n if n >= 0 else None for n in [5, 0, -1, 3, 900, 2, 2, 2, 2, 400, 400, 300]])
+    got = list(slices(column, 3, 1000))
+    assert [column.slice(a, z - a).to_pylist() for a, z in got] and got[0] == (0, 3) and [z for _, z in got[:-1]] == [a for a, _ in got[1:]] and got[-1][1] == len(column)
+    assert all(z - a <= 3 and (z - a == 1 or sum(len(t or "") for t in column.slice(a, z - a).to_pylist()) <= 1000) for a, z in got)
+    assert list(slices(column[:0])) == [] and list(slices(pa.chunked_array([column]).combine_chunks(), 100, 1)) == [(0, 1), *list(slices(column, 100, 1))[1:]]
+
+
+@pytest.mark.parametrize(("block", "size"), [(1024, 16 << 20), (16, 16 << 20), (1024, 20_000)])
+def test_near_against_brute_force(spark, monkeypatch, block, size):
     monkeypatch.setattr(near, "BLOCK", block)
+    monkeypatch.setattr(near, "BYTES", size)
     monkeypatch.setattr(near, "HUBS", 3)
     rng = random.Random(8)
     base = prose(rng, 150).split(" ")

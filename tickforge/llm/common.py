@@ -11,7 +11,9 @@ import uuid
 import zlib
 from contextlib import contextmanager, suppress
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +34,17 @@ def values(column, rows: int = 512):
         yield from column.slice(at, rows).to_pylist()
 
 
+def slices(column, rows: int = 256, size: int = 4 << 20):
+    """Places (from, to) that cut an Arrow column of texts in pieces of so many rows and bytes at most, or of one row."""
+    ends = np.cumsum(pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(column):
+        to = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, "right"))
+        to = min(max(to, at + 1), at + rows, len(column))
+        yield at, to
+        at = to
+
+
 def tidied(batches_to_batches):
     """The function for ``mapInArrow``, after which a worker gives back what it no longer uses: it may serve another operator next."""
 

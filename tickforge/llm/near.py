@@ -16,15 +16,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickforge.llm.common import Scratch, tidied
+from tickforge.llm.common import Scratch, slices, tidied
 from tickforge.llm.graph import components
 from tickforge.llm.hashing import PLAIN, Key, mix, shingle_sets
 
 WORDS = 5
 #: Registers, rows of a band, base and rate of the exponential spacing, and the largest register.
 REGISTERS, ROWS, BASE, RATE, TOP = 96, 4, 1.001, 20.0, 65534
-#: Classes in a block, hubs of a large cluster, and how many deviations below the threshold an estimate may lie.
-BLOCK, HUBS, SLACK = 1024, 32, 6.0
+#: Classes in a block and bytes of their sets, hubs of a large cluster, and how many deviations below the threshold an estimate may lie.
+BLOCK, BYTES, HUBS, SLACK = 1024, 16 << 20, 32, 6.0
 _FACTORS = mix(np.arange(1, REGISTERS + 1, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -56,13 +56,13 @@ def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
     def rows(batches):
         for b in batches:
             ids, texts, ks = b.column(0), b.column(1), b.column(2)
-            for at in range(0, len(ids), 256):
-                sets = shingle_sets(texts.slice(at, 256).to_pylist(), words, key)
+            for at, to in slices(texts):
+                sets = shingle_sets(texts.slice(at, to - at).to_pylist(), words, key)
                 d = [np.frombuffer(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), "<i8") if len(s) else (None, None) for s in sets]
                 n = pa.array([len(s) for s in sets], pa.int64())
                 s1, s2 = (pa.array([None if x[k] is None else int(x[k]) for x in d], pa.int64()) for k in (0, 1))
                 regs = pa.array([registers(s).tobytes() if len(s) else None for s in sets], pa.binary())
-                yield pa.RecordBatch.from_arrays([ids.slice(at, 256), ks.slice(at, 256), n, s1, s2, regs], names=["_id", "_k", "_n", "_s1", "_s2", "_regs"])
+                yield pa.RecordBatch.from_arrays([ids.slice(at, to - at), ks.slice(at, to - at), n, s1, s2, regs], names=["_id", "_k", "_n", "_s1", "_s2", "_regs"])
 
     kind = dict(docs.dtypes)[id_col]
     return docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t"), F.xxhash64(id_col, text_col).alias("_k")).mapInArrow(tidied(rows), f"_id {kind}, _k long, _n long, _s1 long, _s2 long, _regs binary")
@@ -130,12 +130,14 @@ def _compare(rows: DataFrame, num: int, den: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
         for batch in batches:
-            for t, *row in zip(*(batch.column(k).to_pylist() for k in range(6)), strict=True):
-                if t != task:
-                    if links := done():
-                        yield out(links)
-                    task, held = t, []
-                held.append(row)
+            for a in range(0, batch.num_rows, 256):  # no batch of sets stands in memory twice
+                part = batch.slice(a, 256)
+                for t, *row in zip(*(part.column(k).to_pylist() for k in range(6)), strict=True):
+                    if t != task:
+                        if links := done():
+                            yield out(links)
+                        task, held = t, []
+                    held.append(row)
         if links := done():
             yield out(links)
 
@@ -150,8 +152,8 @@ def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, words:
 
     def read(batches):
         for b in batches:
-            for at in range(0, b.num_rows, 256):
-                part = b.slice(at, 256)
+            for at, to in slices(b.column(0)):
+                part = b.slice(at, to - at)
                 sets = shingle_sets(part.column(0).to_pylist(), words, key)
                 # two texts of one id may share their 64-bit hash
                 digests = zip(part.column(4).to_pylist(), part.column(5).to_pylist(), strict=True)
@@ -179,11 +181,13 @@ def _components(docs: DataFrame, num: int, den: int, words: int, id_col: str, te
     scratch.drop("clusters-0")
     wanted = classes.join(cluster, "_node")
     sets = scratch.table(_sets(docs, wanted, id_col, text_col, words, key), "sets")
-    sizes = sets.groupBy("_cluster").agg(F.count("*").alias("_size"))
-    sets = sets.join(sizes, "_cluster")
-    whole = sets.filter(f"_size <= {BLOCK}").select(F.xxhash64("_cluster").alias("_task"), "_node", F.col("_node").alias("_group"), F.lit(True).alias("_ask"), "_set", "_regs", "_cluster")
+    # a block is bounded by the bytes of its sets too: those of long texts take a hundred times what others do
+    sizes = sets.groupBy("_cluster").agg(F.count("*").alias("_size"), F.sum(F.octet_length("_set")).alias("_all"))
+    sets = sets.join(sizes, "_cluster").withColumn("_blocks", F.when((F.col("_size") <= BLOCK) & (F.col("_all") <= BYTES), 1).otherwise(F.ceil(F.greatest(F.col("_size") / (BLOCK // 2), F.col("_all") / (BYTES // 2)))))
+    sets = sets.withColumn("_blocks", F.least("_blocks", "_size")).drop("_all")
+    whole = sets.filter("_blocks = 1").select(F.xxhash64("_cluster").alias("_task"), "_node", F.col("_node").alias("_group"), F.lit(True).alias("_ask"), "_set", "_regs", "_cluster")
     # large clusters: blocks by a hash, each with the same few hubs
-    large = sets.filter(f"_size > {BLOCK}").withColumn("_blocks", F.ceil(F.col("_size") / (BLOCK // 2)))
+    large = sets.filter("_blocks > 1")
     block = F.pmod(F.xxhash64("_node", F.lit(1)), F.col("_blocks"))
     hubs = _hubs(large)
     marked = large.join(hubs, ["_cluster", "_node"], "left").withColumn("_hub", F.coalesce("_hub", F.lit(False)))
@@ -198,7 +202,8 @@ def _components(docs: DataFrame, num: int, den: int, words: int, id_col: str, te
         counts = members.groupBy("_cluster", "_group").agg(F.count("*").alias("_c"))
         main = counts.groupBy("_cluster").agg(F.max_by("_group", F.struct("_c", "_group")).alias("_main"))
         members = members.join(main, "_cluster").withColumn("_ask", F.col("_group") != F.col("_main"))
-        asking = members.groupBy("_cluster").agg(F.count_if("_ask").alias("_asking")).filter("_asking > 0").select("_cluster", F.ceil(F.col("_asking") / (BLOCK // 2)).alias("_asks"))
+        asking = members.groupBy("_cluster").agg(F.count_if("_ask").alias("_asking"), F.sum(F.when(F.col("_ask"), F.octet_length("_set"))).alias("_bytes")).filter("_asking > 0")
+        asking = asking.select("_cluster", F.least("_asking", F.ceil(F.greatest(F.col("_asking") / (BLOCK // 2), F.col("_bytes") / (BYTES // 2)))).alias("_asks"))
         members = members.join(asking, "_cluster")
         mine = F.pmod(F.xxhash64("_node", F.lit(2)), F.col("_asks"))
         to = lambda i, k, ask: F.struct(F.xxhash64("_cluster", i, k, F.lit(3)).alias("_task"), ask.alias("_ask"))
