@@ -23,6 +23,13 @@ def since(period: str, interval: str, as_of: Column) -> Column:
     return as_of - F.make_interval(days=F.lit(days))
 
 
+def lookback(period: Column, interval: Column) -> Column:
+    """Days that a history of these parameters goes back, null where they can't be taken."""
+    days = F.create_map(*(F.lit(v) for i in INTERVALS for v in (i, b.CHUNK_DAYS[i][1])))
+    known = interval.isin(*INTERVALS)
+    return F.when((period == "1d") & known, F.lit(1)).when((period == "max") & known, F.try_element_at(days, interval))
+
+
 def history(ticks: DataFrame, symbols: list[str], period: str, interval: str, as_of: Column) -> DataFrame:
     """Bars of the symbols in the range, first of each instant, with period and interval. Unknown symbols have no rows.
 
@@ -61,7 +68,11 @@ def csv_text(blocks: DataFrame) -> DataFrame:
 
 
 def preview(h: DataFrame, n: int = 5) -> DataFrame:
-    """The first ``n`` rows of each symbol, period and interval, by time, and how many more there are. Partial aggregates hold ``n`` rows."""
-    key = ("symbol", "period", "interval")
-    first = Window.partitionBy(*key).orderBy("ts")
-    return h.withColumn("_k", F.row_number().over(first)).withColumn("n_more", F.greatest(F.count("*").over(Window.partitionBy(*key)) - n, F.lit(0))).filter(F.col("_k") <= n).drop("_k")
+    """The first ``n`` rows of each symbol, period and interval, by time, and how many more there are.
+
+    Ranks are cut to ``n`` before they are shuffled, and counts are added up from partial ones, so that no task holds a history.
+    """
+    key = ["symbol", "period", "interval"]
+    counts = h.groupBy(*key).agg(F.count("*").alias("_n"))
+    first = h.withColumn("_k", F.row_number().over(Window.partitionBy(*key).orderBy("ts"))).filter(F.col("_k") <= n).drop("_k")
+    return first.join(counts, key).withColumn("n_more", F.greatest(F.col("_n") - n, F.lit(0))).drop("_n")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tickforge.plans import queries as q
+from tickforge.sources.lists import BAD_REQUEST
 
 
 def _s(text: str) -> str:
@@ -119,20 +120,23 @@ def hist_query(symbols: str, *parts: tuple[str, str, int]) -> str:
 
 HIST_COLS = f"""SELECT symbol, period, "interval", {iso('ts')} AS ts, open, high, low, close, volume FROM hist"""
 CSV = hist_query("'VIEW', 'ERROR'", ("1d", "15m", 1))
-UNIVERSE = """SELECT pos, symbol FROM (SELECT i - 1 AS pos, upper(trim(string_split(l, ',')[1], {b})) AS symbol, i > min(CASE WHEN starts_with(l, 'Ticker') THEN i END) OVER () AS after
-  FROM (SELECT generate_subscripts(a, 1) AS i, unnest(a) AS l FROM (SELECT regexp_split_to_array({t}, '\\r?\\n') AS a))) WHERE after AND regexp_matches(symbol, '^[A-Z0-9.]+$')"""
+UNIVERSE = """SELECT pos, symbol FROM (SELECT pos, upper(trim(string_split(l, ',')[1], {b})) AS symbol, pos > min(CASE WHEN starts_with(l, 'Ticker') THEN pos END) OVER () AS after
+  FROM (SELECT row_number() OVER (ORDER BY k) - 1 AS pos, CASE WHEN k % 40 = 7 THEN 'Ticker,Name' ELSE CASE k % 5 WHEN 0 THEN '"Q' || k || '"' WHEN 1 THEN ' c' || k WHEN 2 THEN 'B.' || k WHEN 3 THEN 'X-' || k ELSE 'T' || (k % 50) || ' ' END || ',' || more END AS l
+    FROM (SELECT {key} AS k, {more} AS more FROM {table}))) WHERE after AND regexp_matches(symbol, '^[A-Z0-9.]+$')"""
+CUSTOMERS, SUPPLIERS = (UNIVERSE.format(b=BLANKS, key=k, more=m, table=t) for t, k, m in (("customer", "c_custkey", "c_mktsegment"), ("supplier", "s_suppkey", "s_name")))
 BLOCK, SYMBOL = r"""["'']([^"'']+)["'']\s*:\s*\[([^\]]*)\]""", r"""["'']([A-Za-z0-9.^-]{1,10})["'']|([A-Z]{1,10})"""
 
 
 def categories(text: str) -> str:
-    return f"""blocks AS (SELECT generate_subscripts(n, 1) - 1 AS spot, unnest(n) AS n, unnest(i) AS i FROM (SELECT regexp_extract_all(t, '{BLOCK}', 1) AS n, regexp_extract_all(t, '{BLOCK}', 2) AS i FROM ({text}))),
+    return f"""blocks AS (SELECT id * 4294967296::BIGINT + generate_subscripts(n, 1) - 1 AS spot, unnest(n) AS n, unnest(i) AS i FROM (SELECT id, regexp_extract_all(t, '{BLOCK}', 1) AS n, regexp_extract_all(t, '{BLOCK}', 2) AS i FROM ({text}))),
 lists AS (SELECT spot, trim(n, {BLANKS}) AS category, [upper(translate(s, '"''', '')) FOR s IN regexp_extract_all(i, '{SYMBOL}', 0)] AS symbols FROM blocks),
 cats AS (SELECT cat_pos, category, generate_subscripts(symbols, 1) - 1 AS sym_pos, unnest(symbols) AS symbol FROM (SELECT category, min(spot) AS cat_pos, arg_max(symbols, spot) AS symbols FROM lists WHERE len(symbols) > 0 GROUP BY category))"""
 
 
-LITERAL = categories(f"SELECT {_s(q.CATEGORY_TEXT)} AS t")
-REGIONS = """SELECT string_agg('"' || r_name || '": [' || inner_ || ']', ',' || chr(10) ORDER BY r_regionkey) AS t FROM (SELECT r_regionkey, r_name, string_agg('"' || replace(n_name, '_', '-') || '"', ', ' ORDER BY n_nationkey) AS inner_
-  FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY ALL)"""
+LITERAL = categories(f"SELECT 0 AS id, {_s(q.CATEGORY_TEXT)} AS t")
+REGIONS = """SELECT r_regionkey AS id, '"' || r_name || '": [' || string_agg('"' || replace(n_name, '_', '-') || '"', ', ' ORDER BY n_nationkey) || ']' AS t
+  FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY r_regionkey, r_name"""
+BRANDS = """SELECT p_partkey AS id, '{ ' || chr(39) || p_brand || ' ' || chr(39) || ' : [' || CASE WHEN p_partkey % 9 = 0 THEN '' ELSE chr(39) || lower(string_split(p_type, ' ')[1]) || chr(39) || ', ' || upper(p_name) || ', x, "' || p_size || '.A"' END || '], }' AS t FROM part"""
 LASTS = "lasts AS (SELECT * FROM items QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY pos DESC) = 1), joined AS (SELECT cat_pos, category, sym_pos, lasts.* FROM cats JOIN lasts USING (symbol))"
 
 
@@ -190,7 +194,9 @@ ORACLE_SQL = {
     "history_preset_minute": f"{hist_query(chr(39) + 'CLICK' + chr(39), ('max', '1m', 30))} {HIST_COLS}",
     "history_preset_intraday": f"{hist_query(chr(39) + 'CLICK' + chr(39), ('max', '1m', 30), ('max', '15m', 60))} {HIST_COLS}",
     "history_preview": f"{CSV} {HIST_COLS.replace(' FROM hist', ', n_more FROM (SELECT *, greatest(count(*) OVER (PARTITION BY symbol) - 5, 0) AS n_more FROM hist QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY ts) <= 5)')}",
-    "history_parameters": "SELECT *, period IN ('1d', 'max') AND \"interval\" <> '2m' AS taken, CASE WHEN \"interval\" = '2m' OR period = '5d' THEN NULL WHEN period = '1d' THEN 1 ELSE days END AS days FROM (VALUES ('1d'), ('max'), ('5d')) AS p(period), (VALUES ('1m', 30), ('5m', 60), ('15m', 60), ('1h', 730), ('1d', 36500), ('2m', 30)) AS i(\"interval\", days)".replace("SELECT *, period", "SELECT period, \"interval\", period"),
+    "history_parameters": """SELECT event_id, period, "interval", days IS NOT NULL AS taken, days FROM (SELECT *, CASE WHEN "interval" = '2m' OR period = '5d' THEN NULL WHEN period = '1d' THEN 1
+  ELSE map {'1m': 30, '5m': 60, '15m': 60, '1h': 730, '1d': 36500}["interval"] END::INT AS days
+  FROM (SELECT event_id, (['1d', 'max', '5d'])[event_id % 3 + 1] AS period, (['1m', '5m', '15m', '1h', '1d', '2m'])[user_id % 6 + 1] AS "interval" FROM events))""",
     "vendor_bars": f"""SELECT symbol, '1d' AS "interval", {iso('ts')} AS ts, seq, open, high, low, close, volume FROM (SELECT o_orderpriority AS symbol, o_orderdate AS ts, o_orderkey AS seq, CASE WHEN o_orderkey % 5 <> 0 THEN o_totalprice END AS open, o_totalprice AS high,
   CASE WHEN o_orderkey % 3 <> 0 THEN 1.5::DOUBLE END AS low, o_totalprice AS close, CASE WHEN o_orderkey % 4 <> 0 THEN o_orderkey END AS volume FROM orders WHERE o_orderkey % 11 <> 0)
   QUALIFY row_number() OVER (PARTITION BY symbol, ts ORDER BY seq) = 1""",
@@ -206,18 +212,18 @@ UNION ALL SELECT 2::BIGINT, 'all-etfs', '2024-01-31', (count(*) OVER ())::INT, *
   CASE o_orderkey % 5 WHEN 0 THEN '{"a":' || o_custkey || ',"b":[1,null]}' WHEN 2 THEN '{' || o_orderstatus WHEN 3 THEN o_orderpriority END AS parsed FROM orders""",
     "stock_info": f"WITH {TICKS}, {QUOTES} SELECT symbol, shortName, longName, exchange, currency, dayVolume * 1000 AS marketCap, dayClose AS regularMarketPrice, NULL::DOUBLE AS regularMarketChangePercent, hi AS fiftyTwoWeekHigh, lo AS fiftyTwoWeekLow FROM quotes WHERE symbol = 'VIEW'",
     "quote_prev_close": f"WITH {USERS}, {QUOTES} SELECT symbol, shortName, exchange, currency, prevClose, dayOpen, dayHigh, dayLow, dayClose, dayVolume FROM quotes",
-    "universe_load": UNIVERSE.format(t=_s(q.UNIVERSE_TEXT), b=BLANKS),
-    "universe_combined": f"SELECT 0 AS part, * FROM ({UNIVERSE.format(t=_s(q.UNIVERSE_TEXT), b=BLANKS)}) UNION ALL SELECT 1, * FROM ({UNIVERSE.format(t=_s(q.ETF_TEXT), b=BLANKS)})",
+    "universe_load": CUSTOMERS,
+    "universe_combined": f"SELECT 0 AS part, * FROM ({CUSTOMERS}) UNION ALL SELECT 1, * FROM ({SUPPLIERS})",
     "ordered_distinct": f"WITH {USERS} SELECT symbol, min(seq) AS pos FROM ticks GROUP BY symbol",
     "ticker_args_parse": f"""SELECT symbol, f.part, f.line_no, f.k FROM (SELECT symbol, min({{'part': part, 'line_no': line_no, 'k': k}}) AS f FROM (SELECT part, line_no, generate_subscripts(w, 1) - 1 AS k, upper(trim(unnest(w), {BLANKS})) AS symbol
-  FROM (SELECT part, line_no, string_split(line, ',') AS w FROM (SELECT 0 AS part, 0 AS line_no, {_s(q.ARGUMENTS[0])} AS line UNION ALL SELECT 1, generate_subscripts(a, 1) - 1, unnest(a) FROM (SELECT string_split({_s(q.ARGUMENTS[1])}, chr(10)) AS a))
-  WHERE part = 0 OR NOT starts_with(trim(line, {BLANKS}), '#'))) WHERE symbol <> '' GROUP BY symbol)""",
+  FROM (SELECT part, line_no, string_split(line, ',') AS w FROM (SELECT 0 AS part, 0 AS line_no, {_s(q.ARGUMENTS)} AS line UNION ALL SELECT 1, row_number() OVER (ORDER BY p_partkey) - 1,
+    CASE p_partkey % 4 WHEN 0 THEN ' # ' || p_name WHEN 1 THEN p_brand || ' ,, ' || p_type WHEN 2 THEN chr(9) || p_name ELSE ' ' END FROM part) WHERE part = 0 OR NOT starts_with(trim(line, {BLANKS}), '#'))) WHERE symbol <> '' GROUP BY symbol)""",
     "category_parse": f"WITH {categories(REGIONS)} SELECT * FROM cats",
-    "category_literal": f"WITH {LITERAL} SELECT * FROM cats",
+    "category_literal": f"WITH {categories(BRANDS)} SELECT * FROM cats",
     "category_join": f"{DENSE}, {LITERAL}, {LASTS} SELECT cat_pos, category, sym_pos, symbol, dayClose, pctRegularMinutesAboveVwap FROM joined",
     "category_stats": f"""{DENSE}, {LITERAL}, {LASTS} SELECT *, CASE WHEN with_vwap = 0 THEN NULL WHEN above_60 / with_vwap >= 0.6 THEN 'green' WHEN above_60 / with_vwap >= 0.4 THEN 'yellow' ELSE 'red' END AS ratio_bucket
   FROM (SELECT cat_pos, category, count(*) AS n_symbols, count(pctRegularMinutesAboveVwap) AS with_vwap, count(*) FILTER (pctRegularMinutesAboveVwap >= 60) AS above_60 FROM joined GROUP BY ALL)""",
-    "category_counts": f"WITH {LITERAL} SELECT count(DISTINCT symbol) AS n_symbols, count(DISTINCT category) AS n_categories FROM cats",
+    "category_counts": f"WITH {categories(BRANDS)} SELECT count(DISTINCT symbol) AS n_symbols, count(DISTINCT category) AS n_categories FROM cats",
     "sort_nulls_last_desc": sorted_items("DESC"),
     "sort_nulls_last_asc": sorted_items("ASC"),
     "top_movers_5": f"{SPARSE} SELECT symbol, vsPreClosePct, (SELECT greatest(count(*) - 5, 0) FROM items) AS n_more FROM items ORDER BY vsPreClosePct DESC NULLS LAST, pos LIMIT 5",
@@ -249,7 +255,8 @@ SELECT *, {ret('latest_price', 'day_close')} AS latest_vs_day_close_pct, {ret('a
     "safe_numbers": "SELECT p_partkey, CASE WHEN p_partkey % 3 = 1 THEN p_size::DOUBLE END AS as_double, CASE WHEN p_partkey % 3 = 1 THEN p_size::BIGINT END AS as_long FROM part",
     "text_summary_500": f"SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN source ELSE lang END AS company_name, trim(replace(left(text, 500), chr(10), ' '), {BLANKS}) AS business_summary FROM documents",
     "iso_epoch": f"SELECT event_id, {iso('ts')} AS iso, floor(epoch(ts))::BIGINT AS epoch, strftime({ET}, '%Y-%m-%d') AS trade_date FROM events",
-    "request_parse": "SELECT * FROM (VALUES (0, 'VIEW'), (1, 'brk.b'), (2, 'CLICK')) AS t(pos, symbol)",
+    "request_parse": f"""SELECT o_orderkey AS id, CASE WHEN o_orderkey % 8 > 3 THEN pos END AS pos, CASE WHEN o_orderkey % 8 > 3 THEN ([o_orderpriority, o_orderstatus, 'A'])[pos + 1] END AS symbol, CASE WHEN o_orderkey % 8 <= 3 THEN '{BAD_REQUEST}' END AS error
+  FROM orders, (VALUES (0), (1), (2)) AS v(pos) WHERE o_orderkey % 8 > 3 OR pos = 0""",
     "error_messages": """SELECT o_orderkey, 'HTTP 500 Server Error' || CASE o_orderkey % 6 WHEN 0 THEN ': ' || o_orderpriority || ' — ' || o_orderstatus WHEN 1 THEN ': ' || o_orderstatus WHEN 2 THEN ': only' WHEN 3 THEN ': plain text' WHEN 4 THEN ': ' || repeat('x', 299) || '…' ELSE '' END AS message
   FROM orders""",
 }

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickforge.functions import expr as x
 from tickforge.operators import bars as b
 from tickforge.operators import history as h
 from tickforge.operators import ledger, present, script, snapshots, summary, vwap
-from tickforge.sources import lists, tables
+from tickforge.sources import lines, lists, tables
 from tickforge.sources.tables import table
 from tickforge.streaming import live, sessions
 
@@ -27,9 +27,7 @@ CATEGORY_TEXT = """GROUPS = {
  "Faults": ['error'],
  "Funnel": ["VIEW", "CLICK", "SIGNUP", "TWELVELETTRS"],
 }"""
-UNIVERSE_TEXT = 'made by hand\nVIEW,early\nTicker,Name\nview,"Page view"\r\nCLICK,x\n"SIGNUP",x\nBRK-B,x\n\nBRK.B,Berkshire\n error ,y\nVIEW,again\n'
-ETF_TEXT = "Ticker,Fund\nNLR,Uranium\nVIEW,dup\nxlu,Utilities"
-ARGUMENTS = (" amd, nvda,,AMD", "# list\nmsft, tsla\n\n  # more\nNVDA\nview")
+ARGUMENTS = " amd, nvda,,AMD"
 
 
 def _stamp(df: DataFrame, *names: str) -> DataFrame:
@@ -170,14 +168,11 @@ def history_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def history_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Which of all pairs of period and interval are taken, and how many days they go back."""
-    rows = []
-    for p in (*h.PERIODS, "5d"):
-        for i in (*h.INTERVALS, "2m"):
-            taken = p in h.PERIODS and i in h.INTERVALS
-            at = F.lit("2024-02-01 00:00:00").cast("timestamp")
-            rows.append(spark.range(1).select(F.lit(p).alias("period"), F.lit(i).alias("interval"), F.lit(taken).alias("taken"), (F.datediff(at, h.since(p, i, at)) if taken else F.lit(None)).cast("int").alias("days")))
-    return reduce(DataFrame.unionByName, rows)
+    """What users ask for, and how many days of history they get."""
+    pick = lambda names, by: F.element_at(F.array(*map(F.lit, names)), (by % len(names) + 1).cast("int"))
+    e = table(spark, sf_dir, "events").select("event_id", pick((*h.PERIODS, "5d"), F.col("event_id")).alias("period"), pick((*h.INTERVALS, "2m"), F.col("user_id")).alias("interval"))
+    days = h.lookback(F.col("period"), F.col("interval"))
+    return e.select("event_id", "period", "interval", days.isNotNull().alias("taken"), days.alias("days"))
 
 
 def vendor_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -198,12 +193,32 @@ def quote_prev_close(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.quote_columns(tables.quotes(tables.ticks(spark, sf_dir, sparse=True))).withColumnRenamed("_vendor", "symbol").drop("_found")
 
 
+def _text_file(rows: DataFrame, name: str) -> str:
+    """A text of the rows (key, line) in the order of their keys, in as many files as there are tasks."""
+    folder = tables.shared_folder(rows.sparkSession, name)
+    rows.repartitionByRange("key").sortWithinPartitions("key").select("line").write.text(folder)
+    return folder
+
+
+def _universe_line(key: str, more: str) -> Column:
+    """Lines of a ticker file: names of any case, with quotes, dashes and dots, a header among them."""
+    k, n = F.col(key), F.col(key).cast("string")
+    name = F.when(k % 5 == 0, F.concat(F.lit('"Q'), n, F.lit('"'))).when(k % 5 == 1, F.concat(F.lit(" c"), n)).when(k % 5 == 2, F.concat(F.lit("B."), n)).when(k % 5 == 3, F.concat(F.lit("X-"), n)).otherwise(F.concat(F.lit("T"), (k % 50).cast("string"), F.lit(" ")))
+    return F.when(k % 40 == 7, F.lit("Ticker,Name")).otherwise(F.concat(name, F.lit(","), F.col(more))).alias("line")
+
+
+def _universes(spark: SparkSession, sf_dir: str):
+    """The customers' ticker file and the suppliers'."""
+    for name, key, more in (("customer", "c_custkey", "c_mktsegment"), ("supplier", "s_suppkey", "s_name")):
+        yield lines.universe(lines.numbered(spark, _text_file(table(spark, sf_dir, name).select(F.col(key).alias("key"), _universe_line(key, more)), name)))
+
+
 def universe_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lists.universe(lists.texts(spark, UNIVERSE_TEXT)).drop("id")
+    return next(_universes(spark, sf_dir))
 
 
 def universe_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lists.combined(*(lists.universe(lists.texts(spark, t)) for t in (UNIVERSE_TEXT, ETF_TEXT)))
+    return lists.combined(*_universes(spark, sf_dir))
 
 
 def ordered_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -211,29 +226,40 @@ def ordered_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ticker_args_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lists.ticker_arguments(*ARGUMENTS, spark).select("symbol", F.col("at.part").alias("part"), F.col("at.line_no").alias("line_no"), F.col("at.k").alias("k"))
+    """A comma list, and a file of what parts are called, some lines of which are comments or blank."""
+    k = F.col("p_partkey")
+    line = F.when(k % 4 == 0, F.concat(F.lit(" # "), "p_name")).when(k % 4 == 1, F.concat("p_brand", F.lit(" ,, "), "p_type")).when(k % 4 == 2, F.concat(F.lit("\t"), "p_name")).otherwise(F.lit(" "))
+    path = _text_file(table(spark, sf_dir, "part").select(k.alias("key"), line.alias("line")), "tickers")
+    return lines.tickers(lines.numbered(spark, path), ARGUMENTS).select("symbol", F.col("at.part").alias("part"), F.col("at.line_no").alias("line_no"), F.col("at.k").alias("k"))
 
 
 def category_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Regions as categories of their nations; names longer than ten fall apart into runs."""
+    """Regions as categories of their nations, a text for each; names longer than ten fall apart into runs."""
     n = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     name = F.concat(F.lit('"'), F.replace("n_name", F.lit("_"), F.lit("-")), F.lit('"'))
-    rows = n.groupBy("r_regionkey", "r_name").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("n_nationkey", name.alias("t")))), lambda e: e.t), ", ").alias("inner"))
-    text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("r_regionkey", F.concat(F.lit('"'), "r_name", F.lit('": ['), "inner", F.lit("]")).alias("t")))), lambda e: e.t), ",\n")
-    return lists.categories(rows.agg(text.alias("text")))
+    rows = n.groupBy("r_regionkey", "r_name").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("n_nationkey", name.alias("t")))), lambda e: e.t), ", ").alias("inner"))  # a region's nations
+    return lists.categories(rows.select(F.col("r_regionkey").alias("id"), F.concat(F.lit('"'), "r_name", F.lit('": ['), "inner", F.lit("]")).alias("text")))
 
 
 def category_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A text for each part: its brand as the category, so that names repeat; quoted, bare and lower-case symbols, and an empty list."""
+    p = table(spark, sf_dir, "part")
+    words = F.split("p_type", " ")
+    inner = F.when(F.col("p_partkey") % 9 == 0, F.lit("")).otherwise(F.concat(F.lit("'"), F.lower(F.get(words, 0)), F.lit("', "), F.upper("p_name"), F.lit(', x, "'), F.col("p_size").cast("string"), F.lit('.A"')))
+    return lists.categories(p.select(F.col("p_partkey").alias("id"), F.concat(F.lit("{ '"), "p_brand", F.lit(" ' : ["), inner, F.lit("], }")).alias("text")))
+
+
+def _groups(spark: SparkSession) -> DataFrame:
     return lists.categories(lists.texts(spark, CATEGORY_TEXT))
 
 
 def category_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    joined = present.join_categories(category_literal(spark, sf_dir), batch_summary(spark, sf_dir))
+    joined = present.join_categories(_groups(spark), batch_summary(spark, sf_dir))
     return joined.select("cat_pos", "category", "sym_pos", "symbol", "dayClose", "pctRegularMinutesAboveVwap")
 
 
 def category_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return present.category_stats(present.join_categories(category_literal(spark, sf_dir), batch_summary(spark, sf_dir)))
+    return present.category_stats(present.join_categories(_groups(spark), batch_summary(spark, sf_dir)))
 
 
 def category_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -432,7 +458,11 @@ def iso_epoch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def request_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lists.request(lists.texts(spark, '{"symbols": ["VIEW", "brk.b", "CLICK"], "date": null}'))
+    """A request for each order, some with blank symbols, without any, or no JSON."""
+    k = F.col("o_orderkey") % 8
+    asked = F.concat(F.lit('{"symbols": ["'), "o_orderpriority", F.lit('", "'), "o_orderstatus", F.lit('", "A"], "date": null}'))
+    body = F.when(k == 0, F.lit('{"symbols": []}')).when(k == 1, F.lit('{"symbols": ["A", " "]}')).when(k == 2, F.col("o_orderpriority")).when(k == 3, F.lit('{"symbols": ["A", null]}')).otherwise(asked)
+    return lists.requests(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), body.alias("text")))
 
 
 def error_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

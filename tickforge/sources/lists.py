@@ -62,18 +62,33 @@ def ticker_arguments(raw: str | None, file_text: str | None, spark: SparkSession
 
 
 def categories(rows: DataFrame) -> DataFrame:
-    """cat_pos, category, sym_pos, symbol of the blocks of a text; of a repeated name the last list at the first place."""
-    blocks = rows.select(F.posexplode(x.category_blocks("text")).alias("at", "b"))
+    """cat_pos, category, sym_pos, symbol of the blocks of texts (id, text), in the order of ids; of a repeated name the last list at the first place.
+
+    A block stands in one text. cat_pos tells the text, its id times 2^32, and the block's place there.
+    """
+    blocks = rows.select("id", F.posexplode(x.category_blocks("text")).alias("k", "b")).select((F.shiftleft(F.col("id").cast("long"), 32) + F.col("k")).alias("at"), "b")
     blocks = blocks.select("at", x.trimmed("b.name").alias("category"), x.block_symbols("b.inner").alias("symbols")).filter(F.size("symbols") > 0)
     last = blocks.groupBy("category").agg(F.min("at").alias("cat_pos"), F.max_by("symbols", "at").alias("symbols"))
     return last.select("cat_pos", "category", F.posexplode("symbols").alias("sym_pos", "symbol"))
 
 
+BAD_REQUEST = "symbols must be a non-empty array of non-blank strings"
+
+
+def requests(rows: DataFrame) -> DataFrame:
+    """id, pos, symbol and error of JSON request bodies (id, text): a row for each symbol, or one with the error of a body that can't be taken."""
+    symbols = F.from_json("text", "symbols array<string>, date string").getField("symbols")
+    body = rows.select("id", symbols.alias("symbols"))
+    good = F.coalesce((F.size("symbols") > 0) & F.forall("symbols", lambda v: F.coalesce(x.trimmed(v), F.lit("")) != ""), F.lit(False))
+    each = body.select("id", F.posexplode_outer(F.when(good, F.col("symbols"))).alias("pos", "symbol"))
+    return each.withColumn("error", F.when(F.col("pos").isNull(), BAD_REQUEST))
+
+
 def request(rows: DataFrame) -> DataFrame:
     """pos, symbol of a JSON request body {"symbols": [...]}; raises ValueError unless all are non-blank strings."""
     body = rows.select(F.from_json("text", "symbols array<string>, date string").alias("b"))
     out = body.select(F.posexplode("b.symbols").alias("pos", "symbol"))
     bad = out.agg(F.count("*").alias("n"), F.count_if(F.coalesce(x.trimmed("symbol"), F.lit("")) == "").alias("blank")).first()
     if not bad["n"] or bad["blank"]:
-        raise ValueError("symbols must be a non-empty array of non-blank strings")
+        raise ValueError(BAD_REQUEST)
     return out
