@@ -29,10 +29,9 @@ def batch_summary(universe: DataFrame, quotes: DataFrame, minute_bars: DataFrame
     price for its VWAP. Bars are joined on the vendor's spelling, as quotes are.
     """
     recent = b.with_session(b.recent(minute_bars, as_of), compat_midnight)
-    latest, sessions = vwap.latest_bar(recent), vwap.session_summary(recent, scale)
+    traded = vwap.overview(recent, scale).withColumnRenamed("symbol", "_vendor")
     asked = universe.select("pos", F.upper(x.trimmed("symbol")).alias("symbol"), x.vendor_symbol("symbol").alias("_vendor"))
-    key = lambda df: df.withColumnRenamed("symbol", "_vendor")
-    rows = asked.join(quote_columns(quotes), "_vendor", "left").join(key(latest), "_vendor", "left").join(key(sessions), "_vendor", "left")
+    rows = asked.join(quote_columns(quotes), "_vendor", "left").join(traded, "_vendor", "left")
     day = F.when(F.col("dayHigh").isNotNull() & F.col("dayLow").isNotNull() & F.col("dayClose").isNotNull(), x.round_up(x.typical("dayHigh", "dayLow", "dayClose"), 4))
     values = {
         "intradayReturnPct": x.return_pct("dayClose", "dayOpen"), "vsPreClosePct": x.return_pct("dayClose", "prevClose"), "latestChgPct": x.latest_change_pct("latestPrice", "dayClose"),

@@ -202,6 +202,7 @@ ORACLE_SQL = {
   QUALIFY row_number() OVER (PARTITION BY symbol, ts ORDER BY seq) = 1""",
     "batch_envelope": f"{DENSE} SELECT '2024-01-31' AS \"tradeDate\", '2024-02-01T00:00:00.000Z' AS \"fetchedAt\", (row_number() OVER (ORDER BY pos) - 1)::INT AS pos, symbol, dayClose, fetchError FROM items",
     "snapshot_build": f"{DENSE} SELECT 7::BIGINT AS id, 'all-combined' AS type, '2024-01-31' AS trade_date, (SELECT count(*) FROM items)::INT AS symbol_count, (row_number() OVER (ORDER BY pos) - 1)::INT AS pos, symbol, dayClose, fetchError FROM items",
+    "quotes_kept": f"WITH {USERS}, {QUOTES} SELECT symbol, dayOpen AS \"regularMarketOpen\", dayHigh AS \"regularMarketDayHigh\", dayLow AS \"regularMarketDayLow\", dayClose AS \"regularMarketPrice\", prevClose AS \"previousClose\", hi AS \"fiftyTwoWeekHigh\", lo AS \"fiftyTwoWeekLow\", dayVolume AS \"regularMarketVolume\" FROM quotes",
     "snapshot_append": f"""SELECT 1::BIGINT AS id, 'all-stocks' AS type, '2024-01-31' AS trade_date, (count(*) OVER ())::INT AS symbol_count, * FROM ({SPARSE} SELECT pos::BIGINT AS pos, symbol, dayClose, dayVolume, latestSession, regularBarCount, fetchError FROM items)
 UNION ALL SELECT 2::BIGINT, 'all-etfs', '2024-01-31', (count(*) OVER ())::INT, * FROM ({DENSE} SELECT pos::BIGINT AS pos, symbol, dayClose, dayVolume, latestSession, regularBarCount, fetchError FROM items)""",
     "snapshot_items_latest": f"{SPARSE} SELECT 1::BIGINT AS id, pos::BIGINT AS pos, symbol, latestPrice, vwapDate, true AS has_close FROM items",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tickforge.functions import expr as x
 from tickforge.operators import bars as b
 from tickforge.operators import history as h
-from tickforge.operators import ledger, present, script, snapshots, summary, vwap
+from tickforge.operators import daily, ledger, present, script, snapshots, summary, vwap
 from tickforge.sources import lines, lists, tables
 from tickforge.sources.tables import table
 from tickforge.streaming import live, sessions
@@ -104,6 +104,17 @@ def _sparse_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.batch_summary(users, quotes, _recent(spark, sf_dir, as_of, sparse=True), as_of, SCALE)
 
 
+def quotes_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quotes of all users from a table of days that was brought forward now and then, and the ticks since."""
+    t = tables.ticks(spark, sf_dir, sparse=True)
+    kept = daily.DailyTable(spark, tables.shared_folder(spark, "days"))
+    for day in ("2024-01-09", "2024-01-09", "2024-01-22"):
+        kept.advance(t, day)
+    as_of = tables.last_tick(t)
+    q = kept.quotes(t, as_of + F.expr("INTERVAL 1 MICROSECOND"))
+    return q.select("symbol", "regularMarketOpen", "regularMarketDayHigh", "regularMarketDayLow", "regularMarketPrice", "previousClose", "fiftyTwoWeekHigh", "fiftyTwoWeekLow", "regularMarketVolume")
+
+
 def returns_pct(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
     a, z = F.col("o_totalprice"), F.when(F.col("o_orderkey") % 7 == 0, 0.0).otherwise(F.col("c_acctbal"))
@@ -480,7 +491,7 @@ QUERIES = {
     "bars_1m": _bars("1m"), "bars_5m": _bars("5m", finer=True), "bars_15m": _bars("15m"), "bars_1h": _bars("1h", finer=True), "bars_1d": _bars("1d"),
     "session_classify": _classify(False), "session_classify_compat": _classify(True), "session_counts": session_counts,
     "vwap_running": vwap_running, "vwap_running_stream": vwap_running_stream, "vwap_session_summary": vwap_session_summary, "latest_bar": latest_bar,
-    "batch_summary": batch_summary, "batch_summary_missing": _sparse_summary, "returns_pct": returns_pct,
+    "batch_summary": batch_summary, "batch_summary_missing": _sparse_summary, "returns_pct": returns_pct, "quotes_kept": quotes_kept,
     "history_dedupe": history_dedupe, "history_period_1d": _history("1d", "5m"), "history_period_max": _history("max", "15m"), "history_chunks": history_chunks,
     "history_presets": _preset("all"), "history_csv": history_csv, "history_envelope": history_envelope,
     "history_preset_minute": _preset("minute"), "history_preset_intraday": _preset("intraday"), "history_csv_text": history_csv_text, "history_preview": history_preview,

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickforge.functions import expr as x
+from tickforge.operators import daily
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -55,20 +56,7 @@ def as_ticks(e: DataFrame, sparse: bool = False, since: Column | None = None, un
 
 def quotes(t: DataFrame) -> DataFrame:
     """The vendor's view of ticks: last Eastern day's prices and the close before it, a row per symbol."""
-    day = x.et_date(x.eastern("ts"))
-    at = F.struct("ts", "seq")
-    price = lambda c: (F.col(c) / 100.0)
-    days = t.groupBy("symbol", day.alias("day")).agg(F.min_by("cents", at).alias("o"), F.max("cents").alias("h"), F.min("cents").alias("l"), F.max_by("cents", at).alias("c"), F.sum("volume").alias("v"))
-    both = days.groupBy("symbol").agg(F.max_by(F.struct("o", "h", "l", "c", "v"), "day").alias("d"), F.sort_array(F.collect_list(F.struct("day", "c")), asc=False).alias("all"), F.max("h").alias("hi"), F.min("l").alias("lo"))  # as many days as the table has
-    before = F.get("all", 1).getField("c") / 100.0
-    odd = F.length("symbol") % 2 == 1
-    return both.select(
-        "symbol", F.initcap("symbol").alias("shortName"), F.concat(F.initcap("symbol"), F.lit(", Inc.")).alias("longName"), F.lit("NMS").alias("exchange"), F.lit("USD").alias("currency"),
-        price("d.o").alias("regularMarketOpen"), price("d.h").alias("regularMarketDayHigh"), price("d.l").alias("regularMarketDayLow"), price("d.c").alias("regularMarketPrice"),
-        F.when(~odd, before).alias("regularMarketPreviousClose"), before.alias("previousClose"),
-        F.lit(None).cast("double").alias("regularMarketChangePercent"), price("hi").alias("fiftyTwoWeekHigh"), price("lo").alias("fiftyTwoWeekLow"),
-        F.col("d.v").alias("regularMarketVolume"), (F.col("d.v") * 1000).alias("marketCap"),
-    )
+    return daily.quotes(daily.newest(daily.days(t)))
 
 
 def last_tick(t: DataFrame):
