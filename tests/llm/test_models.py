@@ -132,6 +132,13 @@ def test_decontamination(spark):
     assert dc.find_leaks(table(spark, []), bench).count() == 0 and dc.find_leaks(table(spark, docs), bench.limit(0)).count() == 0
 
 
+def test_items_with_ids_of_other_types(spark):
+    text = "Every winter the old harbour freezes over and nine boats wait until the ice breaks in early spring."
+    bench = spark.createDataFrame([("q1", text), ("", text + " Then they leave."), (None, "the quick brown fox jumps over a very lazy dog today")], "item_id string, text string")
+    docs = table(spark, [(1, "So. " + text + " Then they leave. Yes."), (2, "something else"), (3, "Look: the quick brown fox jumps over a very lazy dog today.")])
+    assert sorted((r["doc_id"], r["item_id"] or "", r["n_changed"]) for r in dc.find_leaks(docs, bench).collect()) == [(1, "", 0), (1, "q1", 0), (3, "", 0)]
+
+
 def test_names_that_begin_sentences(spark):
     rng = random.Random(15)
     item = "Tom has 12 apples. Tom buys 5 more. How many apples does Tom have?"

@@ -124,7 +124,7 @@ class _Digest:
 
 
 def digests(rendered: DataFrame) -> DataFrame:
-    """What is read back from the rendered conversations, a row each: counts and digests of turns and of the loss mask.
+    """What is read back from the rendered conversations, whose ids are whole numbers, a row each: counts and digests of turns and of the loss mask.
 
     The turns of a conversation stream by in order; a task holds one batch of them and the running digests, however long
     the conversation is. The digest of one conversation is sequential by its nature.

@@ -20,6 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tickforge.llm.common import WORD, tidied, values
 from tickforge.llm.hashing import mix, powers
@@ -301,7 +302,7 @@ class Benchmark:
                 if len(ok) >= cover * self.windows[key]:
                     got = (item, self.windows[key], len(ok), sum(k[1] != y for k, y in known.items()))
                     best[key] = max(best.get(key, got), got, key=lambda x: (x[2], -x[3]))
-        return sorted(best.values(), key=lambda x: (x[0] is None, x[0] or 0, x))
+        return sorted(best.values(), key=lambda x: (x[0] is None, x[0] if x[0] is not None else 0, x))
 
 
 def _blocks(benchmark: DataFrame, item_col: str, text_col: str, items: int):
@@ -321,12 +322,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, cover: float = COVER, id_c
     leak where their words stand as a sentence or a line of their own.
 
     Null texts leak nothing; null ids and repeated rows are judged a row each, and whole texts are read, however long. Items
-    without a word are in no document, repeated ones count once, and those of one id but other texts apart. Other columns,
+    without a word are in no document, repeated ones count once, and those of one id but other texts apart; ids are of any type that has an order. Other columns,
     whatever their names, are ignored. Empty tables: no rows. Documents are read once for each block of the benchmark.
     """
     spark = docs.sparkSession
     kind = dict(docs.dtypes)[id_col]
-    schema = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), *(T.StructField(c, T.LongType()) for c in ("item_id", "n_windows", "n_found", "n_changed"))])
+    item_kind, item_type = dict(benchmark.dtypes)[item_col], to_arrow_type(benchmark.schema[item_col].dataType)
+    schema = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("item_id", benchmark.schema[item_col].dataType), *(T.StructField(c, T.LongType()) for c in ("n_windows", "n_found", "n_changed"))])
     rows, out = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_t")), spark.createDataFrame([], schema)
     for block in _blocks(benchmark, item_col, item_text_col, items):
         sent = spark.sparkContext.broadcast(block)
@@ -336,9 +338,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, cover: float = COVER, id_c
             for b in batches:
                 got = [(d, *x) for d, found in zip(b.column(0).to_pylist(), sent.value.leaks(values(b.column(1)), tokens, cover), strict=True) for x in found]
                 cols = list(zip(*got, strict=True)) or [()] * 5
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), b.column(0).type if k == 0 else pa.int64()) for k, c in enumerate(cols)], names=["doc_id", "item_id", "n_windows", "n_found", "n_changed"])
+                kinds = (b.column(0).type, item_type, *[pa.int64()] * 3)
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, kinds, strict=True)], names=["doc_id", "item_id", "n_windows", "n_found", "n_changed"])
 
-        out = out.unionByName(rows.mapInArrow(tidied(judge), f"doc_id {kind}, item_id long, n_windows long, n_found long, n_changed long"))
+        out = out.unionByName(rows.mapInArrow(tidied(judge), f"doc_id {kind}, item_id {item_kind}, n_windows long, n_found long, n_changed long"))
     return out
 
 
