@@ -23,8 +23,8 @@ from tickforge.llm.hashing import PLAIN, Key, mix, shingle_sets
 WORDS = 5
 #: Registers, rows of a band, base and rate of the exponential spacing, and the largest register.
 REGISTERS, ROWS, BASE, RATE, TOP = 96, 4, 1.001, 20.0, 65534
-#: Classes in a block and bytes of their sets, hubs of a large cluster, and how many deviations below the threshold an estimate may lie.
-BLOCK, BYTES, HUBS, SLACK = 1024, 16 << 20, 32, 6.0
+#: Classes in a block and bytes of their sets, hubs of a large cluster, and how many deviations below the threshold an estimate may lie, and a mere count of equal registers.
+BLOCK, BYTES, HUBS, SLACK, EASY = 1024, 16 << 20, 32, 6.0, 8.0
 _FACTORS = mix(np.arange(1, REGISTERS + 1, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -88,12 +88,16 @@ class _Block:
 
     def link(self, hub: int, among: np.ndarray, num: int, den: int) -> list[int]:
         """The members of ``among`` that are linked with ``hub`` and weren't connected with it; they are now."""
+        t, spread = num / den, math.sqrt(num / den * (1 - num / den) / REGISTERS)
+        # sets of such sizes may be so similar, and about as many registers are equal as they are similar
+        n, mine = self.n[among], self.n[hub]
+        near = (den * n >= num * mine) & (den * mine >= num * n)
+        near &= (self.regs[among] == self.regs[hub]).sum(1) >= REGISTERS * (t - EASY * spread)
         r = self.root(hub)
-        other = np.array([i for i in among.tolist() if self.root(i) != r], np.int64)
+        other = np.array([i for i in among[near].tolist() if self.root(i) != r], np.int64)
         if not len(other):
             return []
-        t = num / den
-        sure = estimate(self.regs[other], self.n[other], self.regs[hub], self.n[hub]) >= t - SLACK * math.sqrt(t * (1 - t) / REGISTERS)
+        sure = estimate(self.regs[other], self.n[other], self.regs[hub], mine) >= t - SLACK * spread
         other = other[sure]
         if not len(other):
             return []
