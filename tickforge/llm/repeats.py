@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickforge.llm.common import Scratch
+from tickforge.llm.common import Scratch, slices, tidied
 from tickforge.llm.hashing import PLAIN, Key, blocks, spans, windows
 
 LENGTH, GRAM = 200, 40
@@ -227,12 +227,13 @@ def _occurrences(docs: DataFrame, length: int, gram: int, key: Key) -> DataFrame
     def rows(batches):
         names = ["_id", "_k", "_a", "_h", "_c", "_most", "_least"]
         for b in batches:
-            ids, ks = b.column(0), b.column(1)
-            for i, a, h, c, most, least in text_anchors(b.column(2).to_pylist(), length, gram, key):
-                i = pa.array(i)
-                yield pa.RecordBatch.from_arrays([ids.take(i), ks.take(i), *(pa.array(x.astype(np.int32)) for x in (a,)), pa.array(h.view(np.int64)), pa.array(c.view(np.int64)), pa.array(most.astype(np.int16)), pa.array(least.astype(np.int16))], names=names)
+            for at, to in slices(b.column(2)):
+                ids, ks, texts = (x.slice(at, to - at) for x in b.columns)
+                for i, a, h, c, most, least in text_anchors(texts.to_pylist(), length, gram, key):
+                    i = pa.array(i)
+                    yield pa.RecordBatch.from_arrays([ids.take(i), ks.take(i), *(pa.array(x.astype(np.int32)) for x in (a,)), pa.array(h.view(np.int64)), pa.array(c.view(np.int64)), pa.array(most.astype(np.int16)), pa.array(least.astype(np.int16))], names=names)
 
-    return docs.select("_id", "_k", "_t").mapInArrow(rows, f"_id {dict(docs.dtypes)['_id']}, _k long, _a int, _h long, _c long, _most short, _least short")
+    return docs.select("_id", "_k", "_t").mapInArrow(tidied(rows), f"_id {dict(docs.dtypes)['_id']}, _k long, _a int, _h long, _c long, _most short, _least short")
 
 
 def _contexts(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
@@ -246,7 +247,7 @@ def _contexts(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
 
     def read(batches):
         names = ["_id", "_k", "_g", "_c", "_n", "_most", "_least", "_a", "_left", "_right"]
-        for b in batches:
+        for b in (batch.slice(at, to - at) for batch in batches for at, to in slices(batch.column("_t"))):
             x = b.column("_x")
             owner, y = np.repeat(np.arange(b.num_rows), np.diff(x.offsets.to_numpy())), x.flatten()
             texts, (most, least, a) = b.column("_t").to_pylist(), (y.field(k).to_numpy(zero_copy_only=False) for k in ("_most", "_least", "_a"))
@@ -258,7 +259,7 @@ def _contexts(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
             i = pa.array(owner)
             yield pa.RecordBatch.from_arrays([b.column(0).take(i), b.column(1).take(i), *(y.field(k) for k in names[2:8]), pa.array(left, pa.binary()), pa.array(right, pa.binary())], names=names)
 
-    return rows.mapInArrow(read, f"_id {dict(docs.dtypes)['_id']}, _k long, _g long, _c long, _n long, _most short, _least short, _a int, _left binary, _right binary")
+    return rows.mapInArrow(tidied(read), f"_id {dict(docs.dtypes)['_id']}, _k long, _g long, _c long, _n long, _most short, _least short, _a int, _left binary, _right binary")
 
 
 def _sorted_factors(contexts: DataFrame, length: int, gram: int) -> DataFrame:
@@ -295,7 +296,7 @@ def _sorted_factors(contexts: DataFrame, length: int, gram: int) -> DataFrame:
             yield done(held)
 
     rows = contexts.select("_g", "_c", "_id", "_k", "_a", "_left", "_right").repartition("_g").sortWithinPartitions("_g", "_right")
-    return rows.mapInArrow(work, "_g long, _c long, _earlier array<int>, _later array<int>")
+    return rows.mapInArrow(tidied(work), "_g long, _c long, _earlier array<int>, _later array<int>")
 
 
 def _large(groups: DataFrame, most: int) -> DataFrame | None:
@@ -397,7 +398,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep
     rows = base.join(hits, F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_k") == F.col("_k2")), "left").select("_id", "_t", "_spans")
 
     def cut(batches):
-        for b in batches:
+        for b in (batch.slice(at, to - at) for batch in batches for at, to in slices(batch.column(1))):
             out = []
             for d, t, x in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
                 x = np.array(x or [], np.int64)
@@ -416,4 +417,4 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep
             kinds = (b.column(0).type, *[pa.int64()] * 3, pa.list_(pa.int64()), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, kinds, strict=True)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "spans", "kept"])
 
-    return rows.mapInArrow(cut, f"doc_id {dict(base.dtypes)['_id']}, n_bytes long, n_removed long, n_spans long, spans array<long>, kept binary")
+    return rows.mapInArrow(tidied(cut), f"doc_id {dict(base.dtypes)['_id']}, n_bytes long, n_removed long, n_spans long, spans array<long>, kept binary")
