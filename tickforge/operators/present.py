@@ -16,9 +16,13 @@ def sort_items(items: DataFrame, key: str = "vsPreClosePct", descending: bool =
     return items.orderBy(F.col(key).desc_nulls_last() if descending else F.col(key).asc_nulls_last(), tie)
 
 
-def top(items: DataFrame, key: str = "vsPreClosePct", n: int = 5, descending: bool = True, tie: str = "pos") -> DataFrame:
-    """The first ``n`` items, and in n_more how many others there are; the count is a scalar in the same plan."""
-    return sort_items(items, key, descending, tie).limit(n).withColumn("n_more", F.greatest(items.agg(F.count("*")).scalar() - n, F.lit(0)).cast("long"))
+def top(items: DataFrame, key: str = "vsPreClosePct", n: int = 5, descending: bool = True, tie: str = "pos", among: DataFrame | None = None) -> DataFrame:
+    """The first ``n`` items, and in n_more how many others there are, a scalar in the same plan.
+
+    ``among``: rows as many as the items, such as the universe that they are of, which are counted in their place.
+    """
+    counted = (items if among is None else among).agg(F.count("*")).scalar()
+    return sort_items(items, key, descending, tie).limit(n).withColumn("n_more", F.greatest(counted - n, F.lit(0)).cast("long"))
 
 
 def join_categories(categories: DataFrame, items: DataFrame) -> DataFrame:

@@ -285,8 +285,8 @@ def _sorted(descending: bool):
 
 
 def top_movers_5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = _sparse_summary(spark, sf_dir)
-    return present.top(items, "vsPreClosePct", 5).select("symbol", "vsPreClosePct", "n_more")
+    users = tables.ticks(spark, sf_dir, sparse=True).select("symbol").distinct()
+    return present.top(_sparse_summary(spark, sf_dir), "vsPreClosePct", 5, among=users).select("symbol", "vsPreClosePct", "n_more")
 
 
 def format_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
