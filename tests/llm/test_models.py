@@ -11,7 +11,7 @@ import pytest
 
 from tests.llm.helpers import awkward, prose, table
 from tickforge.llm import decontamination as dc
-from tickforge.llm import lm, near, packing, registry, repeats, tokens, toxicity
+from tickforge.llm import graph, lm, near, packing, registry, repeats, tokens, toxicity
 from tickforge.llm.common import FOLD, FOLD_BYTES, WORD, WORD_BYTES, Scratch, slices
 from tickforge.llm.graph import components
 from tickforge.llm.hashing import Key, blocks, shingle_sets, spans, windows, word_hashes
@@ -528,7 +528,9 @@ def test_sketches_merge_and_estimate():
     assert abs(got - 1800 / 3000) < 0.2
 
 
-def test_components(spark):
+@pytest.mark.parametrize("held", [graph.LINKS, 7])
+def test_components(spark, monkeypatch, held):
+    monkeypatch.setattr(graph, "LINKS", held)
     rng = random.Random(10)
     links = [(k, k + 1) for k in range(0, 40)] + [(rng.randrange(100, 200), rng.randrange(100, 200)) for _ in range(60)] + [(500, k) for k in range(300, 400)] + [(7, 7)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long"), Scratch(spark, "t"), "c").collect()}
